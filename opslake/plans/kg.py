@@ -118,8 +118,9 @@ def belongs_to_lot(equipment: DataFrame) -> DataFrame:
     )
 
 
-def deployed_at(equipment: DataFrame, stages: DataFrame) -> DataFrame:
-    return in_scope(equipment, stages, "stage_id", "stage_id").select(
+def deployed_at(equipment: DataFrame) -> DataFrame:
+    """Equipment nodes are cut to known stages already, so the stage needs no second look-up."""
+    return equipment.select(
         edge_id(F.col("equipment_id"), "STAGE", F.col("stage_id")).alias("edge_id"), "equipment_id", "stage_id"
     )
 
@@ -130,8 +131,9 @@ def documented_by(incidents: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def creates(tasks: DataFrame, incidents: DataFrame) -> DataFrame:
-    return in_scope(tasks, incidents, "incident_id", "incident_id").select(
+def creates(tasks: DataFrame) -> DataFrame:
+    """Task nodes are cut to known incidents already, so the incident needs no second look-up."""
+    return tasks.select(
         edge_id(F.col("incident_id"), "TASK", F.col("task_id")).alias("edge_id"), "incident_id", "task_id"
     )
 
@@ -185,9 +187,9 @@ def build_graph(s: Sources) -> GraphSpec:
             Edge("INCIDENT_AFFECTS", "AFFECTS", affects(incidents, equipment), "INCIDENTS", "incident_id", "EQUIPMENTS", "equipment_id"),
             Edge("EQUIPMENT_LOT", "BELONGS_TO_LOT", belongs_to_lot(equipment), "EQUIPMENTS", "equipment_id", "LOTS", "manufacturing_lot",
                  properties=("lot_source", "lot_assertion_status", "lot_source_reference_id"), hub=True),
-            Edge("EQUIPMENT_STAGE", "DEPLOYED_AT", deployed_at(equipment, stages), "EQUIPMENTS", "equipment_id", "STAGES", "stage_id"),
+            Edge("EQUIPMENT_STAGE", "DEPLOYED_AT", deployed_at(equipment), "EQUIPMENTS", "equipment_id", "STAGES", "stage_id"),
             Edge("INCIDENT_DOCUMENT", "DOCUMENTED_BY", documented_by(incidents, documents), "INCIDENTS", "incident_id", "DOCUMENTS", "document_id"),
-            Edge("INCIDENT_TASK", "CREATES", creates(tasks, incidents), "INCIDENTS", "incident_id", "TASKS", "task_id"),
+            Edge("INCIDENT_TASK", "CREATES", creates(tasks), "INCIDENTS", "incident_id", "TASKS", "task_id"),
             Edge("TASK_EQUIPMENT", "TARGETS", targets(s.task_equipment, tasks, equipment), "TASKS", "task_id", "EQUIPMENTS", "equipment_id",
                  properties=("source_type", "source_reference_id")),
             Edge("TASK_DOCUMENT", "USES_PROCEDURE", uses_procedure(s.task_document, tasks, documents), "TASKS", "task_id", "DOCUMENTS", "document_id",
