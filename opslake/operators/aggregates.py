@@ -60,39 +60,46 @@ def json_pages(
 ) -> DataFrame:
     """Ordered JSON arrays per key, in pages of at most ``page_rows`` members.
 
-    A key with up to ``page_rows`` rows gives one page, the whole array. A
-    larger key is first cut by range partitioning on the sort keys, so no task
-    and no array ever holds all rows of a hot key; reading its pages in
-    ``page_no`` order gives the whole array.
+    A key with up to ``page_rows`` rows gives one page, the whole array. Reading
+    the pages of a larger key in ``page_no`` order gives its whole array.
+
+    Rows are range-partitioned on key and order, so a hot key is spread over
+    many tasks. Pages are cut inside each range; a range border may split a
+    small key, whose few short pages are then put together.
 
     Returns (key, page_no, members, json).
     """
     sort_cols = [f"_o{i}" for i in range(len(order))]
-    base = rows.select(
-        F.col(key), payload.alias("_json"), *[o.alias(n) for n, o in zip(sort_cols, order)]
-    )
-    sizes = base.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    tie = [F.col(c).asc_nulls_last() for c in sort_cols] + [F.col("_json")]
-    sized = base.join(sizes, key)
-    small = sized.where(F.col("_n") <= page_rows).select(key, *sort_cols, "_json", F.lit(0).alias("_slot"))
-    large = (
-        sized.where(F.col("_n") > page_rows)
-        .repartitionByRange(F.col(key), *tie)
-        .select(key, *sort_cols, "_json", F.spark_partition_id().alias("_slot"))
+    by = [*[F.col(c).asc_nulls_last() for c in sort_cols], F.col("_json")]
+    ranged = (
+        rows.select(F.col(key), payload.alias("_json"), *[o.alias(n) for n, o in zip(sort_cols, order)])
+        .repartitionByRange(F.col(key), *by)
+        .withColumn("_range", F.spark_partition_id())
     )
-    in_slot = Window.partitionBy(key, "_slot").orderBy(*tie)
-    cut = small.unionByName(large).withColumn("_pos", F.row_number().over(in_slot))
-    pages = (
-        cut.withColumn("_part", F.floor((F.col("_pos") - 1) / page_rows).cast("int"))
-        .groupBy(key, "_slot", "_part")
+    position = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*by))
+    cut = (
+        ranged.withColumn("_pos", position)
+        .groupBy(key, "_range", F.floor((F.col("_pos") - 1) / page_rows).cast("int").alias("_part"))
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_json"))).alias("_rows"))
+        .select(key, "_range", "_part", F.transform("_rows", lambda r: r["_json"]).alias("_members"))
+    )
+    of_key = Window.partitionBy(key)
+    numbered = cut.withColumn("_total", F.sum(F.size("_members")).over(of_key)).withColumn(
+        "page_no",
+        F.when(F.col("_total") <= page_rows, 0)
+        .otherwise(F.row_number().over(of_key.orderBy("_range", "_part")) - 1)
+        .cast("int"),
+    )
+    pages = numbered.groupBy(key, "page_no").agg(
+        F.flatten(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("_range", "_part", "_members"))), lambda p: p["_members"]
+            )
+        ).alias("_members")
     )
-    per_key = Window.partitionBy(key).orderBy("_slot", "_part")
     return pages.select(
         key,
-        (F.row_number().over(per_key) - 1).cast("int").alias("page_no"),
-        F.size("_rows").cast("bigint").alias("members"),
-        F.concat(
-            F.lit("["), F.array_join(F.transform("_rows", lambda r: r["_json"]), ","), F.lit("]")
-        ).alias("json"),
+        "page_no",
+        F.size("_members").cast("bigint").alias("members"),
+        F.concat(F.lit("["), F.array_join("_members", ","), F.lit("]")).alias("json"),
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,19 +19,39 @@ from opslake.operators.joins import dangling, salted_join
 from opslake.operators.sets import union_all
 
 
+# Rows of an element: a DataFrame, or a function that makes it when first needed.
+Rows = DataFrame | Callable[[], DataFrame]
+
+
+class _Element:
+    """Resolves the rows of an element once and checks that its columns exist."""
+
+    @cached_property
+    def df(self) -> DataFrame:
+        df = self.rows() if callable(self.rows) else self.rows
+        missing = [c for c in self.columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"{self.name} lacks columns {missing}")
+        return df
+
+
 @dataclass(frozen=True)
-class Vertex:
+class Vertex(_Element):
     """Vertex table: one row per key; ``properties`` are visible to patterns."""
 
     name: str
     label: str
-    df: DataFrame
+    rows: Rows
     key: str
     properties: tuple[str, ...]
 
+    @property
+    def columns(self) -> list[str]:
+        return [self.key, *self.properties]
+
 
 @dataclass(frozen=True)
-class Edge:
+class Edge(_Element):
     """Edge table from vertex table ``source`` to vertex table ``target``.
 
     ``hub`` marks an edge whose target may be shared by very many sources;
@@ -39,7 +60,7 @@ class Edge:
 
     name: str
     label: str
-    df: DataFrame
+    rows: Rows
     source: str
     source_key: str
     target: str
@@ -48,6 +69,10 @@ class Edge:
     properties: tuple[str, ...] = ()
     hub: bool = False
 
+    @property
+    def columns(self) -> list[str]:
+        return [self.key, self.source_key, self.target_key, *self.properties]
+
 
 @dataclass(frozen=True)
 class GraphSpec:
@@ -55,13 +80,10 @@ class GraphSpec:
     edges: tuple[Edge, ...]
 
     def __post_init__(self):
-        by_name = {v.name: v for v in self.vertices}
-        for v in self.vertices:
-            _require(v.df, [v.key, *v.properties], v.name)
+        known = {v.name for v in self.vertices}
         for e in self.edges:
-            if e.source not in by_name or e.target not in by_name:
+            if e.source not in known or e.target not in known:
                 raise ValueError(f"edge {e.name} names an unknown vertex table")
-            _require(e.df, [e.key, e.source_key, e.target_key, *e.properties], e.name)
 
     def vertex(self, label: str) -> Vertex:
         return _one([v for v in self.vertices if v.label == label], "vertex", label)
@@ -78,22 +100,24 @@ class GraphSpec:
 
     def replacing(self, **frames: DataFrame) -> GraphSpec:
         """The same graph with some element tables exchanged, by element name."""
-        return GraphSpec(
-            tuple(replace(v, df=frames.get(v.name, v.df)) for v in self.vertices),
-            tuple(replace(e, df=frames.get(e.name, e.df)) for e in self.edges),
-        )
+        def exchanged(elements):
+            return tuple(replace(e, rows=frames[e.name]) if e.name in frames else e for e in elements)
 
-    def saved(self, spark: SparkSession, path: str) -> GraphSpec:
-        """Write every element once below ``path`` and read it back.
+        return GraphSpec(exchanged(self.vertices), exchanged(self.edges))
+
+    def saved(self, spark: SparkSession, path: str, names: Sequence[str] | None = None) -> GraphSpec:
+        """Write elements once below ``path`` and read them back.
 
         Use it before many questions on one graph; the views behind the
-        elements are then not computed again for each question.
+        elements are then not computed again for each question. ``names`` limits
+        it to the elements that the questions use.
         """
         frames = {}
         for element in (*self.vertices, *self.edges):
-            target = f"{path.rstrip('/')}/{element.name}"
-            element.df.write.mode("errorifexists").parquet(target)
-            frames[element.name] = spark.read.parquet(target)
+            if names is None or element.name in names:
+                target = f"{path.rstrip('/')}/{element.name}"
+                element.df.write.mode("errorifexists").parquet(target)
+                frames[element.name] = spark.read.schema(element.df.schema).parquet(target)
         return self.replacing(**frames)
 
 
@@ -265,12 +289,6 @@ def element_sizes(graph: GraphSpec) -> DataFrame:
     )
 
 
-def _require(df: DataFrame, names: Sequence[str], element: str) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"{element} lacks columns {missing}")
-
-
 def _one(found: list, kind: str, name: str):
     if len(found) != 1:
         raise ValueError(f"{kind} {name!r}: {len(found)} definitions")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ OPEN_STATES = ("OPEN", "IN_PROGRESS")
 
 @dataclass(frozen=True)
 class Sources:
-    """Source tables of the graph."""
+    """Source tables of the graph. Any object with these attributes will do."""
 
     incidents: DataFrame
     equipment: DataFrame
@@ -165,36 +166,71 @@ def governed_by(links: DataFrame, lots: DataFrame, documents: DataFrame) -> Data
 # --- graph ----------------------------------------------------------------
 
 
+class Nodes:
+    """Node views over the sources, each made when first needed."""
+
+    def __init__(self, s: Sources):
+        self._s = s
+
+    @cached_property
+    def incidents(self) -> DataFrame:
+        return incident_nodes(self._s)
+
+    @cached_property
+    def equipment(self) -> DataFrame:
+        return equipment_nodes(self._s)
+
+    @cached_property
+    def stages(self) -> DataFrame:
+        return stage_nodes(self._s)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return document_nodes(self._s)
+
+    @cached_property
+    def lots(self) -> DataFrame:
+        return lot_nodes(self.equipment)
+
+    @cached_property
+    def tasks(self) -> DataFrame:
+        return task_nodes(self._s, self.incidents)
+
+
 def build_graph(s: Sources) -> GraphSpec:
     """Six vertex tables and eight edge tables over the source tables."""
-    incidents, equipment, stages, documents = incident_nodes(s), equipment_nodes(s), stage_nodes(s), document_nodes(s)
-    lots, tasks = lot_nodes(equipment), task_nodes(s, incidents)
+    n = Nodes(s)
     return GraphSpec(
         vertices=(
-            Vertex("INCIDENTS", "INCIDENT", incidents, "incident_id",
+            Vertex("INCIDENTS", "INCIDENT", lambda: n.incidents, "incident_id",
                    ("festival_date", "location_id", "category", "severity", "start_ts", "end_ts", "title", "status", "document_id")),
-            Vertex("EQUIPMENTS", "EQUIPMENT", equipment, "equipment_id",
+            Vertex("EQUIPMENTS", "EQUIPMENT", lambda: n.equipment, "equipment_id",
                    ("stage_id", "equipment_category", "model_name", "serial_number", "manufacturing_lot", "firmware_version",
                     "criticality", "lot_source", "lot_assertion_status", "lot_source_reference_id")),
-            Vertex("STAGES", "STAGE", stages, "stage_id", ("stage_name", "stage_type", "capacity")),
-            Vertex("LOTS", "MANUFACTURING_LOT", lots, "manufacturing_lot", ()),
-            Vertex("TASKS", "TASK", tasks, "task_id",
+            Vertex("STAGES", "STAGE", lambda: n.stages, "stage_id", ("stage_name", "stage_type", "capacity")),
+            Vertex("LOTS", "MANUFACTURING_LOT", lambda: n.lots, "manufacturing_lot", ()),
+            Vertex("TASKS", "TASK", lambda: n.tasks, "task_id",
                    ("task_code", "incident_id", "task_title", "priority", "owner_team_id", "created_by_agent", "created_at", "status")),
-            Vertex("DOCUMENTS", "DOCUMENT", documents, "document_id",
+            Vertex("DOCUMENTS", "DOCUMENT", lambda: n.documents, "document_id",
                    ("file_name", "document_type", "version", "effective_date", "purpose")),
         ),
         edges=(
-            Edge("INCIDENT_AFFECTS", "AFFECTS", affects(incidents, equipment), "INCIDENTS", "incident_id", "EQUIPMENTS", "equipment_id"),
-            Edge("EQUIPMENT_LOT", "BELONGS_TO_LOT", belongs_to_lot(equipment), "EQUIPMENTS", "equipment_id", "LOTS", "manufacturing_lot",
+            Edge("INCIDENT_AFFECTS", "AFFECTS", lambda: affects(n.incidents, n.equipment),
+                 "INCIDENTS", "incident_id", "EQUIPMENTS", "equipment_id"),
+            Edge("EQUIPMENT_LOT", "BELONGS_TO_LOT", lambda: belongs_to_lot(n.equipment),
+                 "EQUIPMENTS", "equipment_id", "LOTS", "manufacturing_lot",
                  properties=("lot_source", "lot_assertion_status", "lot_source_reference_id"), hub=True),
-            Edge("EQUIPMENT_STAGE", "DEPLOYED_AT", deployed_at(equipment), "EQUIPMENTS", "equipment_id", "STAGES", "stage_id"),
-            Edge("INCIDENT_DOCUMENT", "DOCUMENTED_BY", documented_by(incidents, documents), "INCIDENTS", "incident_id", "DOCUMENTS", "document_id"),
-            Edge("INCIDENT_TASK", "CREATES", creates(tasks), "INCIDENTS", "incident_id", "TASKS", "task_id"),
-            Edge("TASK_EQUIPMENT", "TARGETS", targets(s.task_equipment, tasks, equipment), "TASKS", "task_id", "EQUIPMENTS", "equipment_id",
-                 properties=("source_type", "source_reference_id")),
-            Edge("TASK_DOCUMENT", "USES_PROCEDURE", uses_procedure(s.task_document, tasks, documents), "TASKS", "task_id", "DOCUMENTS", "document_id",
-                 properties=("source_type", "source_reference_id")),
-            Edge("LOT_DOCUMENT", "GOVERNED_BY", governed_by(s.lot_document, lots, documents), "LOTS", "manufacturing_lot", "DOCUMENTS", "document_id",
+            Edge("EQUIPMENT_STAGE", "DEPLOYED_AT", lambda: deployed_at(n.equipment),
+                 "EQUIPMENTS", "equipment_id", "STAGES", "stage_id"),
+            Edge("INCIDENT_DOCUMENT", "DOCUMENTED_BY", lambda: documented_by(n.incidents, n.documents),
+                 "INCIDENTS", "incident_id", "DOCUMENTS", "document_id"),
+            Edge("INCIDENT_TASK", "CREATES", lambda: creates(n.tasks), "INCIDENTS", "incident_id", "TASKS", "task_id"),
+            Edge("TASK_EQUIPMENT", "TARGETS", lambda: targets(s.task_equipment, n.tasks, n.equipment),
+                 "TASKS", "task_id", "EQUIPMENTS", "equipment_id", properties=("source_type", "source_reference_id")),
+            Edge("TASK_DOCUMENT", "USES_PROCEDURE", lambda: uses_procedure(s.task_document, n.tasks, n.documents),
+                 "TASKS", "task_id", "DOCUMENTS", "document_id", properties=("source_type", "source_reference_id")),
+            Edge("LOT_DOCUMENT", "GOVERNED_BY", lambda: governed_by(s.lot_document, n.lots, n.documents),
+                 "LOTS", "manufacturing_lot", "DOCUMENTS", "document_id",
                  properties=("relation_type", "source_type", "source_reference_id")),
         ),
     )
@@ -202,6 +238,13 @@ def build_graph(s: Sources) -> GraphSpec:
 
 # --- questions ------------------------------------------------------------
 
+# Elements that the three questions read. With trusted edges the incident,
+# equipment and lot vertices are known by their keys alone.
+QUESTION_ELEMENTS = (
+    "STAGES", "TASKS", "DOCUMENTS", "INCIDENT_AFFECTS", "EQUIPMENT_LOT", "EQUIPMENT_STAGE", "INCIDENT_DOCUMENT",
+    "INCIDENT_TASK", "TASK_EQUIPMENT", "TASK_DOCUMENT", "LOT_DOCUMENT",
+)
+
 IMPACT = Pattern(
     ("i", "INCIDENT"),
     (

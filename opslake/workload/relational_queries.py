@@ -8,13 +8,10 @@ from opslake.functions import moments, numeric, text
 from opslake.operators import aggregates, joins, ranking, sets
 from opslake.plans import quality
 from opslake.sources import NEVER_BLANK, all_text_csv, audit, read_json, read_table, writers
-from opslake.workload.registry import Tables, avg_sql, pct_sql, query
+from opslake.workload.registry import SCHEMAS, Tables, avg_sql, pct_sql, query
 from opslake.workload.shared import shared_dir
 
-ALL_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-    "pages", "benchmark", "labels", "conversations",
-)
+ALL_TABLES = tuple(SCHEMAS)
 
 # --- sources and sinks ----------------------------------------------------
 

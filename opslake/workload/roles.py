@@ -256,11 +256,9 @@ class Roles:
         )
 
     @property
-    def sources(self) -> kg.Sources:
-        return kg.Sources(
-            self.incidents, self.equipment, self.stages, self.lot_patch, self.tasks, self.task_equipment, self.task_document,
-            self.lot_document, self.documents,
-        )
+    def sources(self) -> "Roles":
+        """The roles carry the names of the graph sources; each is made when first used."""
+        return self
 
     @cached_property
     def graph(self):
