@@ -24,26 +24,29 @@ def running_grid(
 
     ``start`` gives the first mark from the key columns. A sale exactly on a
     mark counts for it; sales before the first mark count for the first; sales
-    after the last mark do not count. Sales are summed per (key, mark) before
-    the grid is joined, so the running window holds ``marks`` rows per key.
+    after the last mark do not count.
+
+    The running totals are sums per key, one for each of the (some tens of)
+    marks. They are combined before the shuffle, so a best seller ships one row
+    per task, and the grid is unfolded after the join: one shuffle, no sort.
     """
-    step = step_minutes * 60
     late = seconds_between(start, F.col(ts))
-    index = F.greatest(F.ceil(late / F.lit(step)), F.lit(0)).cast("int")
     sold = (
-        sales.where(F.col(ts).isNotNull())
-        .withColumn("mark_no", index)
-        .where(F.col("mark_no") < marks)
-        .groupBy(*keys, "mark_no")
-        .agg(F.sum(quantity).cast("bigint").alias("_sold"))
+        sales.withColumn("_mark", F.ceil(late / F.lit(step_minutes * 60)).cast("bigint"))
+        .groupBy(*keys)
+        .agg(F.array(*[F.sum(F.when(F.col("_mark") <= m, F.col(quantity))).cast("bigint") for m in range(marks)]).alias("_sold"))
     )
-    grid = stock.withColumn("mark_no", F.explode(F.sequence(F.lit(0), F.lit(marks - 1))))
-    upto = Window.partitionBy(*keys).orderBy("mark_no").rowsBetween(Window.unboundedPreceding, 0)
+    empty = F.array_repeat(F.lit(None).cast("bigint"), marks)
     return (
-        grid.join(sold, [*keys, "mark_no"], "left")
-        .withColumn("sold", F.coalesce(F.sum("_sold").over(upto), F.lit(0)).cast("bigint"))
-        .withColumn("mark_ts", F.timestamp_add("MINUTE", F.col("mark_no") * step_minutes, start))
-        .drop("_sold")
+        stock.join(sold, list(keys), "left")
+        .withColumn("_start", start)
+        .select(
+            *[F.col(c) for c in stock.columns], "_start",
+            F.posexplode(F.coalesce("_sold", empty)).alias("mark_no", "_upto"),
+        )
+        .withColumn("sold", F.coalesce("_upto", F.lit(0)).cast("bigint"))
+        .withColumn("mark_ts", F.timestamp_add("MINUTE", F.col("mark_no") * step_minutes, F.col("_start")))
+        .drop("_upto", "_start")
     )
 
 

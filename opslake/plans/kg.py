@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.functions.text import edge_id, priority_rank
@@ -169,9 +169,23 @@ def governed_by(links: DataFrame, lots: DataFrame, documents: DataFrame) -> Data
 class Nodes:
     """Node views over the sources, each made when first needed."""
 
+    NAMES = ("incidents", "equipment", "stages", "documents", "lots", "tasks")
+
     def __init__(self, s: Sources):
         self._s = s
 
+    def saved(self, spark: SparkSession, path: str) -> Nodes:
+        """Write each node view once below ``path`` and go on from the files.
+
+        Later views and the edges build on the files, so the sources are read
+        once however many questions the graph is asked.
+        """
+        for name in self.NAMES:
+            df, target = getattr(self, name), f"{path.rstrip('/')}/{name}"
+            df.write.mode("errorifexists").parquet(target)
+            setattr(self, name, spark.read.schema(df.schema).parquet(target))
+        return self
+
     @cached_property
     def incidents(self) -> DataFrame:
         return incident_nodes(self._s)
@@ -197,9 +211,9 @@ class Nodes:
         return task_nodes(self._s, self.incidents)
 
 
-def build_graph(s: Sources) -> GraphSpec:
+def build_graph(s: Sources, nodes: Nodes | None = None) -> GraphSpec:
     """Six vertex tables and eight edge tables over the source tables."""
-    n = Nodes(s)
+    n = nodes or Nodes(s)
     return GraphSpec(
         vertices=(
             Vertex("INCIDENTS", "INCIDENT", lambda: n.incidents, "incident_id",
@@ -238,13 +252,6 @@ def build_graph(s: Sources) -> GraphSpec:
 
 # --- questions ------------------------------------------------------------
 
-# Elements that the three questions read. With trusted edges the incident,
-# equipment and lot vertices are known by their keys alone.
-QUESTION_ELEMENTS = (
-    "STAGES", "TASKS", "DOCUMENTS", "INCIDENT_AFFECTS", "EQUIPMENT_LOT", "EQUIPMENT_STAGE", "INCIDENT_DOCUMENT",
-    "INCIDENT_TASK", "TASK_EQUIPMENT", "TASK_DOCUMENT", "LOT_DOCUMENT",
-)
-
 IMPACT = Pattern(
     ("i", "INCIDENT"),
     (

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from opslake.operators.sets import union_all
-from opslake.plans import changes, kg
+from opslake.plans import changes
 from opslake.workload.registry import Tables, query
-from opslake.workload.roles import Roles, with_roles
+from opslake.workload.roles import Roles, saved_graph, with_roles
 from opslake.workload.shared import shared_dir
 
 
@@ -129,8 +129,8 @@ _STATE = """SELECT '{case}' AS "case", incident_id, CAST(coalesce(equipment, 0)
     _STATE.format(case="bulletins removed", task="1 = 1", doc="relation_type <> 'SERVICE_BULLETIN'"),
 ])))
 def d7(t: Tables):
-    """Three graphs are asked three questions each, so the elements are written once."""
-    g = Roles(t).graph.saved(t.spark, shared_dir(t.spark), kg.QUESTION_ELEMENTS)
+    """Three graphs are asked three questions each, so the node views are written once."""
+    g = saved_graph(Roles(t))
     tasks, guides = g.vertex("TASK").df, g.edge("GOVERNED_BY").df
     closed = changes.apply_update(tasks, F.col("priority") == "CRITICAL", {"status": F.lit("CLOSED")})
     removed = changes.apply_delete(guides, F.col("relation_type") == "SERVICE_BULLETIN")

@@ -7,8 +7,7 @@ from opslake.operators.sets import symmetric_difference
 from opslake.plans import api, kg, quality
 from opslake.plans.graph import GraphSpec, element_sizes, endpoint_errors, key_errors
 from opslake.workload.registry import Tables, query
-from opslake.workload.roles import Roles, with_roles
-from opslake.workload.shared import shared_dir
+from opslake.workload.roles import Roles, saved_graph, with_roles
 
 query("g1_location_scope", with_roles("SELECT * FROM scope"))(lambda t: Roles(t).scope)
 query("g2_scope_audit", with_roles("SELECT * FROM audit"))(lambda t: Roles(t).audit)
@@ -235,8 +234,7 @@ def g32(t: Tables):
     UNION ALL SELECT incident_id, count(*), 'open_tasks' FROM open_tasks GROUP BY incident_id
     UNION ALL SELECT incident_id, count(*), 'documents' FROM related_documents GROUP BY incident_id"""))
 def g32_sizes(t: Tables):
-    graph = Roles(t).graph.saved(t.spark, shared_dir(t.spark), kg.QUESTION_ELEMENTS)
-    return api.answer_sizes(graph).withColumn("members", F.col("members").cast("bigint"))
+    return api.answer_sizes(saved_graph(Roles(t))).withColumn("members", F.col("members").cast("bigint"))
 
 
 _EXPECT = """

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from opslake.plans import kg, scope, views
 from opslake.workload.registry import Tables
+from opslake.workload.shared import shared_dir
 
 FIXED_PLACES = ("LOC-901", "LOC-902")
 YEARS = tuple(str(y) for y in range(1995, 2002))
@@ -26,7 +27,7 @@ def _txt(prefix: str, col):
 
 
 def _year(col):
-    return F.date_format(col, "yyyy")
+    return F.year(col).cast("string")
 
 
 def _ts(col):
@@ -303,6 +304,11 @@ class Roles:
         )
 
 
+def saved_graph(r: Roles):
+    """The graph over node views that are written once to the shared folder."""
+    return kg.build_graph(r, kg.Nodes(r).saved(r.t.spark, shared_dir(r.t.spark)))
+
+
 ROLE_SQL: dict[str, str] = {
     "stages": """SELECT 'LOC-' || n_nationkey AS stage_id, n_name AS stage_name, 'REGION-' || n_regionkey AS stage_type,
         CAST(n_nationkey + 1000 AS BIGINT) AS capacity, 'Z' || n_regionkey AS location_zone, 'NET-' || n_regionkey AS network_zone,

@@ -61,7 +61,7 @@ def _stock(r: Roles):
 
 
 def _season_start():
-    return F.to_timestamp_ntz(F.concat(F.col("festival_date"), F.lit("-01-01 00:00:00")))
+    return F.concat(F.col("festival_date"), F.lit("-01-01")).cast("timestamp_ntz")
 
 
 def _snapshots(r: Roles):
