@@ -27,10 +27,19 @@ def days_between(start: Column, end: Column) -> Column:
     return F.datediff(end, start).cast("bigint")
 
 
-def minutes_between(start: Column, end: Column) -> Column:
-    """Whole minutes from ``start`` to ``end``, truncated towards zero."""
-    return F.timestamp_diff("MINUTE", start, end).cast("bigint")
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from ``start`` to ``end``, truncated towards zero.
 
+    Local times are subtracted as they stand, so a clock change in the zone of
+    the session does not count. (``timestamp_diff`` would convert to that zone.)
+    """
+    gap = end - start
+    part = {unit: F.extract(F.lit(unit), gap) for unit in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    whole = (part["DAY"].cast("bigint") * 24 + part["HOUR"]) * 60 + part["MINUTE"]
+    # The parts of a negative gap are all negative, so truncating the seconds truncates the sum.
+    return (whole * 60 + part["SECOND"].cast("bigint")).cast("bigint")
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end).cast("bigint")
+
+def minutes_between(start: Column, end: Column) -> Column:
+    """Whole minutes from ``start`` to ``end``, truncated towards zero."""
+    return (seconds_between(start, end) / 60).cast("bigint")
