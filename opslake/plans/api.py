@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,8 +36,9 @@ class IncidentIdError(ValueError):
 
 
 def check_ids(rows: DataFrame, column: str = "incident_id", pattern: str = INCIDENT_ID) -> DataFrame:
-    """Add ``valid_id``: does the id have the expected form? NULL is not valid."""
-    return rows.withColumn("valid_id", F.coalesce(F.col(column).rlike(pattern), F.lit(False)))
+    """Add ``valid_id``: does the whole id have the expected form? NULL is not valid."""
+    whole = F.regexp_extract(F.col(column), pattern, 0) == F.col(column)
+    return rows.withColumn("valid_id", F.coalesce(whole, F.lit(False)))
 
 
 def id_states(graph: GraphSpec, asked: DataFrame) -> DataFrame:
@@ -59,9 +61,7 @@ def id_states(graph: GraphSpec, asked: DataFrame) -> DataFrame:
 
 def assert_incident(graph: GraphSpec, incident_id: str | None) -> None:
     """Raise unless the id is well formed and names exactly one incident."""
-    import re
-
-    if incident_id is None or not re.match(INCIDENT_ID, incident_id) or incident_id.endswith("\n"):
+    if incident_id is None or not re.fullmatch(INCIDENT_ID, incident_id):
         raise IncidentIdError(INVALID_ID, "Invalid Incident ID")
     found = graph.vertex("INCIDENT").df.where(F.col("incident_id") == incident_id).select("incident_id").limit(2).count()
     if found == 0:

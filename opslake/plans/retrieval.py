@@ -77,7 +77,7 @@ def cosine_topk(
         if not rows and found is not None:
             continue
         ids = [r[0] for r in rows]
-        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 0)
         part = vectors.select(F.col(vec_id).cast("bigint").alias(vec_id), embedding).mapInArrow(
             _scorer(ids, matrix, k, arrow), schema
         )
