@@ -40,14 +40,17 @@ def offending_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(is_null | (F.col("row_count") > 1))
 
 
+def failure_columns(result: Column, ok: str, digits: int = 1) -> list[Column]:
+    """Aggregates ``attempts``, ``failures`` (everything that is not ``ok``) and ``failure_rate_pct``."""
+    attempts, failures = F.count(F.lit(1)), count_where(F.coalesce(result, F.lit("")) != ok)
+    return [
+        attempts.alias("attempts"), failures.alias("failures"),
+        percent(failures, attempts, digits).alias("failure_rate_pct"),
+    ]
+
+
 def failure_rate(rows: DataFrame, keys: Sequence[str], result: str, ok: str, digits: int = 1) -> DataFrame:
-    """Attempts, failures (everything that is not ``ok``) and failure percent."""
-    failures = count_where(F.coalesce(F.col(result), F.lit("")) != ok)
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("attempts"),
-        failures.alias("failures"),
-        percent(failures, F.count(F.lit(1)), digits).alias("failure_rate_pct"),
-    )
+    return rows.groupBy(*keys).agg(*failure_columns(F.col(result), ok, digits))
 
 
 def first_time(rows: DataFrame, keys: Sequence[str], ts: str, pred: Column, name: str) -> DataFrame:
@@ -60,46 +63,49 @@ def json_pages(
 ) -> DataFrame:
     """Ordered JSON arrays per key, in pages of at most ``page_rows`` members.
 
-    A key with up to ``page_rows`` rows gives one page, the whole array. Reading
-    the pages of a larger key in ``page_no`` order gives its whole array.
+    Returns (key, page_order, members, json). The pages of a key in
+    ``page_order`` give its whole array; a key with up to ``page_rows`` rows has
+    one page.
 
-    Rows are range-partitioned on key and order, so a hot key is spread over
-    many tasks. Pages are cut inside each range; a range border may split a
-    small key, whose few short pages are then put together.
-
-    Returns (key, page_no, members, json).
+    Rows are range-partitioned on key and order, so a hot key spreads over many
+    tasks, and pages are cut inside each range. A range border may split a small
+    key. Ranges that hold just one page of a key are therefore looked at again,
+    and put together if they are neighbours and fit one page. Only such ranges
+    meet in one task: of a hot key these are the ones at its two ends.
     """
     sort_cols = [f"_o{i}" for i in range(len(order))]
     by = [*[F.col(c).asc_nulls_last() for c in sort_cols], F.col("_json")]
-    ranged = (
+    in_range = Window.partitionBy(key, "_range")
+    cut = (
         rows.select(F.col(key), payload.alias("_json"), *[o.alias(n) for n, o in zip(sort_cols, order)])
         .repartitionByRange(F.col(key), *by)
         .withColumn("_range", F.spark_partition_id())
-    )
-    position = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*by))
-    cut = (
-        ranged.withColumn("_pos", position)
-        .groupBy(key, "_range", F.floor((F.col("_pos") - 1) / page_rows).cast("int").alias("_part"))
+        .withColumn("_pos", F.row_number().over(in_range.orderBy(*by)))
+        .withColumn("_n", F.count(F.lit(1)).over(in_range))
+        .groupBy(key, "_range", "_n", F.floor((F.col("_pos") - 1) / page_rows).cast("int").alias("_part"))
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_json"))).alias("_rows"))
-        .select(key, "_range", "_part", F.transform("_rows", lambda r: r["_json"]).alias("_members"))
+        .withColumn("_members", F.transform("_rows", lambda r: r["_json"]))
     )
-    of_key = Window.partitionBy(key)
-    numbered = cut.withColumn("_total", F.sum(F.size("_members")).over(of_key)).withColumn(
-        "page_no",
-        F.when(F.col("_total") <= page_rows, 0)
-        .otherwise(F.row_number().over(of_key.orderBy("_range", "_part")) - 1)
-        .cast("int"),
+    alone = F.col("_n") <= page_rows
+    met = (
+        cut.groupBy(key, F.when(~alone, F.col("_range")).alias("_r"), F.when(~alone, F.col("_part")).alias("_p"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("_range", "_part", "_members"))).alias("_pages"),
+            F.sum(F.size("_members")).alias("_total"),
+            (F.max("_range") - F.min("_range") + 1 == F.count(F.lit(1))).alias("_neighbours"),
+        )
     )
-    pages = numbered.groupBy(key, "page_no").agg(
-        F.flatten(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("_range", "_part", "_members"))), lambda p: p["_members"]
-            )
-        ).alias("_members")
+    first = F.element_at("_pages", 1)
+    together = F.array(
+        F.struct(
+            first["_range"].alias("_range"), first["_part"].alias("_part"),
+            F.flatten(F.transform("_pages", lambda p: p["_members"])).alias("_members"),
+        )
     )
-    return pages.select(
+    fits = F.col("_r").isNull() & F.col("_neighbours") & (F.col("_total") <= page_rows)
+    return met.select(key, F.inline(F.when(fits, together).otherwise(F.col("_pages")))).select(
         key,
-        "page_no",
+        (F.col("_range").cast("bigint") * F.lit(2**31) + F.col("_part")).alias("page_order"),
         F.size("_members").cast("bigint").alias("members"),
         F.concat(F.lit("["), F.array_join("_members", ","), F.lit("]")).alias("json"),
     )

@@ -52,7 +52,7 @@ def running_grid(
 
 def sustained(
     rows: DataFrame, keys: Sequence[str], ts: str, tie: str, flag: Column, min_seconds: int,
-    end: str | None = None, chunk: str = "day",
+    end: str | None = None, chunk: str = "hour",
 ) -> DataFrame:
     """Runs of consecutive readings for which ``flag`` holds long enough.
 
@@ -115,7 +115,7 @@ def sustained(
 
 
 def carry_forward(
-    rows: DataFrame, keys: Sequence[str], ts: str, tie: str, values: dict[str, Column], chunk: str = "day"
+    rows: DataFrame, keys: Sequence[str], ts: str, tie: str, values: dict[str, Column], chunk: str = "hour"
 ) -> DataFrame:
     """Add columns with the latest non-null value at or before each row."""
     marked = rows.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))

@@ -76,7 +76,7 @@ def _members(names: Sequence[str], renamed: dict[str, str] | None = None):
 
 
 def impact_json(graph: GraphSpec, ids=None) -> DataFrame:
-    """Impact rows per incident as ordered JSON (incident_id, page_no, members, json)."""
+    """Impact rows per incident as ordered JSON (incident_id, page_order, members, json)."""
     order = [F.col("related_stage_id"), F.col("related_equipment_id")]
     return json_pages(kg.incident_impact(graph, ids), "incident_id", order, _members(IMPACT_MEMBERS))
 
@@ -95,11 +95,12 @@ def documents_json(graph: GraphSpec, ids=None) -> DataFrame:
 
 
 def answer(graph: GraphSpec, incident_id: str, pages) -> DataFrame:
-    """Checked answer for one incident: (page_no, json), one page ``[]`` when nothing matches."""
+    """Checked answer for one incident: (page_order, json), one page ``[]`` when nothing matches."""
     assert_incident(graph, incident_id)
-    found = pages(graph, [incident_id]).select("page_no", "json")
-    empty = found.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 0)
-    return found.unionByName(empty.select(F.lit(0).alias("page_no"), F.lit("[]").alias("json")))
+    asked = graph.vertex("INCIDENT").df.where(F.col("incident_id") == incident_id).select("incident_id")
+    return asked.join(pages(graph, [incident_id]), "incident_id", "left").select(
+        F.coalesce("page_order", F.lit(0).cast("bigint")).alias("page_order"), F.coalesce("json", F.lit("[]")).alias("json")
+    )
 
 
 def json_rows(pages: DataFrame, schema: str, column: str = "json") -> DataFrame:

@@ -87,9 +87,9 @@ def upsert_by_natural_key(
     matches more than one row of the target.
     """
     require_unique(source, natural)
-    touched = tasks.join(source.select(*natural), list(natural), "left_semi")
+    touched = tasks.join(source.select(*natural), list(natural), "left_semi").select(*tasks.columns)
     require_unique(touched, natural)
-    rest = tasks.join(source.select(*natural), list(natural), "left_anti")
+    rest = tasks.join(source.select(*natural), list(natural), "left_anti").select(*tasks.columns)
     merged = upsert(touched, source, natural, insert_defaults=insert_defaults, check=False)
     known = merged.where(F.col(key).isNotNull())
     fresh = new_ids(merged.where(F.col(key).isNull()), tasks, key).select(*tasks.columns)
@@ -188,7 +188,7 @@ def delete_matching(rows: DataFrame, keys: DataFrame, on: Sequence[str], expecte
         found = rows.join(keys, list(on), "left_semi").count()
         if found != expected:
             raise ChangeError(f"expected {expected} rows, found {found}")
-    return rows.join(keys, list(on), "left_anti")
+    return rows.join(keys, list(on), "left_anti").select(*rows.columns)
 
 
 def _require_count(rows: DataFrame, pred: Column, expected: int | None) -> None:

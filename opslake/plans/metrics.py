@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opslake.functions.moments import days_between, minutes_between
 from opslake.functions.numeric import exact_avg, gap_percent
-from opslake.operators.aggregates import count_where, failure_rate
+from opslake.operators.aggregates import count_where, failure_columns
 from opslake.operators.ranking import top_k
 from opslake.plans.rules import APPROVED
 
@@ -57,10 +57,9 @@ def in_window(rows: DataFrame, ts: str, low, high) -> DataFrame:
 
 def gate_metrics(scans: DataFrame, low, high, ok: str = "SUCCESS") -> DataFrame:
     """Attempts, failures, failure percent and average queue per gate in a closed time window."""
-    rows = in_window(scans, "event_ts", low, high)
-    rate = failure_rate(rows, ["gate_id"], "result_code", ok)
-    queue = rows.groupBy("gate_id").agg(exact_avg(F.col("queue_estimate_minutes"), 1).alias("avg_queue_minutes"))
-    return rate.join(queue, "gate_id")
+    return in_window(scans, "event_ts", low, high).groupBy("gate_id").agg(
+        *failure_columns(F.col("result_code"), ok), exact_avg(F.col("queue_estimate_minutes"), 1).alias("avg_queue_minutes")
+    )
 
 
 def failover_minutes(actions: DataFrame) -> DataFrame:

@@ -159,7 +159,7 @@ def coverage(expected: DataFrame, catalog: DataFrame, chunks: DataFrame, attribu
 
 def narrow(chunks: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     """Keep the chunks of candidate documents."""
-    return chunks.join(candidates.select(key).distinct(), key, "left_semi")
+    return chunks.join(candidates.select(key).distinct(), key, "left_semi").select(*chunks.columns)
 
 
 def canonical_term(rows: DataFrame, column: str, terms: DataFrame, out: str = "canonical_term") -> DataFrame:

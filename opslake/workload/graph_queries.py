@@ -188,7 +188,7 @@ def g27(t: Tables):
 
 def _json_sql(rows: str, members: str, order: str) -> str:
     return with_roles(f"""
-        SELECT incident_id, CAST(0 AS INTEGER) AS page_no, count(*) AS members,
+        SELECT incident_id, count(*) AS members,
                '[' || string_agg(CAST(to_json({{{members}}}) AS VARCHAR), ',' ORDER BY {order}) || ']' AS json
         FROM {rows} GROUP BY incident_id""")
 
@@ -200,14 +200,14 @@ def _named(names, renamed=None):
 _RANK = "CASE priority WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 4 ELSE 5 END"
 
 query("g28_impact_json", _json_sql("impact", _named(api.IMPACT_MEMBERS), "related_stage_id, related_equipment_id"))(
-    lambda t: api.impact_json(Roles(t).graph)
+    lambda t: api.impact_json(Roles(t).graph).drop("page_order")
 )
 query("g29_tasks_json", _json_sql("open_tasks", _named(api.TASK_MEMBERS, {"task_status": "status"}), f"{_RANK}, task_id"))(
-    lambda t: api.tasks_json(Roles(t).graph)
+    lambda t: api.tasks_json(Roles(t).graph).drop("page_order")
 )
 query("g30_documents_json", _json_sql(
     "related_documents", _named(kg.DOCUMENT_COLUMNS), "document_id, relation_type, task_id NULLS LAST"))(
-    lambda t: api.documents_json(Roles(t).graph)
+    lambda t: api.documents_json(Roles(t).graph).drop("page_order")
 )
 
 
@@ -277,7 +277,7 @@ def g34(t: Tables):
 
 
 @query("a12_ordered_json_rows", """
-    SELECT o_custkey, CAST(0 AS INTEGER) AS page_no, count(*) AS members,
+    SELECT o_custkey, count(*) AS members,
       '[' || string_agg(CAST(to_json({'order': o_orderkey, 'status': o_orderstatus, 'rush': CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END}) AS VARCHAR),
         ',' ORDER BY o_orderpriority, o_orderkey) || ']' AS json
     FROM orders GROUP BY o_custkey""")
@@ -288,4 +288,4 @@ def a12(t: Tables):
         F.col("o_orderkey").alias("order"), F.col("o_orderstatus").alias("status"),
         F.when(F.col("o_orderpriority") == "1-URGENT", 1).alias("rush"),
     ])
-    return json_pages(t.orders, "o_custkey", [F.col("o_orderpriority"), F.col("o_orderkey")], payload)
+    return json_pages(t.orders, "o_custkey", [F.col("o_orderpriority"), F.col("o_orderkey")], payload).drop("page_order")

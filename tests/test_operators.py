@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -69,17 +70,24 @@ def test_failure_rate_counts_null_as_failure(spark, rows):
     assert rows(aggregates.failure_rate(df, ["gate"], "r", "SUCCESS")) == [("g", 3, 2, 66.7), ("h", 1, 0, 0.0)]
 
 
-def test_json_pages_small_key_is_one_page_and_hot_key_is_whole(spark):
+@pytest.mark.parametrize("coalesced", [True, False])
+@pytest.mark.parametrize("page_rows", [50, 10, 400, 1000])
+def test_json_pages_small_key_is_one_page_and_hot_key_is_whole(spark, page_rows, coalesced):
     data = [("hot", i * 7 % 501, i) for i in range(501)] + [(f"k{i % 9}", i, i) for i in range(90)]
     df = spark.createDataFrame(data, "k string, o int, v int").repartition(7)
     payload = F.to_json(F.struct("o", "v"))
-    pages = aggregates.json_pages(df, "k", [F.col("o")], payload, page_rows=50).collect()
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, coalesced)
+    try:
+        pages = aggregates.json_pages(df, "k", [F.col("o")], payload, page_rows=page_rows).collect()
+    finally:
+        spark.conf.unset(coalesce)
     by_key = {}
-    for p in sorted(pages, key=lambda p: (p["k"], p["page_no"])):
-        assert p["members"] == len(json.loads(p["json"])) <= 50
+    for p in sorted(pages, key=lambda p: (p["k"], p["page_order"])):
+        assert p["members"] == len(json.loads(p["json"])) <= page_rows
         by_key.setdefault(p["k"], []).append(p)
     for key, ps in by_key.items():
-        assert [p["page_no"] for p in ps] == list(range(len(ps)))
+        assert len({p["page_order"] for p in ps}) == len(ps)
         assert len(ps) == 1 or key == "hot"
         got = [(m["o"], m["v"]) for p in ps for m in json.loads(p["json"])]
         assert got == sorted((o, v) for k, o, v in data if k == key)
