@@ -51,13 +51,13 @@ def running_grid(
 
 
 def sustained(
-    rows: DataFrame, keys: Sequence[str], ts: str, tie: str, flag: Column, min_seconds: int,
+    rows: DataFrame, keys: Sequence[str], ts: str, tie: str, flag: Column, min_seconds: int | Column,
     end: str | None = None, chunk: str = "hour",
 ) -> DataFrame:
     """Runs of consecutive readings for which ``flag`` holds long enough.
 
     Returns (keys, start_ts, end_ts, readings) with ``end_ts - start_ts`` of at
-    least ``min_seconds``. ``end`` names the column that closes a reading (for
+    least ``min_seconds``, a number or an expression of the keys. ``end`` names the column that closes a reading (for
     windows); by default a reading is a point in time.
     """
     closes = F.col(end) if end else F.col(ts)

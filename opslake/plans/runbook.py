@@ -11,7 +11,6 @@ from opslake.functions.moments import seconds_between
 from opslake.functions.numeric import exact_avg, percent
 from opslake.operators.aggregates import count_where
 from opslake.operators.series import carry_forward, sustained
-from opslake.operators.sets import union_all
 
 # Fixed values: (metric, level, comparison, limit, seconds it must last).
 BREACH_LIMITS = (
@@ -44,20 +43,33 @@ def _test(op: str, col: Column, limit: float) -> Column:
     return {">": col > limit, ">=": col >= limit, "<": col < limit, "<=": col <= limit}[op]
 
 
+def _per_level(rows: DataFrame, tests: Sequence[tuple[str, Column, Column, int]]) -> DataFrame:
+    """One copy of a row for each level that applies to it, so that all levels share one scan and shuffle.
+
+    ``tests`` lists (level, does it apply, is it met, seconds it must last).
+    """
+    options = F.array(*[
+        F.when(
+            applies, F.struct(F.lit(level).alias("level"), F.coalesce(met, F.lit(False)).alias("_met"), F.lit(seconds).alias("_lasts"))
+        )
+        for level, applies, met, seconds in tests
+    ])
+    return rows.select(*rows.columns, F.inline(F.filter(options, lambda o: o.isNotNull())))
+
+
 def breaches(sensors: DataFrame, limits: Sequence[tuple] = BREACH_LIMITS) -> DataFrame:
     """(equipment_id, metric_name, level, start_ts, end_ts, readings) of limits broken for long enough.
 
     ``event_ts`` is a timestamp. Readings of a device and metric are taken in
     time order; a reading inside the limit ends the run.
     """
-    parts = []
-    for metric, level, op, limit, seconds in limits:
-        rows = sensors.where(F.col("metric_name") == metric)
-        runs = sustained(
-            rows, ["equipment_id", "metric_name"], "event_ts", "sensor_event_id", _test(op, F.col("metric_value"), limit), seconds
-        )
-        parts.append(runs.withColumn("level", F.lit(level)))
-    return union_all(parts)
+    metric, value = F.col("metric_name"), F.col("metric_value")
+    tests = [(level, metric == m, _test(op, value, limit), seconds) for m, level, op, limit, seconds in limits]
+    rows = sensors.select("equipment_id", "metric_name", "metric_value", "event_ts", "sensor_event_id").where(
+        metric.isin(*{m for m, *_ in limits})
+    )
+    keys = ["equipment_id", "metric_name", "level", "_lasts"]
+    return sustained(_per_level(rows, tests), keys, "event_ts", "sensor_event_id", F.col("_met"), F.col("_lasts")).drop("_lasts")
 
 
 def gate_windows(scans: DataFrame, ok: str = "SUCCESS", minutes: int = 5) -> DataFrame:
@@ -77,14 +89,14 @@ def gate_windows(scans: DataFrame, ok: str = "SUCCESS", minutes: int = 5) -> Dat
 
 def gate_levels(windows: DataFrame, levels: Sequence[tuple] = GATE_LEVELS, queue: float = QUEUE_EMERGENCY_MINUTES) -> DataFrame:
     """(gate_id, level, start_ts, end_ts, windows): consecutive windows above a level for long enough."""
-    tests = [(name, F.col("failure_pct") > pct, seconds) for name, pct, seconds in levels]
-    tests.append(("EMERGENCY", F.col("avg_queue_minutes") > queue, 0))
-    return union_all(
-        sustained(windows, ["gate_id"], "window_start", "window_start", test, seconds, end="window_end").select(
-            "gate_id", F.lit(name).alias("level"), "start_ts", "end_ts", F.col("readings").alias("windows")
-        )
-        for name, test, seconds in tests
+    always = F.lit(True)
+    tests = [(name, always, F.col("failure_pct") > pct, seconds) for name, pct, seconds in levels]
+    tests.append(("EMERGENCY", always, F.col("avg_queue_minutes") > queue, 0))
+    runs = sustained(
+        _per_level(windows, tests), ["gate_id", "level", "_lasts"], "window_start", "window_start", F.col("_met"), F.col("_lasts"),
+        end="window_end",
     )
+    return runs.select("gate_id", "level", "start_ts", "end_ts", F.col("readings").alias("windows"))
 
 
 def weather_states(observations: DataFrame, limits: Mapping[str, Mapping] = WEATHER) -> DataFrame:
