@@ -49,13 +49,18 @@ def incident_nodes(s: Sources) -> DataFrame:
     return in_scope(rows, s.stages, "location_id", "stage_id")
 
 
-def equipment_nodes(s: Sources) -> DataFrame:
-    """Equipment on a stage; a synthetic lot patch wins over the master lot."""
+def staged_equipment(s: Sources) -> DataFrame:
+    """Master rows of the equipment on a stage, before the lot patch."""
     rows = s.equipment.select(
         "equipment_id", "stage_id", "equipment_category", "model_name", "serial_number", "manufacturing_lot",
         "vendor_id", "firmware_version", "installed_date", "criticality",
     )
-    rows = in_scope(_keys_as_text(rows, "equipment_id", "stage_id", "manufacturing_lot"), s.stages, "stage_id", "stage_id")
+    return in_scope(_keys_as_text(rows, "equipment_id", "stage_id", "manufacturing_lot"), s.stages, "stage_id", "stage_id")
+
+
+def equipment_nodes(s: Sources) -> DataFrame:
+    """Equipment on a stage; a synthetic lot patch wins over the master lot."""
+    rows = staged_equipment(s)
     patch = s.lot_patch.where(F.col("assertion_status") == "SYNTHETIC")
     return overlay(
         rows, patch, "equipment_id", "manufacturing_lot",
@@ -184,6 +189,7 @@ class Nodes:
             df, target = getattr(self, name), f"{path.rstrip('/')}/{name}"
             df.write.mode("errorifexists").parquet(target)
             setattr(self, name, spark.read.schema(df.schema).parquet(target))
+        self.staged = self.equipment.select("equipment_id", "stage_id")
         return self
 
     @cached_property
@@ -194,6 +200,11 @@ class Nodes:
     def equipment(self) -> DataFrame:
         return equipment_nodes(self._s)
 
+    @cached_property
+    def staged(self) -> DataFrame:
+        """Keys and stages of the equipment nodes, without the join to the lot patch."""
+        return staged_equipment(self._s).select("equipment_id", "stage_id")
+
     @cached_property
     def stages(self) -> DataFrame:
         return stage_nodes(self._s)
@@ -229,17 +240,17 @@ def build_graph(s: Sources, nodes: Nodes | None = None) -> GraphSpec:
                    ("file_name", "document_type", "version", "effective_date", "purpose")),
         ),
         edges=(
-            Edge("INCIDENT_AFFECTS", "AFFECTS", lambda: affects(n.incidents, n.equipment),
+            Edge("INCIDENT_AFFECTS", "AFFECTS", lambda: affects(n.incidents, n.staged),
                  "INCIDENTS", "incident_id", "EQUIPMENTS", "equipment_id"),
             Edge("EQUIPMENT_LOT", "BELONGS_TO_LOT", lambda: belongs_to_lot(n.equipment),
                  "EQUIPMENTS", "equipment_id", "LOTS", "manufacturing_lot",
                  properties=("lot_source", "lot_assertion_status", "lot_source_reference_id"), hub=True),
-            Edge("EQUIPMENT_STAGE", "DEPLOYED_AT", lambda: deployed_at(n.equipment),
+            Edge("EQUIPMENT_STAGE", "DEPLOYED_AT", lambda: deployed_at(n.staged),
                  "EQUIPMENTS", "equipment_id", "STAGES", "stage_id"),
             Edge("INCIDENT_DOCUMENT", "DOCUMENTED_BY", lambda: documented_by(n.incidents, n.documents),
                  "INCIDENTS", "incident_id", "DOCUMENTS", "document_id"),
             Edge("INCIDENT_TASK", "CREATES", lambda: creates(n.tasks), "INCIDENTS", "incident_id", "TASKS", "task_id"),
-            Edge("TASK_EQUIPMENT", "TARGETS", lambda: targets(s.task_equipment, n.tasks, n.equipment),
+            Edge("TASK_EQUIPMENT", "TARGETS", lambda: targets(s.task_equipment, n.tasks, n.staged),
                  "TASKS", "task_id", "EQUIPMENTS", "equipment_id", properties=("source_type", "source_reference_id")),
             Edge("TASK_DOCUMENT", "USES_PROCEDURE", lambda: uses_procedure(s.task_document, n.tasks, n.documents),
                  "TASKS", "task_id", "DOCUMENTS", "document_id", properties=("source_type", "source_reference_id")),
