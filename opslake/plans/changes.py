@@ -198,32 +198,44 @@ def _require_count(rows: DataFrame, pred: Column, expected: int | None) -> None:
             raise ChangeError(f"expected {expected} rows, found {found}")
 
 
-def answer_state(graph: GraphSpec, ids=None, bulletin: str | None = None) -> DataFrame:
-    """Per incident: sizes of the three answers and of each kind of document path.
+def _answer_rows(graph: GraphSpec, ids=None) -> DataFrame:
+    """Rows of the three answers as (incident_id, document_id, path); the path names the answer."""
+    none = F.lit(None).cast("string").alias("document_id")
+    return union_all([
+        incident_impact(graph, ids).select("incident_id", none, F.lit("IMPACT").alias("path")),
+        open_tasks(graph, ids).select("incident_id", none, F.lit("OPEN_TASK").alias("path")),
+        related_documents(graph, ids).select("incident_id", "document_id", "path"),
+    ])
 
-    ``bulletin`` counts the paths to one document.
-    """
-    impact = incident_impact(graph, ids).groupBy("incident_id").agg(F.count(F.lit(1)).alias("equipment"))
-    tasks = open_tasks(graph, ids).groupBy("incident_id").agg(F.count(F.lit(1)).alias("tasks"))
+
+def _sizes(rows: DataFrame, keys: Sequence[str], bulletin: str | None) -> DataFrame:
     path = F.col("path")
-    docs = related_documents(graph, ids).groupBy("incident_id").agg(
-        F.count(F.lit(1)).alias("paths"),
+    paths = {
+        "incident_paths": "DOCUMENTED_BY", "lot_paths": "AFFECTS>BELONGS_TO_LOT>GOVERNED_BY",
+        "task_paths": "CREATES>USES_PROCEDURE",
+    }
+    return rows.groupBy(*keys).agg(
+        count_where(path == "IMPACT").alias("equipment"),
+        count_where(path == "OPEN_TASK").alias("tasks"),
+        count_where(path.isin(*paths.values())).alias("paths"),
         F.count_distinct("document_id").alias("documents"),
         count_where(F.col("document_id") == F.lit(bulletin)).alias("bulletin_paths"),
-        count_where(path == "DOCUMENTED_BY").alias("incident_paths"),
-        count_where(path == "AFFECTS>BELONGS_TO_LOT>GOVERNED_BY").alias("lot_paths"),
-        count_where(path == "CREATES>USES_PROCEDURE").alias("task_paths"),
+        *[count_where(path == value).alias(name) for name, value in paths.items()],
     )
-    counts = [
-        "equipment", "tasks", "paths", "documents", "bulletin_paths", "incident_paths", "lot_paths", "task_paths",
-    ]
-    joined = impact.join(tasks, "incident_id", "full").join(docs, "incident_id", "full")
-    return joined.select("incident_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts])
+
+
+def answer_state(graph: GraphSpec, ids=None, bulletin: str | None = None) -> DataFrame:
+    """Per incident: sizes of the three answers and of each kind of document path.
+
+    ``bulletin`` counts the paths to one document. An incident without any row has no line.
+    """
+    return _sizes(_answer_rows(graph, ids), ["incident_id"], bulletin)
 
 
 def what_if(cases: Mapping[str, GraphSpec], ids=None, bulletin: str | None = None) -> DataFrame:
-    """``answer_state`` of several graphs, labelled by case."""
-    return union_all(answer_state(g, ids, bulletin).withColumn("case", F.lit(name)) for name, g in cases.items())
+    """``answer_state`` of several graphs, labelled by case, in one grouping."""
+    rows = union_all(_answer_rows(g, ids).withColumn("case", F.lit(name)) for name, g in cases.items())
+    return _sizes(rows, ["case", "incident_id"], bulletin)
 
 
 # --- snapshots ------------------------------------------------------------
