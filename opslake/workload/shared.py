@@ -1,22 +1,5 @@
 """The cluster's shared folder."""
 
-from __future__ import annotations
+from opslake.sources.scratch import shared_dir
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it then gets a temporary
-    folder. A cluster without it is refused, since executors share no local disk.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="opslake-")
-    return f"{root.rstrip('/')}/opslake-{uuid.uuid4().hex}"
+__all__ = ["shared_dir"]
