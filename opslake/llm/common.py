@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = pa.compute.binary_length(batch.column(batch.schema.get_field_index(column)))
+        size = pc.binary_length(batch.column(batch.schema.get_field_index(column)))
         part = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False)) // BATCH_BYTES
         starts = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):

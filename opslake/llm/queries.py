@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import cuckoo, simhash
+from opslake.llm import bpe, cuckoo, hashtree, notices, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,24 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{name}.parquet")
 
 
+def _rank_file() -> tuple[str, str]:
+    """(path, pattern) of the public tokenizer that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@_query("op2_byte_bpe")
+def op2(spark: SparkSession, path: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, path, "documents"), *_rank_file())
+
+
+@_query("op3_hash_tree_shards")
+def op3(spark: SparkSession, path: str) -> DataFrame:
+    placed = hashtree.shard_documents(_table(spark, path, "documents"), shards=24)
+    return placed.withColumn("law", F.lit("key"))
+
+
 @_query(
     "op5_exact_dedup",
     """
@@ -44,3 +62,8 @@ def op5(spark: SparkSession, path: str) -> DataFrame:
 def op7(spark: SparkSession, path: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, path, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@_query("op10_license_notices")
+def op10(spark: SparkSession, path: str) -> DataFrame:
+    return notices.find_notices(_table(spark, path, "documents")).drop("spans")
