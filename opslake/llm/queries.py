@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import bpe, cuckoo, hashtree, notices, simhash
+from opslake.llm import bpe, cuckoo, hashtree, notices, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,23 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{name}.parquet")
 
 
+@_query(
+    "op1_warc_index",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT *, octet_length(encode(html)) AS n, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM q
+""",
+)
+def op1(spark: SparkSession, path: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, path, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def _rank_file() -> tuple[str, str]:
     """(path, pattern) of the public tokenizer that the queries use."""
     import public_tokenizers
