@@ -13,13 +13,26 @@ from pyspark.sql import functions as F
 # Rows that Python holds at once. Texts may be long, so Arrow batches are cut further by bytes.
 BATCH_BYTES = 32 << 20
 
+_KEEP = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_WORDS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)).translate(_KEEP)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Runs of digits, letters and non-ASCII characters of UTF-8 text, A-Z lower-cased."""
+    return text.translate(_WORDS).split()
+
 
 def crc32_mod(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; NULL for a NULL id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n).cast("long"))
 
 
-def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
+def text_hash(text_col: str) -> Column:
+    """Tells rows apart that share an id; a NULL text is the empty text."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """(doc_id, text as UTF-8 bytes; NULL counts as empty), and the columns ``more``."""
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),

@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from opslake.llm.common import slices, texts
+from opslake.llm.common import slices, texts, words_of
 
 # Phrases that count as places, with their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -39,9 +39,6 @@ NOTICES = {
 # One error in so many characters of a notice.
 CHARS_PER_ERROR = 10
 
-_KEEP = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_WORDS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)).translate(_KEEP)
-
 SPAN = "struct<label: string, first_word: long, last_word: long, errors: int, matched: string>"
 RESULT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -49,11 +46,6 @@ RESULT = (
 )
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Runs of digits, letters and non-ASCII bytes, A-Z lower-cased."""
-    return text.translate(_WORDS).split()
-
-
 @dataclass
 class Notice:
     """A notice ready for search."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import bpe, cuckoo, hashtree, notices, simhash, warc
+from opslake.llm import bm25, bpe, cuckoo, hashtree, notices, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,6 +75,21 @@ def op5(spark: SparkSession, path: str) -> DataFrame:
     return cuckoo.exact_groups(_table(spark, path, "documents"))
 
 
+@_query("op6_decontamination")
+def op6(spark: SparkSession, path: str) -> DataFrame:
+    found = bm25.find_leaks(_table(spark, path, "documents"), _table(spark, path, "benchmark"))
+    best = F.element_at(F.array_sort("leaks", lambda a, b: F.when(a["overlap"] > b["overlap"], -1).when(a["overlap"] < b["overlap"], 1).otherwise(a["item_id"] - b["item_id"]).cast("int")), 1)
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.transform("leaks", lambda x: x["item_id"]).alias("item_ids"),
+        "n_passages",
+        F.when(F.size("leaks") > 0, best["overlap"]).alias("overlap"),
+        F.when(F.size("leaks") > 0, best["question_overlap"]).alias("question_overlap"),
+        F.when(F.size("leaks") > 0, best["answer_overlap"]).alias("answer_overlap"),
+    )
+
+
 @_query("op7_simhash_near_dedup")
 def op7(spark: SparkSession, path: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, path, "documents"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import int64s, slices, texts
+from opslake.llm.common import int64s, slices, text_hash, texts
 from opslake.llm.components import components
 from opslake.sources.scratch import saved, shared_dir
 
@@ -58,14 +58,15 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long. A NULL text is an empty one."""
+    """(doc_id, text_hash, fp) of every row; fp is the fingerprint as a signed long. A NULL text is an empty one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(fps)], names=["doc_id", "text_hash", "fp"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = texts(docs, id_col, text_col, text_hash(text_col).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -207,7 +208,7 @@ def links(points: DataFrame, bits: int = 3, shard_points: int = 32_768, sample:
 def near_duplicates(
     docs: DataFrame, words: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None
 ) -> DataFrame:
-    """(doc_id, fp, component_id), one row per row of ``docs``.
+    """(doc_id, text_hash, fp, component_id), one row per row of ``docs``.
 
     component_id: smallest id among all documents reachable over links of
     ``bits`` or fewer differing bits, the document itself included. Texts
@@ -222,16 +223,21 @@ def near_duplicates(
     roots = components(links(points, bits), folder).withColumnRenamed("node", "fp")
     named = points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(named.select("fp", "root").join(least, "root"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named.select("fp", "root").join(least, "root"), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
     """The documents with one of each group left: the one with the smallest id. All columns stay.
 
-    Rows that repeat the id of the one that stays are kept too; run exact
-    deduplication first to remove them. Rows with a NULL id stay only in a group
-    of their own kind.
+    Rows that repeat the id of the one that stays, if in the same group, are
+    kept too; run exact deduplication first to remove them. Rows with a NULL id
+    stay only in a group of NULL ids.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, folder=folder)
-    gone = found.where("doc_id != component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    gone = (
+        found.where("doc_id != component_id or (doc_id is null and component_id is not null)")
+        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .distinct()
+    )
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__hash"))
+    return docs.join(gone, same, "left_anti")

@@ -261,6 +261,8 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
             rows, held = [], 0
             for file, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if file != name:
+                    if f:
+                        f.close()
                     name, f = file, fs.open_input_file(f"{root}/{file}")
                 f.seek(offset)
                 headers, payload = parse(zlib.decompress(f.read(length), wbits=31))
