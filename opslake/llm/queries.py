@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import bm25, bpe, cuckoo, hashtree, notices, simhash, warc
+from opslake.llm import bm25, bpe, cuckoo, hashtree, line_crf, notices, simhash, warc
+from opslake.llm.common import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,6 +97,23 @@ def op7(spark: SparkSession, path: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> line_crf.Model:
+    """Learnt from the labels whose crc32 is not 0 modulo 5."""
+    return line_crf.fit(docs, labels.where(crc32_mod("doc_id", 5) != 0))
+
+
+@_query("op8_line_crf_quality")
+def op8(spark: SparkSession, path: str) -> DataFrame:
+    docs = _table(spark, path, "documents")
+    scored = line_crf.score(docs, quality_model(docs, _table(spark, path, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @_query("op10_license_notices")
 def op10(spark: SparkSession, path: str) -> DataFrame:
     return notices.find_notices(_table(spark, path, "documents")).drop("spans")
