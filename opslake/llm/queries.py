@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import bm25, bpe, cuckoo, hashtree, line_crf, notices, simhash, warc
+from opslake.llm import bm25, bpe, cuckoo, hashtree, lang_crf, line_crf, notices, simhash, warc
 from opslake.llm.common import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,15 @@ def op8(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@_query("op9_lang_crf")
+def op9(spark: SparkSession, path: str) -> DataFrame:
+    docs = _table(spark, path, "documents")
+    known = lang_crf.fit(docs.where(crc32_mod("doc_id", 4) != 2))
+    return lang_crf.identify(docs, known).select(
+        "doc_id", F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @_query("op10_license_notices")
 def op10(spark: SparkSession, path: str) -> DataFrame:
     return notices.find_notices(_table(spark, path, "documents")).drop("spans")
