@@ -191,7 +191,9 @@ def _shipped(docs: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids array<int>), one row per row of ``docs``.
+    """(doc_id, n_tokens, ids array<int>, decoded_sha256), one row per row of ``docs``.
+
+    decoded_sha256 is the digest of the bytes that the ids give back.
 
     No special tokens: their names in a text are ordinary text. NULL and empty
     texts give no ids. Every row is encoded by itself, so repeated rows, NULL
@@ -204,12 +206,13 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         for batch in slices(batches):
             ids = [codec.encode(t.decode()) for t in batch.column(1).to_pylist()]
             lists = [[int(x) for x in i.split(",")] if i else [] for i in ids]
+            sha = [hashlib.sha256(codec.decode(i)).hexdigest() for i in ids]
             yield pa.record_batch(
-                [batch.column(0), pa.array(map(len, lists), pa.int64()), pa.array(lists, pa.list_(pa.int32()))],
-                names=["doc_id", "n_tokens", "ids"],
+                [batch.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array(lists, pa.list_(pa.int32())), pa.array(sha, pa.string())],
+                names=["doc_id", "n_tokens", "ids", "decoded_sha256"],
             )
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import bm25, bpe, cuckoo, hashtree, lang_crf, line_crf, notices, simhash, warc
+from opslake.llm import bm25, bpe, cuckoo, hashtree, lang_crf, lbl, line_crf, notices, simhash, warc
 from opslake.llm.common import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,7 +45,7 @@ def op1(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _rank_file() -> tuple[str, str]:
+def rank_file() -> tuple[str, str]:
     """(path, pattern) of the public tokenizer that the queries use."""
     import public_tokenizers
 
@@ -54,7 +54,7 @@ def _rank_file() -> tuple[str, str]:
 
 @_query("op2_byte_bpe")
 def op2(spark: SparkSession, path: str) -> DataFrame:
-    return bpe.round_trip(_table(spark, path, "documents"), *_rank_file())
+    return bpe.round_trip(_table(spark, path, "documents"), *rank_file())
 
 
 @_query("op3_hash_tree_shards")
@@ -63,6 +63,11 @@ def op3(spark: SparkSession, path: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+@_query("op4_lbl_scores")
+def op4(spark: SparkSession, path: str) -> DataFrame:
+    return lbl.score_documents(_table(spark, path, "documents"), crc32_mod("doc_id", 5) == 1)
+
+
 @_query(
     "op5_exact_dedup",
     """
