@@ -41,6 +41,21 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows (doc_id, text_hash) of ``gone``; a NULL id equals a NULL id."""
+    one, two = fresh(docs, "gone_id"), fresh(docs, "gone_hash")
+    rows = gone.select(F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct()
+    return docs.join(rows, F.col(id_col).eqNullSafe(F.col(one)) & (text_hash(text_col) == F.col(two)), "left_anti")
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about BATCH_BYTES per slice (one row at least)."""
     for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import texts
+from opslake.llm.common import fresh, texts
 from opslake.sources.scratch import saved, shared_dir
 
 SLOTS = 4
@@ -224,10 +224,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     """
     folder = folder or shared_dir(docs.sparkSession)
     index = saved(update_index(None, digests(docs, id_col, text_col)), f"{folder}/index")
-    groups = index.where("group_size > 1").select(F.col("digest").alias("__group"), F.col("keep_id").alias("__keep"), F.col("ties").alias("__ties"))
-    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    seen = docs.withColumn("__digest", digest).join(groups, F.col("__digest") == F.col("__group"), "left")
-    stays = F.col("__group").isNull() | F.col(id_col).eqNullSafe(F.col("__keep"))
-    once = F.coalesce(F.col("__ties"), F.lit(1)) == 1
-    kept = seen.where(stays)
-    return kept.where(once).union(kept.where(~once).dropDuplicates([id_col, "__digest"])).select(*docs.columns)
+    digest, group, keep, ties = (fresh(docs, name) for name in ("row_digest", "group_digest", "group_keep", "group_ties"))
+    groups = index.where("group_size > 1").select(F.col("digest").alias(group), F.col("keep_id").alias(keep), F.col("ties").alias(ties))
+    own = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    seen = docs.withColumn(digest, own).join(groups, F.col(digest) == F.col(group), "left")
+    kept = seen.where(F.col(group).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
+    once = F.coalesce(F.col(ties), F.lit(1)) == 1
+    return kept.where(once).union(kept.where(~once).dropDuplicates([id_col, digest])).select(*docs.columns)

@@ -119,9 +119,11 @@ class Model:
 
     def predict(self, docs: list[bytes]) -> list[tuple[str, float]]:
         """(language, its weighted share) of each text; no letter: ``und`` and 0."""
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(docs)
         out = []
         for text, (marginals, sizes) in zip(docs, self.label(docs), strict=True):
-            if not self.langs or not len(sizes) or not (any(65 <= b <= 122 for b in text.translate(_LETTERS).split(None, 1)[0]) or has_letter(text)):
+            if not len(sizes) or not (any(65 <= b <= 122 for b in text.translate(_LETTERS).split(None, 1)[0]) or has_letter(text)):
                 out.append((UNKNOWN, 0.0))
                 continue
             share = (sizes @ marginals) / sizes.sum()
@@ -247,7 +249,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, words array<struct<word, lang, score>>): the language of every word of every row."""
+    """(doc_id, words array<struct<word, lang, score>>): the language of every word of every row; none if no language is known."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("word", pa.string()), ("lang", pa.string()), ("score", pa.float64())]))
 
@@ -255,8 +257,11 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         own = shipped.value
         for batch in slices(batches):
             raw, out = batch.column(1).to_pylist(), []
+            if not own.langs:
+                yield pa.record_batch([batch.column(0), pa.array([[]] * len(raw), kind)], names=["doc_id", "words"])
+                continue
             for text, (marginals, _) in zip(raw, own.label(raw), strict=True):
-                best = marginals.argmax(axis=1) if own.langs else []
+                best = marginals.argmax(axis=1)
                 out.append([
                     {"word": w.decode("utf-8", "replace"), "lang": own.langs[k], "score": float(m[k])}
                     for w, k, m in zip(words_of(text), best, marginals, strict=False)

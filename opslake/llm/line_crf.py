@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import slices, text_hash, texts
+from opslake.llm.common import slices, text_hash, texts, without
 from opslake.llm.crf import Adam, Chains, forward_backward
 
 # Bounds of the training sample: labelled documents, and lines of one of them.
@@ -149,7 +149,7 @@ def fit(
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__id"))
     chosen = marked.agg((F.avg(label_col) >= 0.5).cast("long").alias("label")).orderBy(F.xxhash64("__id"), "__id").limit(max_docs)
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))
+    rows = texts(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -161,7 +161,7 @@ def fit(
                 names=["rows", "sizes", "label"],
             )
 
-    found = texts(rows, id_col, text_col, F.col("label")).mapInArrow(run, "rows binary, sizes binary, label long").limit(2 * max_docs).collect()
+    found = rows.mapInArrow(run, "rows binary, sizes binary, label long").limit(2 * max_docs).collect()
     found.sort(key=lambda r: (r["label"], bytes(r["rows"])))
     parts = [(np.frombuffer(r["rows"], np.float32).reshape(-1, WIDTH), np.frombuffer(r["sizes"], np.float64)) for r in found]
     return train(parts, np.array([r["label"] for r in found], np.int64))
@@ -187,6 +187,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep_good(docs: DataFrame, model: Model, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that score at least ``least``; all columns stay."""
     bad = score(docs, model, id_col, text_col).where(F.col("score") < least)
-    gone = bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__hash"))
-    return docs.join(gone, same, "left_anti")
+    return without(docs, bad, id_col, text_col)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import int64s, slices, text_hash, texts
+from opslake.llm.common import int64s, slices, text_hash, texts, without
 from opslake.llm.components import components
 from opslake.sources.scratch import saved, shared_dir
 
@@ -234,10 +234,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     stay only in a group of NULL ids.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, folder=folder)
-    gone = (
-        found.where("doc_id != component_id or (doc_id is null and component_id is not null)")
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-        .distinct()
-    )
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__hash"))
-    return docs.join(gone, same, "left_anti")
+    gone = found.where("doc_id != component_id or (doc_id is null and component_id is not null)")
+    return without(docs, gone, id_col, text_col)
