@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from opslake.functions.numeric import percent
+from opslake.sources.scratch import saved, shared_dir
 
 
 def count_where(pred: Column) -> Column:
@@ -59,53 +60,42 @@ def first_time(rows: DataFrame, keys: Sequence[str], ts: str, pred: Column, name
 
 
 def json_pages(
-    rows: DataFrame, key: str, order: Sequence[Column], payload: Column, page_rows: int = 1000
+    rows: DataFrame, key: str, order: Sequence[Column], payload: Column, page_rows: int = 1000, folder: str | None = None
 ) -> DataFrame:
-    """Ordered JSON arrays per key, in pages of at most ``page_rows`` members.
+    """Ordered JSON arrays per key, in pages of exactly ``page_rows`` members but for the last.
 
-    Returns (key, page_order, members, json). The pages of a key in
-    ``page_order`` give its whole array; a key with up to ``page_rows`` rows has
-    one page.
+    Returns (key, page_no, members, json). Page 0 holds the first ``page_rows``
+    members of the key, and so on, whatever the number of partitions.
 
-    Rows are range-partitioned on key and order, so a hot key spreads over many
-    tasks, and pages are cut inside each range. A range border may split a small
-    key. Ranges that hold just one page of a key are therefore looked at again,
-    and put together if they are neighbours and fit one page. Only such ranges
-    meet in one task: of a hot key these are the ones at its two ends.
+    Rows are dealt to ranges of key and order, so a hot key spreads over many
+    tasks, and written once to ``folder`` (a shared scratch folder by default):
+    ranges must be the same for all that follows, also when a task is lost. A
+    row's place is its number inside the range plus the key's rows in earlier
+    ranges, from a table of one count per key and range. No group ever holds
+    more than a page. A NULL key is a key of its own.
     """
     sort_cols = [f"_o{i}" for i in range(len(order))]
     by = [*[F.col(c).asc_nulls_last() for c in sort_cols], F.col("_json")]
-    in_range = Window.partitionBy(key, "_range")
-    cut = (
+    dealt = saved(
         rows.select(F.col(key), payload.alias("_json"), *[o.alias(n) for n, o in zip(sort_cols, order)])
         .repartitionByRange(F.col(key), *by)
-        .withColumn("_range", F.spark_partition_id())
-        .withColumn("_pos", F.row_number().over(in_range.orderBy(*by)))
-        .withColumn("_n", F.count(F.lit(1)).over(in_range))
-        .groupBy(key, "_range", "_n", F.floor((F.col("_pos") - 1) / page_rows).cast("int").alias("_part"))
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_json"))).alias("_rows"))
-        .withColumn("_members", F.transform("_rows", lambda r: r["_json"]))
+        .withColumn("_range", F.spark_partition_id()),
+        folder or shared_dir(rows.sparkSession),
     )
-    alone = F.col("_n") <= page_rows
-    met = (
-        cut.groupBy(key, F.when(~alone, F.col("_range")).alias("_r"), F.when(~alone, F.col("_part")).alias("_p"))
-        .agg(
-            F.array_sort(F.collect_list(F.struct("_range", "_part", "_members"))).alias("_pages"),
-            F.sum(F.size("_members")).alias("_total"),
-            (F.max("_range") - F.min("_range") + 1 == F.count(F.lit(1))).alias("_neighbours"),
-        )
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col(key).alias("_key"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
-    first = F.element_at("_pages", 1)
-    together = F.array(
-        F.struct(
-            first["_range"].alias("_range"), first["_part"].alias("_part"),
-            F.flatten(F.transform("_pages", lambda p: p["_members"])).alias("_members"),
-        )
+    numbered = dealt.withColumn("_pos", F.row_number().over(Window.partitionBy(key, "_range").orderBy(*by)))
+    placed = numbered.join(starts, (F.col("_range") == F.col("_at")) & F.col(key).eqNullSafe(F.col("_key"))).select(
+        key, "_json", (F.col("_start") + F.col("_pos") - 1).cast("bigint").alias("_place")
     )
-    fits = F.col("_r").isNull() & F.col("_neighbours") & (F.col("_total") <= page_rows)
-    return met.select(key, F.inline(F.when(fits, together).otherwise(F.col("_pages")))).select(
-        key,
-        (F.col("_range").cast("bigint") * F.lit(2**31) + F.col("_part")).alias("page_order"),
-        F.size("_members").cast("bigint").alias("members"),
-        F.concat(F.lit("["), F.array_join("_members", ","), F.lit("]")).alias("json"),
+    page = F.floor(F.col("_place") / page_rows).cast("bigint")
+    return (
+        placed.groupBy(key, page.alias("page_no"))
+        .agg(F.array_sort(F.collect_list(F.struct("_place", "_json"))).alias("_rows"))
+        .select(
+            key, "page_no", F.size("_rows").cast("bigint").alias("members"),
+            F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda r: r["_json"]), ","), F.lit("]")).alias("json"),
+        )
     )

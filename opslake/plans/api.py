@@ -62,12 +62,12 @@ def id_states(graph: GraphSpec, asked: DataFrame) -> DataFrame:
 def assert_incident(graph: GraphSpec, incident_id: str | None) -> None:
     """Raise unless the id is well formed and names exactly one incident."""
     if incident_id is None or not re.fullmatch(INCIDENT_ID, incident_id):
-        raise IncidentIdError(INVALID_ID, "Invalid Incident ID")
+        raise IncidentIdError(INVALID_ID, f"not an incident id: {incident_id!r}")
     found = graph.vertex("INCIDENT").df.where(F.col("incident_id") == incident_id).select("incident_id").limit(2).count()
     if found == 0:
-        raise IncidentIdError(UNKNOWN_ID, "Incident ID was not found")
+        raise IncidentIdError(UNKNOWN_ID, f"no incident {incident_id}")
     if found > 1:
-        raise IncidentIdError(REPEATED_ID, "Duplicate Incident ID")
+        raise IncidentIdError(REPEATED_ID, f"several incidents are called {incident_id}")
 
 
 def _members(names: Sequence[str], renamed: dict[str, str] | None = None):
@@ -76,7 +76,7 @@ def _members(names: Sequence[str], renamed: dict[str, str] | None = None):
 
 
 def impact_json(graph: GraphSpec, ids=None) -> DataFrame:
-    """Impact rows per incident as ordered JSON (incident_id, page_order, members, json)."""
+    """Impact rows per incident as ordered JSON (incident_id, page_no, members, json)."""
     order = [F.col("related_stage_id"), F.col("related_equipment_id")]
     return json_pages(kg.incident_impact(graph, ids), "incident_id", order, _members(IMPACT_MEMBERS))
 
@@ -95,11 +95,11 @@ def documents_json(graph: GraphSpec, ids=None) -> DataFrame:
 
 
 def answer(graph: GraphSpec, incident_id: str, pages) -> DataFrame:
-    """Checked answer for one incident: (page_order, json), one page ``[]`` when nothing matches."""
+    """Checked answer for one incident: (page_no, json), one page ``[]`` when nothing matches."""
     assert_incident(graph, incident_id)
     asked = graph.vertex("INCIDENT").df.where(F.col("incident_id") == incident_id).select("incident_id")
     return asked.join(pages(graph, [incident_id]), "incident_id", "left").select(
-        F.coalesce("page_order", F.lit(0).cast("bigint")).alias("page_order"), F.coalesce("json", F.lit("[]")).alias("json")
+        F.coalesce("page_no", F.lit(0).cast("bigint")).alias("page_no"), F.coalesce("json", F.lit("[]")).alias("json")
     )
 
 
@@ -132,12 +132,15 @@ def bad_document_path():
 
 
 def answer_sizes(graph: GraphSpec, ids=None) -> DataFrame:
-    """Members per incident and answer, counted from the JSON text."""
-    kinds = {"impact": impact_json, "open_tasks": tasks_json, "documents": documents_json}
-    return union_all(
-        f(graph, ids).groupBy("incident_id").agg(F.sum(array_size()).alias("members")).withColumn("answer", F.lit(k))
-        for k, f in kinds.items()
-    )
+    """(incident_id, members, answer) of the three answers, counted without listing pairs or building JSON."""
+    impact = kg.impact_by_stage(graph, ids).groupBy("incident_id").agg(F.sum("related_equipment_count").cast("bigint").alias("members"))
+    n = F.count(F.lit(1)).alias("members")
+    kinds = {
+        "impact": impact,
+        "open_tasks": kg.open_tasks(graph, ids).groupBy("incident_id").agg(n),
+        "documents": kg.related_documents(graph, ids).groupBy("incident_id").agg(n),
+    }
+    return union_all(df.withColumn("answer", F.lit(k)) for k, df in kinds.items())
 
 
 def document_quality(graph: GraphSpec, ids=None) -> DataFrame:

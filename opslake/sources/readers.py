@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ def _nulls_for_blanks(df: DataFrame, blank: Sequence[str] | None) -> DataFrame:
     return df
 
 
+def _directory_levels(df: DataFrame) -> list[str]:
+    """Columns that only the directory names hold."""
+    stored = df.inputFiles()
+    named = {part.split("=")[0] for part in unquote(stored[0]).split("/")[:-1] if "=" in part} if stored else set()
+    return [c for c in df.columns if c in named]
+
+
 def read_table(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -39,12 +47,14 @@ def read_table(
 
     Without a schema Spark takes it from one file and does not merge. ``days``
     keeps only the named day directories; the filter is on the partition
-    columns, so other files are not opened. The day levels are not part of the
-    result.
+    columns, so other files are not opened. Day levels that come from the
+    directories are not part of the result; columns of the same name that the
+    files or the given schema hold are data and stay.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(*([path] if isinstance(path, str) else path))
-    levels = [c for c in DAY_LEVELS if c in df.columns]
+    given = StructType.fromDDL(schema).fieldNames() if isinstance(schema, str) else schema.fieldNames() if schema is not None else []
+    levels = [c for c in DAY_LEVELS if c in _directory_levels(df) and c not in given]
     if days is not None:
         if len(levels) != len(DAY_LEVELS):
             raise ValueError("this table is not stored by day")

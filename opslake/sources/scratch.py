@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, else below the warehouse.
+    """A path for a new folder or table below ``spark.checkpoint.dir``, else below the warehouse.
 
-    Both are folders that all executors and the driver see. The folder is
-    removed when the session's file system is closed, so what is read from it
-    must be used within the session.
+    Both are folders that all executors and the driver see. What is written
+    there is removed when the session's file system is closed, so what is read
+    from it must be used within the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path)
     fs.deleteOnExit(path)
-    return fs.makeQualified(path).toString()
+    return f"{fs.makeQualified(path).toString()}/data"
 
 
 def saved(df: DataFrame, path: str) -> DataFrame:

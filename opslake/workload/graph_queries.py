@@ -174,23 +174,25 @@ def g26(t: Tables):
 
 
 @query("g27_graph_equals_joins", with_roles("""
-    SELECT 'SQL_ONLY' AS difference, incident_id, affected_equipment_id, manufacturing_lot, related_equipment_id, related_stage_id AS stage_id
-    FROM impact WHERE 1 = 0"""))
+    SELECT CAST(NULL AS VARCHAR) AS difference, count(*) AS n FROM impact"""))
 def g27(t: Tables):
-    """Must be empty: the pattern and the plain joins agree."""
+    """The number of rows compared, and one line per kind of difference; there is none when pattern and plain joins agree."""
     r = Roles(t)
     joined = kg.impact_by_joins(r.sources)
     matched = kg.incident_impact(r.graph).select(
         "incident_id", "affected_equipment_id", "manufacturing_lot", "related_equipment_id", F.col("related_stage_id").alias("stage_id")
     )
-    return symmetric_difference(joined, matched, "difference", "SQL_ONLY", "GRAPH_ONLY")
+    differ = symmetric_difference(joined, matched, "difference", "SQL_ONLY", "GRAPH_ONLY").groupBy("difference").agg(F.count(F.lit(1)).alias("n"))
+    compared = matched.agg(F.lit(None).cast("string").alias("difference"), F.count(F.lit(1)).alias("n"))
+    return compared.unionByName(differ)
 
 
 def _json_sql(rows: str, members: str, order: str) -> str:
     return with_roles(f"""
-        SELECT incident_id, count(*) AS members,
-               '[' || string_agg(CAST(to_json({{{members}}}) AS VARCHAR), ',' ORDER BY {order}) || ']' AS json
-        FROM {rows} GROUP BY incident_id""")
+        SELECT incident_id, page_no, count(*) AS members, '[' || string_agg(j, ',' ORDER BY place) || ']' AS json
+        FROM (SELECT *, (place - 1) // 1000 AS page_no FROM (
+            SELECT incident_id, j, row_number() OVER (PARTITION BY incident_id ORDER BY {order}, j) AS place
+            FROM (SELECT *, CAST(to_json({{{members}}}) AS VARCHAR) AS j FROM {rows}))) GROUP BY incident_id, page_no""")
 
 
 def _named(names, renamed=None):
@@ -200,14 +202,14 @@ def _named(names, renamed=None):
 _RANK = "CASE priority WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 4 ELSE 5 END"
 
 query("g28_impact_json", _json_sql("impact", _named(api.IMPACT_MEMBERS), "related_stage_id, related_equipment_id"))(
-    lambda t: api.impact_json(Roles(t).graph).drop("page_order")
+    lambda t: api.impact_json(Roles(t).graph)
 )
 query("g29_tasks_json", _json_sql("open_tasks", _named(api.TASK_MEMBERS, {"task_status": "status"}), f"{_RANK}, task_id"))(
-    lambda t: api.tasks_json(Roles(t).graph).drop("page_order")
+    lambda t: api.tasks_json(Roles(t).graph)
 )
 query("g30_documents_json", _json_sql(
     "related_documents", _named(kg.DOCUMENT_COLUMNS), "document_id, relation_type, task_id NULLS LAST"))(
-    lambda t: api.documents_json(Roles(t).graph).drop("page_order")
+    lambda t: api.documents_json(Roles(t).graph)
 )
 
 
@@ -234,7 +236,7 @@ def g32(t: Tables):
     UNION ALL SELECT incident_id, count(*), 'open_tasks' FROM open_tasks GROUP BY incident_id
     UNION ALL SELECT incident_id, count(*), 'documents' FROM related_documents GROUP BY incident_id"""))
 def g32_sizes(t: Tables):
-    return api.answer_sizes(saved_graph(Roles(t))).withColumn("members", F.col("members").cast("bigint"))
+    return api.answer_sizes(Roles(t).graph)
 
 
 _EXPECT = """
@@ -277,10 +279,11 @@ def g34(t: Tables):
 
 
 @query("a12_ordered_json_rows", """
-    SELECT o_custkey, count(*) AS members,
-      '[' || string_agg(CAST(to_json({'order': o_orderkey, 'status': o_orderstatus, 'rush': CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END}) AS VARCHAR),
-        ',' ORDER BY o_orderpriority, o_orderkey) || ']' AS json
-    FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, page_no, count(*) AS members, '[' || string_agg(j, ',' ORDER BY place) || ']' AS json
+    FROM (SELECT o_custkey, place, (place - 1) // 1000 AS page_no,
+            CAST(to_json({'order': o_orderkey, 'status': o_orderstatus, 'rush': CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END}) AS VARCHAR) AS j
+          FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS place FROM orders))
+    GROUP BY o_custkey, page_no""")
 def a12(t: Tables):
     from opslake.operators.aggregates import json_pages
 
@@ -288,4 +291,4 @@ def a12(t: Tables):
         F.col("o_orderkey").alias("order"), F.col("o_orderstatus").alias("status"),
         F.when(F.col("o_orderpriority") == "1-URGENT", 1).alias("rush"),
     ])
-    return json_pages(t.orders, "o_custkey", [F.col("o_orderpriority"), F.col("o_orderkey")], payload).drop("page_order")
+    return json_pages(t.orders, "o_custkey", [F.col("o_orderpriority"), F.col("o_orderkey")], payload)

@@ -70,25 +70,26 @@ def test_failure_rate_counts_null_as_failure(spark, rows):
     assert rows(aggregates.failure_rate(df, ["gate"], "r", "SUCCESS")) == [("g", 3, 2, 66.7), ("h", 1, 0, 0.0)]
 
 
-@pytest.mark.parametrize("coalesced", [True, False])
-@pytest.mark.parametrize("page_rows", [50, 10, 400, 1000])
-def test_json_pages_small_key_is_one_page_and_hot_key_is_whole(spark, page_rows, coalesced):
-    data = [("hot", i * 7 % 501, i) for i in range(501)] + [(f"k{i % 9}", i, i) for i in range(90)]
+@pytest.mark.parametrize("partitions", [2, 4, 8, 20])
+def test_json_pages_do_not_depend_on_partitions(spark, partitions):
+    """Every page but a key's last is full, and holds the same members for any number of partitions."""
+    data = [("hot", i * 7 % 5001, i) for i in range(5000)] + [(f"k{i % 9}", i, i) for i in range(90)] + [(None, 1, 1), (None, 0, 2)]
     df = spark.createDataFrame(data, "k string, o int, v int").repartition(7)
-    payload = F.to_json(F.struct("o", "v"))
-    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(coalesce, coalesced)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        pages = aggregates.json_pages(df, "k", [F.col("o")], payload, page_rows=page_rows).collect()
+        pages = aggregates.json_pages(df, "k", [F.col("o")], F.to_json(F.struct("o", "v"))).collect()
     finally:
-        spark.conf.unset(coalesce)
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     by_key = {}
-    for p in sorted(pages, key=lambda p: (p["k"], p["page_order"])):
-        assert p["members"] == len(json.loads(p["json"])) <= page_rows
+    for p in sorted(pages, key=lambda p: (str(p["k"]), p["page_no"])):
+        assert p["members"] == len(json.loads(p["json"]))
         by_key.setdefault(p["k"], []).append(p)
+    assert [p["members"] for p in by_key["hot"]] == [1000] * 5 and len(by_key) == 11
     for key, ps in by_key.items():
-        assert len({p["page_order"] for p in ps}) == len(ps)
-        assert len(ps) == 1 or key == "hot"
+        assert [p["page_no"] for p in ps] == list(range(len(ps)))
         got = [(m["o"], m["v"]) for p in ps for m in json.loads(p["json"])]
         assert got == sorted((o, v) for k, o, v in data if k == key)
 

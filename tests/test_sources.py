@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from opslake import sources
-from opslake.sources import audit, writers
+from opslake.sources import audit, readers, writers
 
 
 def test_parquet_blank_is_null_and_days_prune(spark, rows, tmp_path):
@@ -111,3 +111,12 @@ def test_comments_dictionary_catalog(spark, rows):
     assert rows(audit.catalog_report(spark, ["only_s", "no_such"])) == [("no_such", None, False), ("only_s", "TEMPORARY", True)]
     with pytest.raises(Exception):
         spark.table("only_s").select(F.col("n"))
+
+
+def test_read_table_keeps_real_day_columns(spark, tmp_path):
+    spark.createDataFrame([(1, 2020, 5)], "id int, year int, day int").write.parquet(str(tmp_path / "plain"))
+    assert readers.read_table(spark, str(tmp_path / "plain")).columns == ["id", "year", "day"]
+    rows = spark.createDataFrame([(1, "2020-01-02")], "id int, d string")
+    writers.write_by_day(rows, str(tmp_path / "days"), "d")
+    assert readers.read_table(spark, str(tmp_path / "days")).columns == ["id", "d"]
+    assert readers.read_table(spark, str(tmp_path / "days"), "id int, d string, day int").columns == ["id", "d", "day"]
