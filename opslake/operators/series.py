@@ -117,7 +117,7 @@ def sustained(
 def carry_forward(
     rows: DataFrame, keys: Sequence[str], ts: str, tie: str, values: dict[str, Column], chunk: str = "hour"
 ) -> DataFrame:
-    """Add columns with the latest non-null value at or before each row."""
+    """Add columns with the latest non-null value at or before each row. A NULL key is a key of its own."""
     marked = rows.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
     seq = Window.partitionBy(*keys, "_chunk").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
     for name, value in values.items():
@@ -127,9 +127,13 @@ def carry_forward(
     )
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *keys, "_chunk", *[F.last(f"_end_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in values]
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c"),
+        *[F.last(f"_end_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in values]
     )
-    out = marked.join(carried, [*keys, "_chunk"], "left")
+    same = F.col("_chunk").eqNullSafe(F.col("_c"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    out = marked.join(carried, same, "left")
     for name in values:
         out = out.withColumn(name, F.coalesce(F.col(name), F.col(f"_in_{name}")))
-    return out.drop("_chunk", *[f"_in_{n}" for n in values])
+    return out.drop("_chunk", "_c", *[f"_k{i}" for i in range(len(keys))], *[f"_in_{n}" for n in values])

@@ -6,11 +6,13 @@ table; a what-if builds a second graph and needs no undo.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from opslake.operators.aggregates import count_where, offending_keys
 from opslake.operators.sets import union_all
@@ -68,13 +70,23 @@ def upsert(
 
 
 def new_ids(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Give each row an id above every existing one.
+    """Give each row the next id above every existing one: no gaps, and the same ids whenever the plan is run.
 
-    Ids are unique and need no sort of all rows; they have gaps. Write the
-    result before using the ids elsewhere.
+    Rows are dealt by a hash of their content, numbered inside a bucket and
+    shifted by the rows of the buckets before it. Rows that agree in all
+    columns are interchangeable, so any order among them will do.
     """
+    others = [c for c in rows.columns if c != key]
+    content = F.xxhash64(*others)
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("m"))
-    return rows.withColumn(key, top.scalar() + 1 + F.monotonically_increasing_id())
+    dealt = rows.drop(key).withColumns({"_hash": content, "_bucket": F.pmod(content, F.lit(ID_BUCKETS)).cast("int")})
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    starts = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *others))
+    numbered = dealt.withColumn("_place", place).join(starts, "_bucket")
+    return numbered.withColumn(key, top.scalar() + F.col("_start") + F.col("_place")).drop("_hash", "_bucket", "_place", "_start").select(*others, key)
 
 
 def upsert_by_natural_key(
@@ -96,6 +108,9 @@ def upsert_by_natural_key(
     return union_all([rest, known, fresh])
 
 
+# Parts in which new rows are numbered.
+ID_BUCKETS = 4096
+
 # Task priorities and the defaults of a new task.
 TASK_PRIORITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 NEW_TASK_STATUS = "OPEN"
@@ -263,12 +278,27 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
 
 
 def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write the next version and return its number; earlier versions stay readable."""
+    """Write the next version and return its number; earlier versions stay readable.
+
+    The data goes to a folder of its own. A writer then claims a number by
+    making a file that must not exist yet, and renames its folder to it. Of two
+    writers one finds the number taken and goes on to the next, so no version
+    is lost or overwritten.
+    """
     spark = df.sparkSession
-    versions = _versions(spark, root)
-    number = (versions[-1] if versions else 0) + 1
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={number:06d}")
-    return number
+    base = root.rstrip("/")
+    draft = f"{base}/_draft-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(draft)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    number = max(_versions(spark, root), default=0)
+    while True:
+        number += 1
+        target = path(f"{base}/version={number:06d}")
+        if not fs.exists(target) and fs.createNewFile(path(f"{base}/_claim-{number:06d}")):
+            if not fs.rename(path(draft), target):
+                raise ChangeError(f"could not publish {target.toString()}")
+            return number
 
 
 def create_if_absent(df: DataFrame, root: str) -> DataFrame:

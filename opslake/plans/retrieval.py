@@ -18,8 +18,10 @@ from opslake.operators.ranking import top_k_per_group
 # Chunk length, overlap and number of matches of the document index.
 CHUNK_SIZE, CHUNK_OVERLAP, MATCH_LIMIT = 1000, 140, 6
 
-# Question vectors that are shipped to the tasks at a time.
+# Questions and vectors that meet in one task, and scores that it holds at once.
 QUERY_BLOCK = 4096
+CHUNK_VECTORS = 65_536
+STRIP = 1 << 22
 
 
 def chunk_text(
@@ -28,26 +30,30 @@ def chunk_text(
     """(doc_id, chunk_no, start_pos, end_pos, chunk) with positions from 1, end inclusive.
 
     Chunks start every ``size - overlap`` characters. A tail that lies wholly in
-    the overlap gives no chunk; empty text gives none. The text is cut once into
-    blocks of one step and a chunk is put together from its blocks, so a very
-    long text costs time in proportion to its length.
+    the overlap gives no chunk; NULL and empty text give none. The text is cut
+    once into blocks of one step and a chunk is put together from its blocks, so
+    a very long text costs time in proportion to its length.
     """
     step = size - overlap
     if step <= 0 or overlap < 0:
         raise ValueError("overlap must be at least 0 and less than size")
     per_chunk = math.ceil(size / step)
     n = F.length(F.col(text))
-    starts = F.sequence(F.lit(1), F.greatest(n - overlap, F.lit(1)), F.lit(step))
     blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    cut = docs.where(n > 0).select(
-        F.col(doc_id), blocks.alias("_blocks"), n.alias("_n"), F.posexplode(starts).alias("_i", "start_pos")
-    )
-    whole = F.array_join(F.slice(F.col("_blocks"), F.col("_i") + 1, F.lit(per_chunk)), "")
-    return cut.select(
+    # The blocks are a column of their own below the generator, and each row that
+    # it makes carries the few blocks of its chunk: the text is cut once.
+    cut = docs.where(n > 0).select(F.col(doc_id), blocks.alias("_blocks"), n.alias("_n"))
+    shifted = [
+        F.slice("_blocks", F.lit(k + 1), F.greatest(F.size("_blocks") - k, F.lit(0))).alias(f"_b{k}") for k in range(per_chunk)
+    ]
+    rows = cut.select(doc_id, "_n", F.posexplode(F.arrays_zip(*shifted)).alias("_i", "_z"))
+    start = F.col("_i") * step + 1
+    whole = F.concat(*[F.coalesce(F.col(f"_z._b{k}"), F.lit("")) for k in range(per_chunk)])
+    return rows.where((F.col("_i") == 0) | (start <= F.col("_n") - overlap)).select(
         doc_id,
         (F.col("_i") + 1).cast("bigint").alias("chunk_no"),
-        F.col("start_pos").cast("bigint").alias("start_pos"),
-        F.least(F.col("start_pos") + (size - 1), F.col("_n")).cast("bigint").alias("end_pos"),
+        start.cast("bigint").alias("start_pos"),
+        F.least(start + (size - 1), F.col("_n")).cast("bigint").alias("end_pos"),
         F.substring(whole, 1, size).alias("chunk"),
     )
 
@@ -58,74 +64,80 @@ def cosine_topk(
 ) -> DataFrame:
     """(query_id, vec_id, score, rank): the ``k`` most similar vectors of each question, exactly.
 
-    ``queries`` is a small table of question vectors. Its blocks of at most
-    about ``block`` rows are shipped to the tasks one after the other, so any
-    number of questions works. Tasks score an Arrow batch with one matrix
-    product and pass on only the best ``k`` of each batch and question. A
-    vector of length 0 or without a value matches nothing.
+    Questions are dealt to blocks of about ``block`` and vectors to chunks of
+    about CHUNK_VECTORS; every block meets every chunk in one task, which holds
+    one of each and multiplies them. No question passes through the driver, and
+    a task hands on at most ``k`` rows a question.
+
+    A vector or question that is NULL, holds a NULL, has length 0 or another
+    number of entries than its partner matches nothing. Equal scores go by id.
     """
-    total = queries.count()
-    n_blocks = max(1, math.ceil(total / block))
-    schema = f"{query_id} {dict(queries.dtypes)[query_id]}, {vec_id} bigint, score double"
+    n_blocks = max(1, math.ceil(queries.count() / block))
+    n_chunks = max(1, math.ceil(vectors.count() / CHUNK_VECTORS))
+    kind = dict(queries.dtypes)[query_id]
+    schema = f"_query {kind}, _vector bigint, score double"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    slots = queries.select(
-        query_id, F.col(query_embedding).alias("_q"), F.pmod(F.xxhash64(query_id), F.lit(n_blocks)).alias("_block")
+    everywhere = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    asked = queries.where(F.col(query_embedding).isNotNull()).select(
+        F.pmod(F.xxhash64(query_id), F.lit(n_blocks)).cast("int").alias("_block"), everywhere(n_chunks, "_chunk"),
+        F.col(query_id).alias("_query"), F.col(query_embedding).cast("array<double>").alias("_q"),
     )
-    found = None
-    for b in range(n_blocks):
-        rows = slots.where(F.col("_block") == b).select(query_id, "_q").collect()
-        if not rows and found is not None:
-            continue
-        ids = [r[0] for r in rows]
-        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 0)
-        part = vectors.select(F.col(vec_id).cast("bigint").alias(vec_id), embedding).mapInArrow(
-            _scorer(ids, matrix, k, arrow), schema
-        )
-        found = part if found is None else found.unionByName(part)
-    best_first = [F.col("score").desc(), F.col(vec_id)]
-    return top_k_per_group(found, [query_id], best_first, k)
-
-
-def _scorer(ids: list, matrix: np.ndarray, k: int, schema: pa.Schema):
-    norms = np.linalg.norm(matrix, axis=1) if matrix.size else np.zeros(len(ids))
-    usable = norms > 0
-    unit = np.divide(matrix, norms[:, None], where=usable[:, None], out=np.zeros_like(matrix))
-
-    def score(batches):
-        for batch in batches:
-            lists = batch.column(1)
-            keep = np.asarray(lists.is_valid())
-            keys = np.asarray(batch.column(0))[keep]
-            lists = lists.filter(pa.array(keep))
-            if len(keys) == 0 or not len(ids):
-                continue
-            data = np.asarray(lists.flatten(), dtype=np.float64).reshape(len(keys), -1)
-            size = np.linalg.norm(data, axis=1)
-            ok = size > 0
-            keys, data = keys[ok], data[ok] / size[ok][:, None]
-            if len(keys) == 0:
-                continue
-            sims = unit @ data.T
-            out_q, out_v, out_s = [], [], []
-            for q in np.flatnonzero(usable):
-                row = sims[q]
-                if len(row) > k:
-                    # Keep every score equal to the k-th, ties are settled by id later.
-                    floor = np.partition(row, len(row) - k)[len(row) - k]
-                    at = np.flatnonzero(row >= floor)
-                    at = at[np.lexsort((keys[at], -row[at]))[:k]]
-                else:
-                    at = np.arange(len(row))
-                out_q += [ids[q]] * len(at)
-                out_v.append(keys[at])
-                out_s.append(row[at])
-            if out_v:
-                columns = [out_q, np.concatenate(out_v), np.concatenate(out_s)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-                )
-
-    return score
+    held = vectors.where(F.col(embedding).isNotNull()).select(
+        everywhere(n_blocks, "_block"), F.pmod(F.xxhash64(vec_id), F.lit(n_chunks)).cast("int").alias("_chunk"),
+        F.col(vec_id).cast("bigint").alias("_vector"), F.col(embedding).cast("array<double>").alias("_v"),
+    )
+
+    def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
+        found = [_nearest(*q, *v, k) for d, q in _by_length(asked, 2, 3).items() if (v := _by_length(held, 2, 3).get(d))]
+        columns = [np.concatenate([f[i] for f in found]) if found else [] for i in range(3)]
+        ids = asked.column(2).to_pylist() if found else []
+        columns[0] = [ids[i] for i in columns[0]]
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    met = asked.groupBy("_block", "_chunk").cogroup(held.groupBy("_block", "_chunk")).applyInArrow(meet, schema)
+    named = met.select(F.col("_query").alias(query_id), F.col("_vector").alias(vec_id), "score")
+    return top_k_per_group(named, [query_id], [F.col("score").desc(), F.col(vec_id)], k)
+
+
+def _by_length(rows: pa.Table, key: int, vector: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Number of entries -> (row numbers, keys, unit vectors) of the usable rows."""
+    lists = rows.column(vector).combine_chunks()
+    sizes = np.diff(np.asarray(lists.offsets))
+    at = np.asarray(lists.offsets)[:-1] - np.asarray(lists.offsets)[0]
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    out = {}
+    for d in np.unique(sizes[sizes > 0]).tolist():
+        index = np.flatnonzero(sizes == d)
+        data = flat[at[index][:, None] + np.arange(d)]
+        norm = np.linalg.norm(data, axis=1)
+        ok = (norm > 0) & np.isfinite(norm)
+        keys = rows.column(key).take(pa.array(index[ok])).to_numpy()
+        out[d] = (index[ok], keys, data[ok] / norm[ok][:, None])
+    return out
+
+
+def _nearest(rows: np.ndarray, _, unit: np.ndarray, __, keys: np.ndarray, data: np.ndarray, k: int) -> tuple:
+    """(question row, vector key, score) of the k best of each question, in strips of bounded size."""
+    best_q, best_v, best_s = [], [], []
+    order = np.argsort(keys, kind="stable")
+    keys, data = keys[order], data[order]
+    strip = max(1, STRIP // max(1, len(keys)))
+    for a in range(0, len(rows), strip):
+        sims = unit[a : a + strip] @ data.T
+        top = np.argsort(-sims, axis=1, kind="stable")[:, :k] if len(keys) <= 4 * k else _top(sims, k)
+        best_q.append(np.repeat(rows[a : a + strip], top.shape[1]))
+        best_v.append(keys[top].ravel())
+        best_s.append(np.take_along_axis(sims, top, axis=1).ravel())
+    return tuple(np.concatenate(x) if x else np.zeros(0) for x in (best_q, best_v, best_s))
+
+
+def _top(sims: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest of each row; of equal values the first columns."""
+    floor = np.partition(sims, -k, axis=1)[:, -k][:, None]
+    above, at = sims > floor, sims == floor
+    room = k - above.sum(axis=1, keepdims=True)
+    keep = above | (at & (np.cumsum(at, axis=1) <= room))
+    return np.nonzero(keep)[1].reshape(len(sims), k)
 
 
 def chunks_per_object(chunks: DataFrame, attributes: str = "attributes", path: str = "$.object_name") -> DataFrame:

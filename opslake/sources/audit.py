@@ -57,9 +57,11 @@ def hash_report(hashes: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
 
     A listed file that is absent is reported as not ok.
     """
-    base = F.lit(root.rstrip("/") + "/")
-    found = hashes.select(
-        F.element_at(F.split(F.col("path"), base), -1).alias("relative_path"), F.col("sha256").alias("_found")
+    base = root.rstrip("/") + "/"
+    # The root is literal text; a scheme such as file: may stand before it.
+    begin = F.locate(base, F.col("path"))
+    found = hashes.where(begin > 0).select(
+        F.substr("path", begin + F.lit(len(base))).alias("relative_path"), F.col("sha256").alias("_found")
     )
     return manifest.join(found, "relative_path", "left").select(
         "relative_path", (F.coalesce(F.col("_found"), F.lit("")) == F.lower("sha256")).alias("ok")

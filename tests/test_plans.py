@@ -347,3 +347,74 @@ def test_rules_on_a_stream(spark, rows, tmp_path):
     finally:
         q.stop()
     assert rows(spark.table("states"), "status") == [("CRITICAL",)]
+
+
+def test_chunks_cut_the_text_once(spark):
+    from opslake.plans import retrieval
+
+    text = "abcdefghij" * 120
+    df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "x" * 5)], "doc_id int, text string")
+    for size, overlap in ((100, 14), (100, 60), (7, 0), (50, 49)):
+        got = {(r.doc_id, r.chunk_no): (r.start_pos, r.end_pos, r.chunk) for r in retrieval.chunk_text(df, size=size, overlap=overlap).collect()}
+        want = {}
+        for i, t in ((1, text), (4, "x" * 5)):
+            for n, a in enumerate(range(0, max(1, len(t) - overlap), size - overlap), 1):
+                want[i, n] = (a + 1, min(a + size, len(t)), t[a : a + size])
+        assert got == want
+    plan = retrieval.chunk_text(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.index("Generate") < plan.index("regexp_extract_all")
+
+
+def test_cosine_topk_skips_unusable_vectors_and_many_questions(spark, monkeypatch):
+    import numpy as np
+
+    from opslake.plans import retrieval
+
+    monkeypatch.setattr(retrieval, "CHUNK_VECTORS", 40)
+    rng = np.random.default_rng(1)
+    data = rng.integers(-3, 4, (120, 4)).astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(900, None), (901, [1.0, 2.0, 3.0]), (902, [0.0] * 4), (903, [1.0, None, 0.0, 0.0]), (904, [])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = [(i, rng.normal(size=4).tolist()) for i in range(10_000)] + [(20_000, None), (20_001, [1.0] * 5), (20_002, [0.0] * 4)]
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<double>")
+    got = {}
+    for r in retrieval.cosine_topk(vectors, queries, k=3, block=3000).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    norm = np.linalg.norm(data, axis=1)
+    usable = np.flatnonzero(norm > 0)
+    q = np.array([v for i, v in asked[:10_000]])
+    sims = (q / np.linalg.norm(q, axis=1)[:, None]) @ (data[usable] / norm[usable][:, None]).T
+    assert set(got) == set(range(10_000))
+    for i in range(0, 10_000, 97):
+        best = np.sort(sims[i])[::-1][:3]
+        mine = [sims[i][np.searchsorted(usable, v)] for _, v in sorted(got[i])]
+        assert np.allclose(best, mine) and [k for k, _ in sorted(got[i])] == [1, 2, 3]
+    assert ".collect()" not in open(retrieval.__file__).read()
+
+
+def test_new_ids_have_no_gaps_and_are_the_same_again(spark):
+    from opslake.plans import changes
+
+    rows = spark.range(500).select((F.col("id") % 50).alias("a"), F.lit(None).cast("long").alias("task_id"))
+    old = spark.createDataFrame([(7,)], "task_id long")
+    got = sorted((r.task_id, r.a) for r in changes.new_ids(rows.repartition(3), old, "task_id").collect())
+    assert [i for i, _ in got] == list(range(8, 508))
+    assert got == sorted((r.task_id, r.a) for r in changes.new_ids(rows.repartition(5), old, "task_id").collect())
+
+
+def test_snapshot_versions_are_never_overwritten(spark, tmp_path):
+    from opslake.plans import changes
+
+    root, df = str(tmp_path / "t"), spark.range(3)
+    assert [changes.write_snapshot(df.limit(n), root) for n in (1, 2, 3)] == [1, 2, 3]
+    assert changes.read_snapshot(spark, root).count() == 3 and changes.read_snapshot(spark, root, 1).count() == 1
+
+
+def test_carry_forward_keeps_a_null_key(spark, rows):
+    import datetime as dt
+
+    from opslake.operators import series
+
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    df = spark.createDataFrame([(None, at(0), 1, "a"), (None, at(5), 2, None), ("k", at(5), 3, None)], "k string, ts timestamp_ntz, id int, v string")
+    assert rows(series.carry_forward(df, ["k"], "ts", "id", {"last": F.col("v")}), "id", "last") == [(1, "a"), (2, "a"), (3, None)]

@@ -120,3 +120,12 @@ def test_read_table_keeps_real_day_columns(spark, tmp_path):
     writers.write_by_day(rows, str(tmp_path / "days"), "d")
     assert readers.read_table(spark, str(tmp_path / "days")).columns == ["id", "d"]
     assert readers.read_table(spark, str(tmp_path / "days"), "id int, d string, day int").columns == ["id", "d", "day"]
+
+
+def test_hash_report_takes_the_root_literally(spark, tmp_path):
+    root = tmp_path / "a+b (c)"
+    root.mkdir()
+    (root / "x.txt").write_bytes(b"abc")
+    listed = spark.createDataFrame([("x.txt", hashlib.sha256(b"abc").hexdigest()), ("y.txt", "00")], "relative_path string, sha256 string")
+    hashes = spark.createDataFrame([(f"file:{root}/x.txt", 3, hashlib.sha256(b"abc").hexdigest())], "path string, size_bytes long, sha256 string")
+    assert {tuple(r) for r in audit.hash_report(hashes, listed, str(root)).collect()} == {("x.txt", True), ("y.txt", False)}
