@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opslake.operators.sets import union_all
+
 
 def flag_exists(left: DataFrame, right: DataFrame, key: Column, right_key: str, name: str) -> DataFrame:
     """Add a 0/1 column: is there a row in ``right`` for the left key?
@@ -87,6 +89,38 @@ def unresolved(rows: DataFrame, column: str, reference: DataFrame, key: str) ->
     return rows.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_ref"), "left_anti")
 
 
+def dangling_counts(
+    references: Sequence[tuple[str, DataFrame, Sequence[tuple[str, str]]]], keys: Mapping[str, DataFrame]
+) -> DataFrame:
+    """(name, error_count): for each named table its rows with a reference that does not resolve; only where found.
+
+    A reference names one or two (column, kind of key); ``keys`` has one
+    single-column table per kind. All tables share two joins, against one table
+    of distinct (kind, key), instead of one join per reference. A NULL reference
+    does not resolve; leave such rows out beforehand where NULL is allowed.
+    """
+    held = union_all(
+        df.select(F.lit(kind).alias("_kind"), F.col(df.columns[0]).cast("string").alias("_key")) for kind, df in keys.items()
+    ).distinct()
+    none = F.lit(None).cast("string")
+    ends = union_all(
+        rows.select(
+            F.lit(name).alias("name"),
+            F.lit(ends[0][1]).alias("_kind"), F.col(ends[0][0]).cast("string").alias("_key"),
+            (F.lit(ends[1][1]) if len(ends) > 1 else none).alias("_kind2"),
+            (F.col(ends[1][0]).cast("string") if len(ends) > 1 else none).alias("_key2"),
+        )
+        for name, rows, ends in references
+    )
+    first = held.withColumn("_found", F.lit(True))
+    second = held.select(F.col("_kind").alias("_kind2"), F.col("_key").alias("_key2"), F.lit(True).alias("_found2"))
+    missing = F.col("_found").isNull() | (F.col("_kind2").isNotNull() & F.col("_found2").isNull())
+    return (
+        ends.join(first, ["_kind", "_key"], "left").join(second, ["_kind2", "_key2"], "left")
+        .where(missing).groupBy("name").agg(F.count(F.lit(1)).alias("error_count"))
+    )
+
+
 def with_parent(rows: DataFrame, key: str, parent: str, columns: Mapping[str, str]) -> DataFrame:
     """Join each row to its base row: the parent if one is named, else itself.
 

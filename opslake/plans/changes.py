@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from opslake.operators.aggregates import count_where, offending_keys
 from opslake.operators.sets import union_all
 from opslake.plans.graph import GraphSpec
-from opslake.plans.kg import open_tasks, related_documents, incident_impact
+from opslake.plans.kg import impact_by_stage, incident_impact, open_tasks, related_documents
 
 
 class ChangeError(ValueError):
@@ -253,6 +253,47 @@ def what_if(cases: Mapping[str, GraphSpec], ids=None, bulletin: str | None = Non
     return _sizes(rows, ["case", "incident_id"], bulletin)
 
 
+def what_if_rows(graph: GraphSpec, tasks: DataFrame) -> DataFrame:
+    """The answers of a graph as rows that cases can be counted on, each computed once.
+
+    (incident_id, answer, n, path, document_id, relation_type, priority). Equipment
+    is counted per lot and stage, not listed: ``n`` is the number of devices, 1
+    for the other rows. ``priority`` is that of the row's task.
+    """
+    text = lambda name: F.lit(None).cast("string").alias(name)
+    one = F.lit(1).cast("bigint").alias("n")
+    impact = impact_by_stage(graph).select(
+        "incident_id", F.lit("equipment").alias("answer"), F.col("related_equipment_count").cast("bigint").alias("n"),
+        text("path"), text("document_id"), text("relation_type"), text("priority"),
+    )
+    open_rows = open_tasks(graph).select(
+        "incident_id", F.lit("task").alias("answer"), one, text("path"), text("document_id"), text("relation_type"), "priority"
+    )
+    urgency = tasks.select(F.col("task_id").alias("_task"), F.col("priority"))
+    documents = related_documents(graph).join(urgency, F.col("task_id") == F.col("_task"), "left").select(
+        "incident_id", F.lit("document").alias("answer"), one, "path", "document_id", "relation_type", "priority"
+    )
+    return union_all([impact, open_rows, documents])
+
+
+def count_cases(rows: DataFrame, cases: Mapping[str, Column], bulletin: Column) -> DataFrame:
+    """Sizes of the answers per case and incident, from the rows that each case leaves.
+
+    ``cases`` maps a name to a condition on the rows of ``what_if_rows``; NULL
+    counts as true. All cases share one grouping. ``bulletin`` tells the paths to
+    one document.
+    """
+    kept = F.array_compact(F.array(*[F.when(F.coalesce(left, F.lit(True)), F.lit(name)) for name, left in cases.items()]))
+    is_path = F.col("answer") == "document"
+    kinds = {"incident_paths": "DOCUMENTED_BY", "lot_paths": "AFFECTS>BELONGS_TO_LOT>GOVERNED_BY", "task_paths": "CREATES>USES_PROCEDURE"}
+    total = lambda answer: F.coalesce(F.sum(F.when(F.col("answer") == answer, F.col("n"))), F.lit(0)).cast("bigint")
+    return rows.withColumn("_bulletin", bulletin).withColumn("case", F.explode(kept)).groupBy("case", "incident_id").agg(
+        total("equipment").alias("equipment"), total("task").alias("tasks"), count_where(is_path).alias("paths"),
+        F.count_distinct("document_id").alias("documents"), count_where(is_path & F.col("_bulletin")).alias("bulletin_paths"),
+        *[count_where(F.col("path") == value).alias(name) for name, value in kinds.items()],
+    )
+
+
 # --- snapshots ------------------------------------------------------------
 
 

@@ -87,13 +87,14 @@ def incident_facts(
     )
 
 
-# Column comments of the facts, for ``with_comments``.
+# What each computed column of the facts holds, for ``with_comments``.
 FACT_COMMENTS = {
-    "daily_max_temperature_c": "Highest temperature of the device on the day of the incident, not only during it.",
-    "daily_max_packet_loss_pct": "Highest packet loss of the device on the day of the incident.",
-    "daily_min_fan_rpm": "Lowest fan speed of the device on the day of the incident.",
-    "earliest_overdue_scheduled_date": "Earliest scheduled date with state OVERDUE in the source, not as of the incident.",
-    "affected_performance_count": "Rows of the stage delay view that name the incident.",
+    "daily_max_temperature_c": "max of the device's temperature readings over the incident's date",
+    "daily_max_packet_loss_pct": "max of the device's packet loss readings over the incident's date",
+    "daily_min_fan_rpm": "min of the device's fan readings over the incident's date",
+    "maintenance_record_count": "upkeep rows of the device, 0 without any",
+    "overdue_maintenance_count": "upkeep rows of the device in state OVERDUE, 0 without any",
+    "affected_performance_count": "rows of the delay view with this incident, 0 without any",
 }
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.operators.aggregates import offending_keys
-from opslake.operators.joins import dangling, salted_join
+from opslake.operators.joins import dangling_counts, salted_join
 from opslake.operators.sets import union_all
 
 
@@ -272,12 +272,12 @@ def key_errors(graph: GraphSpec) -> DataFrame:
 
 def endpoint_errors(graph: GraphSpec) -> DataFrame:
     """(edge_name, error_count): edges whose source or target vertex is absent, only where found."""
-    parts = []
-    for e in graph.edges:
-        s, t = graph.by_name(e.source), graph.by_name(e.target)
-        lost = dangling(e.df.select(e.source_key, e.target_key), [(e.source_key, s.df, s.key), (e.target_key, t.df, t.key)])
-        parts.append(lost.agg(F.lit(e.name).alias("edge_name"), F.count(F.lit(1)).alias("error_count")))
-    return union_all(parts).where(F.col("error_count") > 0)
+    references = [
+        (e.name, e.df.select(e.source_key, e.target_key), ((e.source_key, e.source), (e.target_key, e.target))) for e in graph.edges
+    ]
+    used = {name for e in graph.edges for name in (e.source, e.target)}
+    keys = {v.name: v.df.select(v.key) for v in graph.vertices if v.name in used}
+    return dangling_counts(references, keys).withColumnRenamed("name", "edge_name")
 
 
 def element_sizes(graph: GraphSpec) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.operators.joins import dangling, in_scope, unresolved
+from opslake.operators.joins import dangling_counts, in_scope
 from opslake.operators.sets import union_all
 from opslake.plans.kg import Sources, document_nodes, equipment_nodes, incident_nodes, lot_nodes, task_nodes
 from opslake.plans.scope import UNKNOWN
@@ -38,27 +38,30 @@ def source_errors(s: Sources, scope: DataFrame, audit: DataFrame) -> DataFrame:
     no_lot = staged_equipment.where(F.col("manufacturing_lot").isNull()).join(
         good_patch.select("equipment_id"), "equipment_id", "left_anti"
     )
-    found = {
-        "SCOPE_UNKNOWN_OR_MISSING": audit.where(F.col("scope_status") == UNKNOWN),
-        "INCIDENT_AFFECTS_SOURCE": unresolved(incidents, "related_equipment_id", equipment, "equipment_id"),
-        "EQUIPMENT_LOT_SOURCE": no_lot,
-        "EQUIPMENT_STAGE_SOURCE": dangling(s.equipment.select("stage_id"), [("stage_id", scope, "location_id")]),
-        "INCIDENT_DOCUMENT_SOURCE": unresolved(incidents, "document_id", documents, "document_id"),
-        "INCIDENT_TASK_SOURCE": dangling(s.tasks.select("incident_id"), [("incident_id", s.incidents, "incident_id")]),
-        "LOT_PATCH_SOURCE": dangling(s.lot_patch.select("equipment_id"), [("equipment_id", equipment, "equipment_id")]),
-        "TASK_EQUIPMENT_SOURCE": dangling(
-            s.task_equipment.select("task_id", "equipment_id"),
-            [("task_id", tasks, "task_id"), ("equipment_id", equipment, "equipment_id")]),
-        "TASK_DOCUMENT_SOURCE": dangling(
-            s.task_document.select("task_id", "document_id"),
-            [("task_id", tasks, "task_id"), ("document_id", documents, "document_id")]),
-        "LOT_DOCUMENT_SOURCE": dangling(
-            s.lot_document.select("manufacturing_lot", "document_id"),
-            [("manufacturing_lot", lots, "manufacturing_lot"), ("document_id", documents, "document_id")]),
-    }
-    return union_all(
-        rows.agg(F.lit(name).alias("relation_name"), F.count(F.lit(1)).alias("error_count")) for name, rows in found.items()
-    ).where(F.col("error_count") > 0)
+    given = incidents.where(F.col("related_equipment_id").isNotNull())
+    documented = incidents.where(F.col("document_id").isNotNull())
+    unresolved = dangling_counts(
+        [
+            ("INCIDENT_AFFECTS_SOURCE", given, [("related_equipment_id", "equipment")]),
+            ("EQUIPMENT_STAGE_SOURCE", s.equipment, [("stage_id", "scope")]),
+            ("INCIDENT_DOCUMENT_SOURCE", documented, [("document_id", "document")]),
+            ("INCIDENT_TASK_SOURCE", s.tasks, [("incident_id", "incident")]),
+            ("LOT_PATCH_SOURCE", s.lot_patch, [("equipment_id", "equipment")]),
+            ("TASK_EQUIPMENT_SOURCE", s.task_equipment, [("task_id", "task"), ("equipment_id", "equipment")]),
+            ("TASK_DOCUMENT_SOURCE", s.task_document, [("task_id", "task"), ("document_id", "document")]),
+            ("LOT_DOCUMENT_SOURCE", s.lot_document, [("manufacturing_lot", "lot"), ("document_id", "document")]),
+        ],
+        {
+            "equipment": equipment.select("equipment_id"), "scope": scope.select("location_id"),
+            "document": documents.select("document_id"), "incident": s.incidents.select("incident_id"),
+            "task": tasks.select("task_id"), "lot": lots.select("manufacturing_lot"),
+        },
+    ).withColumnRenamed("name", "relation_name")
+    counted = union_all(
+        rows.agg(F.lit(name).alias("relation_name"), F.count(F.lit(1)).alias("error_count"))
+        for name, rows in (("SCOPE_UNKNOWN_OR_MISSING", audit.where(F.col("scope_status") == UNKNOWN)), ("EQUIPMENT_LOT_SOURCE", no_lot))
+    )
+    return unresolved.unionByName(counted.where(F.col("error_count") > 0))
 
 
 def mapping_differences(named: Mapping[str, DataFrame], key: str) -> DataFrame:

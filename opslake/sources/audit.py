@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from opslake.operators.sets import union_all
 
+# Largest file that is read in one piece, and the piece of larger ones.
+WHOLE_BYTES, BLOCK_BYTES = 256 << 20, 16 << 20
+
 
 def scan_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Read every table in full: (table, rows, corrupt).
@@ -41,15 +47,34 @@ def files_of(df: DataFrame) -> DataFrame:
     )
 
 
-def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, size_bytes, sha256) of whole files below a directory."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+def file_hashes(spark: SparkSession, path: str, glob: str = "*", whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """(path, size_bytes, sha256) of whole files of any size below a directory.
+
+    Files up to ``whole_bytes`` are read and hashed by Spark. Larger ones are
+    read in blocks, so a task never holds more than a block; ``pyarrow.fs`` must
+    be able to open those.
+    """
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     )
+    small = files.where(F.col("length") <= whole_bytes).select(
+        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
+    )
+
+    def stream(batches):
+        for batch in batches:
+            hashes = []
+            for name in batch.column(0).to_pylist():
+                fs, inner = pafs.FileSystem.from_uri(name)
+                digest = hashlib.sha256()
+                with fs.open_input_stream(inner) as f:
+                    while block := f.read(BLOCK_BYTES):
+                        digest.update(block)
+                hashes.append(digest.hexdigest())
+            yield pa.record_batch([*batch.columns, pa.array(hashes, pa.string())], names=["path", "size_bytes", "sha256"])
+
+    large = files.where(F.col("length") > whole_bytes).select("path", F.col("length").alias("size_bytes"))
+    return small.unionByName(large.repartition("path").mapInArrow(stream, "path string, size_bytes long, sha256 string"))
 
 
 def hash_report(hashes: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
@@ -126,6 +151,34 @@ def catalog_report(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "name string, kind string, ok boolean")
 
 
+def element_report(graph, allowed_kinds: Sequence[str] = ("VERTEX", "EDGE")) -> DataFrame:
+    """(name, label, kind, key, properties, rows) of the elements of a graph; ``properties`` are sorted and comma-joined."""
+    parts = []
+    for kind, elements in (("VERTEX", graph.vertices), ("EDGE", graph.edges)):
+        for e in elements if kind in allowed_kinds else ():
+            parts.append(e.df.agg(
+                F.lit(e.name).alias("name"), F.lit(e.label).alias("label"), F.lit(kind).alias("kind"), F.lit(e.key).alias("key"),
+                F.lit(",".join(sorted(e.properties))).alias("properties"), F.count(F.lit(1)).alias("rows"),
+            ))
+    return union_all(parts)
+
+
+def column_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, position, column, type, comment, filled): the dictionary with the non-NULL values of each column."""
+    parts = []
+    for name, df in tables.items():
+        counts = df.agg(*[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+        rows = [
+            F.struct(
+                F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                F.lit(f.metadata.get("comment")).cast("string").alias("comment"), F.col(f"_{i}").alias("filled"),
+            )
+            for i, f in enumerate(df.schema.fields)
+        ]
+        parts.append(counts.select(F.lit(name).alias("table"), F.inline(F.array(*rows))))
+    return union_all(parts)
+
+
 def public_views(spark: SparkSession, allowed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> list[str]:
     """Register only the allowed views, each with a fixed column list."""
     for name, (df, columns) in allowed.items():

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from opslake.operators.sets import union_all
 from opslake.plans import changes
 from opslake.workload.registry import Tables, query
-from opslake.workload.roles import Roles, saved_graph, with_roles
+from opslake.workload.roles import Roles, with_roles
 from opslake.workload.shared import shared_dir
 
 
@@ -113,12 +113,13 @@ def d6(t: Tables):
 
 
 _STATE = """SELECT '{case}' AS "case", incident_id, CAST(coalesce(equipment, 0) AS BIGINT) AS equipment, CAST(coalesce(tasks, 0) AS BIGINT) AS tasks,
-      CAST(coalesce(paths, 0) AS BIGINT) AS paths, CAST(coalesce(documents, 0) AS BIGINT) AS documents, CAST(0 AS BIGINT) AS bulletin_paths,
+      CAST(coalesce(paths, 0) AS BIGINT) AS paths, CAST(coalesce(documents, 0) AS BIGINT) AS documents, CAST(coalesce(bp, 0) AS BIGINT) AS bulletin_paths,
       CAST(coalesce(ip, 0) AS BIGINT) AS incident_paths, CAST(coalesce(lp, 0) AS BIGINT) AS lot_paths, CAST(coalesce(tp, 0) AS BIGINT) AS task_paths
     FROM (SELECT incident_id, count(*) AS equipment FROM impact GROUP BY 1)
     FULL JOIN (SELECT incident_id, count(*) AS tasks FROM open_tasks WHERE {task} GROUP BY 1) USING (incident_id)
     FULL JOIN (SELECT incident_id, count(*) AS paths, count(DISTINCT document_id) AS documents, count(*) FILTER (path = 'DOCUMENTED_BY') AS ip,
-        count(*) FILTER (path LIKE 'AFFECTS%') AS lp, count(*) FILTER (path LIKE 'CREATES%') AS tp
+        count(*) FILTER (path LIKE 'AFFECTS%') AS lp, count(*) FILTER (path LIKE 'CREATES%') AS tp,
+        count(*) FILTER (document_id = (SELECT b FROM bulletin)) AS bp
       FROM related_documents WHERE {doc} GROUP BY 1) USING (incident_id)"""
 
 
@@ -127,16 +128,22 @@ _STATE = """SELECT '{case}' AS "case", incident_id, CAST(coalesce(equipment, 0)
     _STATE.format(case="urgent tasks closed", task="priority <> 'CRITICAL'",
                   doc="(task_id IS NULL OR task_id IN (SELECT task_id FROM tasks WHERE priority <> 'CRITICAL'))"),
     _STATE.format(case="bulletins removed", task="1 = 1", doc="relation_type <> 'SERVICE_BULLETIN'"),
-])))
+    _STATE.format(case="one bulletin removed from lots and tasks", task="1 = 1",
+                  doc="(document_id <> (SELECT b FROM bulletin) OR path = 'DOCUMENTED_BY')"),
+]), bulletin="SELECT min(document_id) AS b FROM lot_document WHERE relation_type = 'SERVICE_BULLETIN'"))
 def d7(t: Tables):
-    """Three graphs are asked three questions each, so the node views are written once."""
-    g = saved_graph(Roles(t))
-    tasks, guides = g.vertex("TASK").df, g.edge("GOVERNED_BY").df
-    closed = changes.apply_update(tasks, F.col("priority") == "CRITICAL", {"status": F.lit("CLOSED")})
-    removed = changes.apply_delete(guides, F.col("relation_type") == "SERVICE_BULLETIN")
-    return changes.what_if({
-        "baseline": g, "urgent tasks closed": g.replacing(TASKS=closed), "bulletins removed": g.replacing(LOT_DOCUMENT=removed),
-    })
+    """Answers are computed once; each case says which of their rows a change would leave."""
+    r = Roles(t)
+    rows = changes.what_if_rows(r.graph, r.tasks)
+    bulletin = r.lot_document.where("relation_type = 'SERVICE_BULLETIN'").agg(F.min("document_id")).scalar()
+    is_it = F.col("document_id") == bulletin
+    document = F.col("answer") == "document"
+    return changes.count_cases(rows, {
+        "baseline": F.lit(True),
+        "urgent tasks closed": (F.col("answer") == "equipment") | (F.col("priority").isNull()) | (F.col("priority") != "CRITICAL"),
+        "bulletins removed": ~document | (F.col("relation_type") != "SERVICE_BULLETIN"),
+        "one bulletin removed from lots and tasks": ~document | ~is_it | (F.col("path") == "DOCUMENTED_BY"),
+    }, is_it)
 
 
 @query("d8_snapshot_versions", """

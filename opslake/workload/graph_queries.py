@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from opslake.functions.text import json_object
 from opslake.operators.sets import symmetric_difference
+from opslake.sources import audit
 from opslake.plans import api, kg, quality
 from opslake.plans.graph import GraphSpec, element_sizes, endpoint_errors, key_errors
 from opslake.workload.registry import Tables, query
@@ -224,6 +225,25 @@ def g31(t: Tables):
     return api.id_states(Roles(t).graph, asked)
 
 
+@query("s18_graph_elements", with_roles("""
+    SELECT 'kg_incidents' AS table_name, count(*) AS rows FROM kg_incidents UNION ALL SELECT 'kg_equipment', count(*) FROM kg_equipment"""))
+def s18(t: Tables):
+    """Catalog report of the graph: the vertex tables of incidents and devices with their rows."""
+    report = audit.element_report(Roles(t).graph, ("VERTEX",))
+    name = F.when(F.col("label") == "INCIDENT", "kg_incidents").when(F.col("label") == "EQUIPMENT", "kg_equipment")
+    return report.select(name.alias("table_name"), "rows").where("table_name is not null")
+
+
+@query("f21_error_codes", with_roles("""
+    SELECT CASE WHEN n IS NULL THEN -20012 WHEN n > 1 THEN -20013 ELSE 0 END AS code, count(*) AS ids
+    FROM (SELECT DISTINCT 'INC-' || o_orderkey AS incident_id FROM orders) a
+    LEFT JOIN (SELECT incident_id, count(*) AS n FROM kg_incidents GROUP BY incident_id) k USING (incident_id) GROUP BY 1"""))
+def f21(t: Tables):
+    """Error codes as data, counted."""
+    asked = t.orders.select(F.concat(F.lit("INC-"), F.col("o_orderkey").cast("string")).alias("incident_id"))
+    return api.id_states(Roles(t).graph, asked).groupBy("code").agg(F.count(F.lit(1)).alias("ids"))
+
+
 @query("g32_answer_quality", with_roles("""
     SELECT incident_id AS asked_id, count(*) AS paths, count(DISTINCT document_id) AS documents, CAST(0 AS BIGINT) AS bad_paths
     FROM related_documents GROUP BY incident_id"""))

@@ -1,13 +1,14 @@
 """Sources, projections, filters, joins, aggregates, sorts, sets and scalar functions on the benchmark tables."""
 
 import datetime
+import uuid
 
 from pyspark.sql import functions as F
 
 from opslake.functions import moments, numeric, text
 from opslake.operators import aggregates, joins, ranking, sets
 from opslake.plans import quality
-from opslake.sources import NEVER_BLANK, all_text_csv, audit, read_json, read_table, writers
+from opslake.sources import NEVER_BLANK, all_text_csv, audit, ensure_table, inline_rows, read_csv, read_json, read_table, writers
 from opslake.workload.registry import SCHEMAS, Tables, avg_sql, pct_sql, query
 from opslake.workload.shared import shared_dir
 
@@ -62,11 +63,30 @@ query("s9_scan_report", " UNION ALL ".join(
 query("s16_row_counts", " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {n}" for n in ALL_TABLES))(
     lambda t: audit.row_counts({n: getattr(t, n) for n in ALL_TABLES})
 )
-query("s10_files_behind_table")(lambda t: audit.files_of(t.lineitem))
-query("s11_file_hashes")(lambda t: audit.file_hashes(t.spark, t.path, "*.parquet"))
+@query("s10_files_behind_table", "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows FROM lineitem")
+def s10(t: Tables):
+    """Files that a table is read from, with their rows; a table may be a folder of files."""
+    table = F.coalesce(F.nullif(F.regexp_extract("path", r"([^/]+\.parquet)/[^/]+$", 1), F.lit("")), text.base_name(F.col("path")))
+    return audit.files_of(t.lineitem).groupBy(table.alias("file_name")).agg(F.sum("rows").cast("bigint").alias("rows"))
 
 
-@query("s12_shape_report")
+@query("s11_file_hashes", """
+    SELECT 'nation=' || c_nationkey AS folder, CAST(sum(1 + length(line)) AS BIGINT) AS size_bytes, sha256(string_agg(line, chr(10) ORDER BY c_custkey) || chr(10)) AS sha256
+    FROM (SELECT c_nationkey, c_custkey, c_custkey || ',' || c_mktsegment AS line FROM customer) GROUP BY c_nationkey""")
+def s11(t: Tables):
+    """One text file of customers per nation is written, then every file is hashed."""
+    path = shared_dir(t.spark)
+    rows = t.customer.select(F.col("c_nationkey").alias("nation"), "c_custkey", F.concat_ws(",", "c_custkey", "c_mktsegment").alias("value"))
+    rows.repartition("nation").sortWithinPartitions("nation", "c_custkey").drop("c_custkey").write.partitionBy("nation").text(path)
+    folder = F.element_at(F.split("path", "/"), -2)
+    return audit.file_hashes(t.spark, path, "*.txt").select(folder.alias("folder"), "size_bytes", "sha256")
+
+
+@query("s12_shape_report", """
+    SELECT 'l_partkey' AS "column", 'type bigint, expected string' AS issue
+    UNION ALL SELECT 'l_comment', 'missing'
+    UNION ALL SELECT column_name, 'unexpected' FROM (DESCRIBE lineitem) WHERE column_name NOT IN ('l_orderkey', 'l_partkey')
+    UNION ALL SELECT NULL, count(*) || ' rows, expected 0' FROM lineitem HAVING count(*) <> 0""")
 def s12(t: Tables):
     from pyspark.sql.types import StructType
 
@@ -74,6 +94,86 @@ def s12(t: Tables):
     return audit.shape_report(t.spark, t.lineitem, expected, rows=0)
 
 
+@query("s3_schema_from_file", "SELECT p_brand, count(*) AS parts, max(p_partkey) AS max_partkey FROM part GROUP BY p_brand")
+def s3(t: Tables):
+    """No schema is given: it comes from one file of the table."""
+    df = read_table(t.spark, f"{t.path}/part.parquet", blank=NEVER_BLANK)
+    return df.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"), F.max("p_partkey").alias("max_partkey"))
+
+
+def _mixed_csv(t: Tables) -> str:
+    """Customers as CSV in which the balance of every seventh is no number."""
+    path = shared_dir(t.spark)
+    balance = F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    writers.write_csv(t.customer.select("c_custkey", balance.alias("c_acctbal"), "c_mktsegment"), path)
+    return path
+
+
+_CUSTOMER_CSV = "c_custkey bigint, c_acctbal double, c_mktsegment string"
+
+
+@query("s4_csv_good_rows", "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 7 <> 0")
+def s4(t: Tables):
+    return read_csv(t.spark, _mixed_csv(t), _CUSTOMER_CSV)
+
+
+@query("s4_csv_rejected_rows", """
+    SELECT c_custkey || ',n/a,' || c_mktsegment AS rejected FROM customer WHERE c_custkey % 7 = 0""")
+def s4_rejected(t: Tables):
+    kept = read_csv(t.spark, _mixed_csv(t), _CUSTOMER_CSV, on_bad="keep")
+    return kept.where(F.col("_corrupt_record").isNotNull()).select(F.col("_corrupt_record").alias("rejected"))
+
+
+@query("s5_create_if_absent", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment")
+def s5(t: Tables):
+    """The table is made from the first file; asked for again with another one, it stays as it is."""
+    name, first, second = f"catalog_{uuid.uuid4().hex}", shared_dir(t.spark), shared_dir(t.spark)
+    writers.write_csv(t.customer.select("c_custkey", "c_mktsegment"), first)
+    writers.write_csv(t.customer.select((-F.col("c_custkey")).alias("c_custkey"), F.lit("other").alias("c_mktsegment")), second)
+    for path in (first, second):
+        table = ensure_table(t.spark, name, path, "c_custkey bigint, c_mktsegment string")
+    return table.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s8_inline_rows", """
+    SELECT word, count(*) AS orders FROM orders JOIN (VALUES ('O', 'open'), ('F', 'finished')) s(code, word) ON code = o_orderstatus GROUP BY word""")
+def s8(t: Tables):
+    states = inline_rows(t.spark, [("O", "open"), ("F", "finished")], "code string, word string")
+    return t.orders.join(F.broadcast(states), F.col("o_orderstatus") == F.col("code")).groupBy("word").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("s17_column_comments", """
+    SELECT 'orders' AS "table", * FROM (
+      SELECT 1 AS position, 'o_orderkey' AS "column", 'bigint' AS type, 'key' AS comment, count(o_orderkey) AS filled FROM orders
+      UNION ALL SELECT 2, 'o_rush', 'boolean', NULL, count(o_orderpriority) FROM orders)""")
+def s17(t: Tables):
+    """Comments are part of the schema and survive a select."""
+    df = t.orders.select("o_orderkey", (F.col("o_orderpriority") == "1-URGENT").alias("o_rush"))
+    return audit.column_report({"orders": audit.with_comments(df, {"o_orderkey": "key"}).select("*")})
+
+
+@query("s20_dictionary", " UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", {i} AS position, '{c}' AS \"column\", '{k}' AS type, CAST(NULL AS VARCHAR) AS comment, count({c}) AS filled FROM {n}"
+    for n in ("region", "nation", "supplier", "events")
+    for i, (c, k) in enumerate((x.strip().split(" ") for x in SCHEMAS[n].split(",")), 1)))
+def s20(t: Tables):
+    return audit.column_report({n: getattr(t, n) for n in ("region", "nation", "supplier", "events")})
+
+
+# --- hot keys ---------------------------------------------------------------
+
+
+@query("j5_hot_key", """
+    SELECT p_brand, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS units
+    FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS k, l_quantity FROM lineitem) JOIN part ON p_partkey = k GROUP BY p_brand""")
+def j5_hot(t: Tables):
+    """A third of all lines names one part; its lines are salted, all others joined plainly."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("l_partkey"))
+    lines = t.lineitem.select(key.alias("k"), "l_orderkey", "l_linenumber", "l_quantity")
+    joined = joins.salted_join(t.part.select("p_partkey", "p_brand"), lines, "p_partkey", "k")
+    return joined.groupBy("p_brand").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("bigint").alias("units"))
+
+
 # --- projections and filters ----------------------------------------------
 
 query("p1_projection", "SELECT o_orderkey AS incident, o_totalprice AS amount, o_orderstatus AS state FROM orders")(

@@ -136,9 +136,16 @@ _FACTS = """
       ON d.incident_id = i.incident_id"""
 
 query("v6_incident_facts", with_roles(_FACTS))(_facts)
-query("v7_fan_out", with_roles("SELECT incident_id, count(*) AS row_count FROM kg_incidents GROUP BY incident_id HAVING count(*) <> 1"))(
-    lambda t: facts.fan_out(_facts(t))
-)
+@query("v7_fan_out", with_roles("""
+    SELECT 'facts' AS kind, count(*) AS n FROM kg_incidents
+    UNION ALL SELECT 'fanned out', count(*) FROM (SELECT 1 FROM kg_incidents GROUP BY incident_id HAVING count(*) <> 1)"""))
+def v7(t: Tables):
+    """How many facts there are, and how many incidents have not exactly one."""
+    rows = _facts(t)
+    n = F.count(F.lit(1)).alias("n")
+    return rows.agg(F.lit("facts").alias("kind"), n).unionByName(facts.fan_out(rows).agg(F.lit("fanned out").alias("kind"), n))
+
+
 
 # --- metrics --------------------------------------------------------------
 
