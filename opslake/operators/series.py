@@ -2,7 +2,9 @@
 
 A long series of one key is cut into time chunks. Each chunk is worked on by
 its own window group, and only a summary per chunk is ordered per key, so a key
-that holds a third of all rows still spreads over many tasks.
+that holds a third of all rows still spreads over many tasks. A chunk is a
+clock hour, or a part of one: an hour with more than CHUNK_ROWS rows of a key is
+cut at seconds, by the number of rows.
 """
 
 from __future__ import annotations
@@ -16,6 +18,36 @@ from pyspark.sql.window import Window
 from opslake.functions.moments import seconds_between
 
 
+# Rows of a key in one window group; only rows of one and the same second stay together beyond it.
+CHUNK_ROWS = 1_000_000
+
+
+def _with_chunk(rows: DataFrame, keys: Sequence[str], ts: Column, chunk: str, chunk_rows: int) -> DataFrame:
+    """Add ``_chunk``: (start of the time unit, part of it by rows).
+
+    Only units with more than ``chunk_rows`` rows of a key are looked at by the
+    second; usually there is none and the join meets an empty table.
+    """
+    unit, second = F.date_trunc(chunk, ts), F.date_trunc("second", ts)
+    seconds = rows.groupBy(*keys, unit.alias("_u"), second.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys, "_u")
+    upto = whole.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    busy = (
+        seconds.withColumns({"_all": F.sum("_n").over(whole), "_past": F.coalesce(F.sum("_n").over(upto), F.lit(0))})
+        .where(F.col("_all") > chunk_rows)
+        .select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_s", F.floor(F.col("_past") / chunk_rows).alias("_part"))
+    )
+    same = F.col("_second") == F.col("_s")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+    return (
+        rows.withColumn("_second", second)
+        .join(busy, same, "left")
+        .withColumn("_chunk", F.struct(unit.alias("unit"), F.coalesce("_part", F.lit(0)).alias("part")))
+        .drop("_second", "_s", "_part", *[f"_b{i}" for i in range(len(keys))])
+    )
+
+
 def running_grid(
     stock: DataFrame, sales: DataFrame, keys: Sequence[str], start: Column, ts: str, quantity: str,
     step_minutes: int, marks: int,
@@ -52,7 +84,7 @@ def running_grid(
 
 def sustained(
     rows: DataFrame, keys: Sequence[str], ts: str, tie: str, flag: Column, min_seconds: int | Column,
-    end: str | None = None, chunk: str = "hour",
+    end: str | None = None, chunk: str = "hour", chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Runs of consecutive readings for which ``flag`` holds long enough.
 
@@ -67,8 +99,8 @@ def sustained(
         F.col(tie).alias("_tie"),
         closes.alias("_end"),
         F.coalesce(flag, F.lit(False)).alias("_on"),
-        F.date_trunc(chunk, F.col(ts)).alias("_chunk"),
     )
+    base = _with_chunk(base, keys, F.col("_ts"), chunk, chunk_rows)
     seq = Window.partitionBy(*keys, "_chunk").orderBy("_ts", "_tie")
     turned = F.coalesce((F.lag("_on").over(seq) != F.col("_on")).cast("int"), F.lit(0))
     upto = seq.rowsBetween(Window.unboundedPreceding, 0)
@@ -115,10 +147,11 @@ def sustained(
 
 
 def carry_forward(
-    rows: DataFrame, keys: Sequence[str], ts: str, tie: str, values: dict[str, Column], chunk: str = "hour"
+    rows: DataFrame, keys: Sequence[str], ts: str, tie: str, values: dict[str, Column], chunk: str = "hour",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add columns with the latest non-null value at or before each row. A NULL key is a key of its own."""
-    marked = rows.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
+    marked = _with_chunk(rows, keys, F.col(ts), chunk, chunk_rows)
     seq = Window.partitionBy(*keys, "_chunk").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
     for name, value in values.items():
         marked = marked.withColumn(name, F.last(value, ignorenulls=True).over(seq))

@@ -118,7 +118,7 @@ def test_sustained_matches_brute_force(spark, rows, readings, min_seconds):
     """Runs cross several chunk borders; equal times are ordered by id."""
     points = [(T0 + dt.timedelta(minutes=10 * m), i, on) for i, (m, on) in enumerate(readings)]
     df = spark.createDataFrame([("k", *p) for p in points], "k string, ts timestamp_ntz, id int, flag boolean")
-    got = series.sustained(df, ["k"], "ts", "id", F.col("flag"), min_seconds, chunk="hour")
+    got = series.sustained(df, ["k"], "ts", "id", F.col("flag"), min_seconds, chunk="hour", chunk_rows=min_seconds or 2)
     assert rows(got, "start_ts", "end_ts", "readings") == sorted(brute_runs(points, min_seconds), key=repr)
 
 
@@ -134,6 +134,22 @@ def test_carry_forward_matches_brute_force(spark, rows):
     assert rows(got, "id", "last_v") == sorted(want, key=repr)
 
 
+def test_one_busy_hour_of_one_key_is_cut_by_rows(spark, rows):
+    rng = random.Random(3)
+    points = [(T0 + dt.timedelta(seconds=i // 3), i, rng.choice([None, None, "a", "b"])) for i in range(900)]
+    df = spark.createDataFrame([(None, *p) for p in points], "k string, ts timestamp_ntz, id int, v string")
+    got = series.carry_forward(df, ["k"], "ts", "id", {"last_v": F.col("v")}, chunk_rows=50)
+    want, last = [], None
+    for _, i, v in points:
+        last = v if v is not None else last
+        want.append((i, last))
+    assert rows(got, "id", "last_v") == sorted(want, key=repr)
+    parts = series._with_chunk(df, ["k"], F.col("ts"), "hour", 50).groupBy("_chunk").count()
+    assert parts.count() >= 18 and parts.agg(F.max("count")).first()[0] <= 52
+    runs = series.sustained(df, ["k"], "ts", "id", F.col("v") == "a", 1, chunk_rows=50)
+    assert rows(runs, "start_ts", "end_ts", "readings") == sorted(brute_runs([(t, i, v == "a") for t, i, v in points], 1), key=repr)
+
+
 def test_running_grid_marks(spark, rows):
     stock = spark.createDataFrame([("p", "2026-08-08", 5), ("q", "2026-08-08", 5)], "product_id string, festival_date string, initial_stock long")
     at = lambda h, m, s=0: dt.datetime(2026, 8, 8, h, m, s)
