@@ -54,12 +54,13 @@ def incident_facts(
     device = equipment.select(
         F.col("equipment_id").alias("related_equipment_id"), F.col("stage_id").alias("equipment_stage_id"),
         "manufacturing_lot", "lot_source", "lot_assertion_status", "lot_source_reference_id",
+        F.col("equipment_id").alias("_device"),
     )
     stage = stages.select(F.col("stage_id").alias("equipment_stage_id"), F.col("stage_name").alias("equipment_stage_name"))
     readings = sensor_day(sensors).withColumnsRenamed(
         {"stage_id": "equipment_stage_id", "equipment_id": "related_equipment_id"}
     )
-    upkeep = maintenance_summary(maintenance).withColumnRenamed("equipment_id", "related_equipment_id")
+    upkeep = maintenance_summary(maintenance).withColumnRenamed("equipment_id", "_device")
     i = incidents.select(
         "incident_id", "festival_date", "location_id", "category", "severity", "start_ts", "end_ts", "title", "status",
         "document_id", "related_equipment_id",
@@ -68,8 +69,8 @@ def incident_facts(
         i.join(device, "related_equipment_id", "left")
         .join(stage, "equipment_stage_id", "left")
         .join(readings, ["festival_date", "equipment_stage_id", "related_equipment_id"], "left")
-        # Equipment outside the graph has no maintenance facts, as it has no stage.
-        .join(upkeep.join(device.select("related_equipment_id"), "related_equipment_id", "left_semi"), "related_equipment_id", "left")
+        # Equipment outside the graph has no key here, and so no maintenance facts, as it has no stage.
+        .join(upkeep, "_device", "left")
         .join(delay_summary(delays), "incident_id", "left")
     )
     renamed = {

@@ -392,19 +392,18 @@ DOCUMENT_COLUMNS = {
 
 
 def related_documents(graph: GraphSpec, ids=None) -> DataFrame:
-    """Documents that an incident leads to, by three kinds of path, with the path and its provenance."""
+    """Documents that an incident leads to, by three kinds of path, with the path and its provenance.
 
-    def document(p) -> dict[str, Column]:
-        return {
-            "document_id": p("d", "document_id"), "file_name": p("d", "file_name"),
-            "document_type": p("d", "document_type"), "document_version": p("d", "version"),
-            "effective_date": p("d", "effective_date"), "incident_id": p("i", "incident_id"),
-        }
+    The paths give ids; documents are joined once, after all kinds are put together.
+    """
+    described = ("file_name", "document_type", "document_version", "effective_date")
 
     def branch(hops: tuple[Hop, ...], extra, where=None) -> DataFrame:
-        rows = match(graph, Pattern(("i", "INCIDENT"), hops, where or {}), lambda p: document(p) | extra(p), ids)
+        ends = lambda p: {"document_id": p("d", "document_id"), "incident_id": p("i", "incident_id")}
+        rows = match(graph, Pattern(("i", "INCIDENT"), hops, where or {}), lambda p: ends(p) | extra(p), ids)
         return rows.select(
-            *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in DOCUMENT_COLUMNS.items()]
+            *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c)
+              for c, t in DOCUMENT_COLUMNS.items() if c not in described]
         )
 
     reports = branch(
@@ -435,7 +434,13 @@ def related_documents(graph: GraphSpec, ids=None) -> DataFrame:
         },
         where=OPEN_TASKS.where,
     )
-    return union_all([reports, lot_guides, procedures])
+    documents = graph.vertex("DOCUMENT").df.select(
+        F.col("document_id").alias("_document"), "file_name", "document_type", F.col("version").alias("document_version"), "effective_date"
+    )
+    paths = union_all([reports, lot_guides, procedures])
+    return paths.join(documents, F.col("document_id") == F.col("_document")).select(
+        *[F.col(c).cast(t).alias(c) for c, t in DOCUMENT_COLUMNS.items()]
+    )
 
 
 def task_order() -> Sequence[Column]:

@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from opslake.functions.text import json_object
-from opslake.operators.sets import symmetric_difference
-from opslake.sources import audit
+from opslake.operators.aggregates import count_where
+from opslake.operators.sets import symmetric_difference, union_all
 from opslake.plans import api, kg, quality
 from opslake.plans.graph import GraphSpec, element_sizes, endpoint_errors, key_errors
+from opslake.sources import audit
 from opslake.workload.registry import Tables, query
-from opslake.workload.roles import Roles, saved_graph, with_roles
+from opslake.workload.roles import Roles, with_roles
 
 query("g1_location_scope", with_roles("SELECT * FROM scope"))(lambda t: Roles(t).scope)
 query("g2_scope_audit", with_roles("SELECT * FROM audit"))(lambda t: Roles(t).audit)
@@ -251,6 +252,32 @@ def g32(t: Tables):
     return api.document_quality(Roles(t).graph)
 
 
+@query("g32_postconditions", with_roles("""
+    SELECT 'impact rows' AS "check", count(*) AS actual FROM i UNION ALL SELECT 'impact peers', count(DISTINCT related_equipment_id) FROM i
+    UNION ALL SELECT 'open tasks', count(*) FROM open_tasks WHERE incident_id = (SELECT id FROM one)
+    UNION ALL SELECT 'document paths', count(*) FROM d UNION ALL SELECT 'documents found', count(DISTINCT document_id) FROM d
+    UNION ALL SELECT 'bad paths', count(*) FILTER (source_type IS NULL OR (path LIKE 'CREATES%' AND task_id IS NULL)) FROM d""",
+    one="SELECT min(incident_id) AS id FROM kg_incidents WHERE related_equipment_id IS NOT NULL",
+    i="SELECT * FROM impact WHERE incident_id = (SELECT id FROM one)",
+    d="SELECT * FROM related_documents WHERE incident_id = (SELECT id FROM one)"))
+def g32_postconditions(t: Tables):
+    """The answers for one incident in numbers: the first that names a device."""
+    graph, n = Roles(t).graph, F.count(F.lit(1))
+    asked = graph.vertex("INCIDENT").df.where("related_equipment_id IS NOT NULL").agg(F.min("incident_id").alias("incident_id"))
+
+    def report(rows, **checks):
+        counts = rows.agg(*[c.alias(f"_{k}") for k, c in checks.items()])
+        pairs = [F.struct(F.lit(k.replace("_", " ")).alias("check"), F.col(f"_{k}").alias("actual")) for k in checks]
+        return counts.select(F.inline(F.array(*pairs)))
+
+    return union_all([
+        report(kg.incident_impact(graph, asked), impact_rows=n, impact_peers=F.count_distinct("related_equipment_id")),
+        report(kg.open_tasks(graph, asked), open_tasks=n),
+        report(kg.related_documents(graph, asked), document_paths=n, documents_found=F.count_distinct("document_id"),
+               bad_paths=count_where(api.bad_document_path())),
+    ])
+
+
 @query("g32_answer_sizes", with_roles("""
     SELECT incident_id, count(*) AS members, 'impact' AS answer FROM impact GROUP BY incident_id
     UNION ALL SELECT incident_id, count(*), 'open_tasks' FROM open_tasks GROUP BY incident_id

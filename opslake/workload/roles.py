@@ -91,6 +91,12 @@ class Roles:
             F.col("source").alias("purpose"),
         )
 
+    @cached_property
+    def _linked(self):
+        """Links go to so many document numbers: all documents, and a tenth more that do not exist."""
+        n = F.floor(F.count(F.lit(1)) * 11 / 10).cast("bigint")
+        return self.t.documents.agg(F.greatest(n, F.lit(1).cast("bigint"))).scalar()
+
     # facts
     @cached_property
     def incidents(self) -> DataFrame:
@@ -107,7 +113,7 @@ class Roles:
                 _ts(F.col("o_orderdate")).alias("start_ts"), _ts(F.col("o_orderdate") + F.expr("INTERVAL 1 HOUR")).alias("end_ts"),
                 _txt("Order ", key).alias("title"), F.floor(price / 1000).cast("bigint").alias("impacted_people"),
                 _txt("PART-", F.col("_part")).alias("related_equipment_id"), F.lit("CLOSED").alias("status"),
-                F.when(key % 7 == 0, None).otherwise(_txt("DOC-", key % 1100)).alias("document_id"),
+                F.when(key % 7 == 0, None).otherwise(_txt("DOC-", key % self._linked)).alias("document_id"),
                 _txt("status ", F.col("o_orderstatus")).alias("summary"),
             )
         )
@@ -145,7 +151,7 @@ class Roles:
     @cached_property
     def task_document(self) -> DataFrame:
         return self._task_lines.select(
-            "task_id", _txt("DOC-", (F.col("l_orderkey") + F.col("l_linenumber")) % 1100).alias("document_id"),
+            "task_id", _txt("DOC-", (F.col("l_orderkey") + F.col("l_linenumber")) % self._linked).alias("document_id"),
             F.lit("SYNTHETIC_DEMO").alias("source_type"), _txt("TD-", F.col("l_linenumber")).alias("source_reference_id"),
         )
 
@@ -155,7 +161,7 @@ class Roles:
         batch = F.floor(F.col("p_partkey") / 500).cast("bigint")
         return self.t.part.where("p_size <> 1").select(
             F.concat("p_brand", F.lit("-"), batch.cast("string")).alias("manufacturing_lot"),
-            _txt("DOC-", (brand * 37 + batch) % 1100).alias("document_id"),
+            _txt("DOC-", (brand * 37 + batch) % self._linked).alias("document_id"),
             F.when(brand % 2 == 0, "SERVICE_BULLETIN").otherwise("OPERATING_PROCEDURE").alias("relation_type"),
             F.lit("SYNTHETIC_DEMO").alias("source_type"), _txt("LOTDOC-", brand).alias("source_reference_id"),
         ).distinct()
@@ -332,7 +338,7 @@ ROLE_SQL: dict[str, str] = {
         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS start_ts, strftime(o_orderdate + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS end_ts,
         'Order ' || o_orderkey AS title, CAST(floor(o_totalprice / 1000) AS BIGINT) AS impacted_people,
         'PART-' || part_hit AS related_equipment_id, 'CLOSED' AS status,
-        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'DOC-' || (o_orderkey % 1100) END AS document_id,
+        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'DOC-' || (o_orderkey % (SELECT greatest(count(*) * 11 // 10, 1) FROM documents)) END AS document_id,
         'status ' || o_orderstatus AS summary
         FROM orders JOIN customer ON o_custkey = c_custkey
         LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS part_hit FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) h
@@ -349,10 +355,10 @@ ROLE_SQL: dict[str, str] = {
         CASE WHEN ls = 'O' THEN 'OPEN' WHEN q >= 40 THEN 'IN_PROGRESS' ELSE 'CLOSED' END AS status FROM task_lines""",
     "task_equipment": """SELECT task_id, 'PART-' || part_hit AS equipment_id, 'SYNTHETIC_DEMO' AS source_type,
         'TE-' || l_linenumber AS source_reference_id FROM task_lines""",
-    "task_document": """SELECT task_id, 'DOC-' || ((l_orderkey + l_linenumber) % 1100) AS document_id, 'SYNTHETIC_DEMO' AS source_type,
+    "task_document": """SELECT task_id, 'DOC-' || ((l_orderkey + l_linenumber) % (SELECT greatest(count(*) * 11 // 10, 1) FROM documents)) AS document_id, 'SYNTHETIC_DEMO' AS source_type,
         'TD-' || l_linenumber AS source_reference_id FROM task_lines""",
     "lot_document": """SELECT DISTINCT p_brand || '-' || (p_partkey // 500) AS manufacturing_lot,
-        'DOC-' || ((CAST(substr(p_brand, 7) AS BIGINT) * 37 + p_partkey // 500) % 1100) AS document_id,
+        'DOC-' || ((CAST(substr(p_brand, 7) AS BIGINT) * 37 + p_partkey // 500) % (SELECT greatest(count(*) * 11 // 10, 1) FROM documents)) AS document_id,
         CASE WHEN CAST(substr(p_brand, 7) AS BIGINT) % 2 = 0 THEN 'SERVICE_BULLETIN' ELSE 'OPERATING_PROCEDURE' END AS relation_type,
         'SYNTHETIC_DEMO' AS source_type, 'LOTDOC-' || CAST(substr(p_brand, 7) AS BIGINT) AS source_reference_id
         FROM part WHERE p_size <> 1""",
