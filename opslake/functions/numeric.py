@@ -6,20 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_avg(col: Column, digits: int) -> Column:
+# Decimals to which values are taken before they are summed exactly.
+KEPT_DECIMALS = 6
+
+
+def exact_avg(col: Column, digits: int, decimals: int = KEPT_DECIMALS) -> Column:
     """Rounded average whose result does not depend on the order of the rows.
 
     The sum runs over decimals, so a different partitioning or a retried task
-    cannot move the last digit. Values are taken to six decimals.
+    cannot move the last digit. Values are rounded to ``decimals`` decimals
+    first; the views and metrics built on this do so too.
     """
-    total = F.sum(col.cast("decimal(20,6)"))
+    total = F.sum(col.cast(f"decimal(20,{decimals})"))
     rows = F.count(col).cast("decimal(20,0)")
     return F.round(F.try_divide(total, rows), digits).cast("double")
 
 
-def exact_sum(col: Column) -> Column:
-    """Sum over decimals as double, independent of the row order."""
-    return F.sum(col.cast("decimal(20,6)")).cast("double")
+def exact_sum(col: Column, decimals: int = KEPT_DECIMALS) -> Column:
+    """Sum over values rounded to ``decimals`` decimals as double, independent of the row order."""
+    return F.sum(col.cast(f"decimal(20,{decimals})")).cast("double")
 
 
 def half_even(col: Column, unit: int = 1) -> Column:

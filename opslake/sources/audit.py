@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -65,7 +66,7 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*", whole_bytes: in
         for batch in batches:
             hashes = []
             for name in batch.column(0).to_pylist():
-                fs, inner = pafs.FileSystem.from_uri(name)
+                fs, inner = pafs.FileSystem.from_uri(quote(name, safe="/:"))
                 digest = hashlib.sha256()
                 with fs.open_input_stream(inner) as f:
                     while block := f.read(BLOCK_BYTES):

@@ -52,7 +52,7 @@ def d3(t: Tables):
     source = tasks.where("status = 'CLOSED'").select("incident_id", "task_title", agent).distinct().withColumns(
         {"priority": F.lit("CRITICAL"), "status": F.lit("OPEN")})
     out = changes.upsert_by_natural_key(target, source, natural)
-    known = F.col("task_id") <= F.lit(target.agg(F.max("task_id")).first()[0])
+    known = F.col("task_id") <= target.agg(F.max("task_id")).scalar()
     return out.select(
         F.when(known, F.col("task_id").cast("string")).otherwise("new").alias("id"), "incident_id", "status", "priority")
 

@@ -129,3 +129,11 @@ def test_hash_report_takes_the_root_literally(spark, tmp_path):
     listed = spark.createDataFrame([("x.txt", hashlib.sha256(b"abc").hexdigest()), ("y.txt", "00")], "relative_path string, sha256 string")
     hashes = spark.createDataFrame([(f"file:{root}/x.txt", 3, hashlib.sha256(b"abc").hexdigest())], "path string, size_bytes long, sha256 string")
     assert {tuple(r) for r in audit.hash_report(hashes, listed, str(root)).collect()} == {("x.txt", True), ("y.txt", False)}
+
+
+def test_large_files_are_hashed_in_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit, "BLOCK_BYTES", 7)
+    for name, size in (("a.txt", 5), ("b.txt", 100), ("c d.txt", 1000)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    got = {r.path.rsplit("/", 1)[1]: (r.size_bytes, r.sha256) for r in audit.file_hashes(spark, str(tmp_path), whole_bytes=50).collect()}
+    assert got == {n.replace(" ", "%20") if n.replace(" ", "%20") in got else n: (s, hashlib.sha256(b"x" * s).hexdigest()) for n, s in (("a.txt", 5), ("b.txt", 100), ("c d.txt", 1000))}
