@@ -5,7 +5,8 @@ The queue has one bucket per merge rank with the positions of pairs that may
 merge at that rank, and a bitmap of two levels that finds the lowest rank in
 use by find-first-set. Tokens of a match are a linked list over byte positions;
 an entry whose pair has changed meanwhile is stale and skipped. A match of n
-bytes costs O(n log n), so a match may be as long as the text.
+bytes costs O(n log n), so a match may be as long as the text. Many matches
+share one queue, which spreads its cost over them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from heapq import heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame
 from opslake.llm.common import slices, texts
 
 # Segments that a Python worker remembers, in each of two generations, and the longest one.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 REMEMBERED_CHARS = 48
+GROUP_CHARS = 4 << 20
 _LOW = 8  # bits of a rank below the summary level
 _LOW_MASK = (1 << _LOW) - 1
 
@@ -33,75 +34,107 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one match: the pair of lowest rank merges first, of equal ones the leftmost."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n, get = len(piece), ranks.get
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    pair = [-1] * n  # rank at which the token at a position merges with the next one
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+    """Token ids of each piece: the pair of lowest rank merges first, of equal ones the leftmost.
+
+    All pieces stand in one buffer and share the queue; no pair crosses from one
+    to the next. A bucket is emptied from left to right. A merge may make a pair
+    of a lower rank; then the rest of the bucket waits until that is done.
+    """
+    buffer, get = b"".join(pieces), ranks.get
+    n = len(buffer)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    first, at = bytearray(n + 1), 0  # 1 where a piece begins, and at the end
+    for piece in pieces:
+        first[at] = 1
+        at += len(piece)
+    first[n] = 1
+    pair = [-1] * (n + 1)  # rank at which the token at a position merges with the next one
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     summary = 0
 
     for p in range(n - 1):
-        rank = get(piece[p : p + 2])
-        if rank is not None:
-            pair[p] = rank
-            if rank in buckets:
-                buckets[rank].append(p)  # positions rise, so the list is a heap
-            else:
-                buckets[rank] = [p]
-                high = rank >> _LOW
-                words[high] = words.get(high, 0) | 1 << (rank & _LOW_MASK)
-                summary |= 1 << high
+        if not first[p + 1]:
+            rank = get(buffer[p : p + 2])
+            if rank is not None:
+                pair[p] = rank
+                if rank in buckets:
+                    buckets[rank].append(p)
+                else:
+                    buckets[rank] = [p]
+    for rank in buckets:
+        high = rank >> _LOW
+        words[high] = words.get(high, 0) | 1 << (rank & _LOW_MASK)
+        summary |= 1 << high
 
     while summary:
         high = (summary & -summary).bit_length() - 1
         word = words[high]
         lowest = word & -word
         rank = high << _LOW | lowest.bit_length() - 1
-        bucket = buckets[rank]
-        p = heappop(bucket)
-        if not bucket:
-            del buckets[rank]
-            words[high] = word = word ^ lowest
-            if not word:
-                summary ^= 1 << high
-        if pair[p] != rank:
-            continue
-        q = after[p]
-        end = after[p] = after[q]
-        pair[q] = pair[p] = -1
-        changed = []
-        if end < n:
-            before[end] = p
-            changed.append((p, after[end]))
-        if before[p] >= 0:
-            changed.append((before[p], end))
-        for start, stop in changed:
-            new = get(piece[start:stop])
-            if new is None:
-                pair[start] = -1
+        words[high] = word ^ lowest
+        if word == lowest:
+            summary ^= 1 << high
+        bucket = buckets.pop(rank)
+        bucket.sort()
+        made, lower = [], -1
+        for p in bucket:
+            if pair[p] != rank:  # stale
                 continue
-            pair[start] = new
+            q = after[p]
+            end = after[p] = after[q]
+            pair[q] = -1
+            if first[end]:
+                pair[p] = -1
+            else:
+                before[end] = p
+                new = get(buffer[p : after[end]])
+                if new is None:
+                    pair[p] = -1
+                else:
+                    pair[p] = new
+                    made.append((new, p))
+                    if new < rank:
+                        lower = p
+            if not first[p]:
+                o = before[p]
+                new = get(buffer[o:end])
+                if new is None:
+                    pair[o] = -1
+                else:
+                    pair[o] = new
+                    made.append((new, o))
+                    if new < rank:
+                        lower = p
+            if lower >= 0:
+                made += [(rank, later) for later in bucket if later > lower]
+                break
+        for new, p in made:
             if new in buckets:
-                heappush(buckets[new], start)
+                buckets[new].append(p)
             else:
-                buckets[new] = [start]
+                buckets[new] = [p]
                 high = new >> _LOW
                 words[high] = words.get(high, 0) | 1 << (new & _LOW_MASK)
                 summary |= 1 << high
 
     out, p = [], 0
-    while p < n:
-        out.append(ranks[piece[p : after[p]]])
-        p = after[p]
+    for piece in pieces:
+        stop, ids = p + len(piece), []
+        while p < stop:
+            ids.append(ranks[buffer[p : after[p]]])
+            p = after[p]
+        out.append(ids)
     return out
 
 
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Token ids of one match."""
+    whole = ranks.get(piece)
+    return [whole] if whole is not None else merge_all([piece], ranks)[0]
+
+
 class Codec:
     """Encoder and decoder of one rank file. Ids are handled as decimal text joined by commas."""
 
@@ -112,57 +145,91 @@ class Codec:
         self.young: dict[str, str] = {}
         self.old: dict[str, str] = {}
 
-    def _ids(self, segment: str) -> str:
-        ids: list[int] = []
-        for match in self.find(segment):
-            ids += merge(match.encode(), self.ranks)
-        return ",".join(map(str, ids))
-
-    def _after_space(self, word: str) -> str:
-        """Ids of ``word`` after one space; frequent words are remembered."""
-        ids = self.old.get(word)
-        if ids is None:
-            if word[-1] in ".,;:!?" and word[-2:-1].isalpha():  # the pattern cuts between letter and mark
-                stem = self.young.get(word[:-1]) or self._after_space(word[:-1])
-                ids = f"{stem},{self._ids(word[-1])}"
-            else:
-                ids = self._ids(" " + word)
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self.young) >= REMEMBERED:
-                self.old, self.young = self.young, {}
-            self.young[word] = ids
-        return ids
-
     def encode(self, text: str) -> str:
-        """Ids of a whole text.
-
-        The pattern always starts a match at a space before a character that is
-        no white space, so the text is cut there first and most words are
-        looked up, not cut again.
+        """Ids of a whole text."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[str]:
+        """Ids of whole texts, in order. Texts are taken in groups, whose new words share one queue."""
+        at = 0
+        while at < len(texts):
+            stop, held = at, 0
+            while stop < len(texts) and (stop == at or held + len(texts[stop]) <= GROUP_CHARS):
+                held += len(texts[stop])
+                stop += 1
+            yield from self._group(texts[at:stop])
+            at = stop
+
+    def _group(self, texts: list[str]) -> list[str]:
+        """The pattern always starts a match at a space before a character that is no white space.
+
+        So a text is cut there first, and most words are looked up, not cut by
+        the pattern again.
         """
-        words = text.split(" ")
-        out = list(map(self.young.get, words))
-        out[0] = self._ids(words[0])
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    word = words[i]
-                    if not word or word[0].isspace():
-                        return self._encode_spaced(words)
-                    out[i] = self._after_space(word)
-        return ",".join(out) if out[0] else ",".join(out[1:])
-
-    def _encode_spaced(self, words: list[str]) -> str:
-        """The same where white space stands next to a space: such words stay with the one before."""
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        known, rows, new = self.young.get, [], {}
+        for text in texts:
+            words = text.split(" ")
+            out = list(map(known, words))
+            holes = [i for i, ids in enumerate(out) if ids is None] if None in out else []
+            if any(not words[i] or words[i][0].isspace() for i in holes if i):
+                segments = self._segments(words)
+                out, holes = [None] * len(segments), range(len(segments))
+            else:
+                segments = words  # all but the first follow a space
+                out[0] = None
+                holes = holes if holes[:1] == [0] else [0, *holes]
+                for i in holes:
+                    if i:
+                        segments[i] = " " + words[i]
+            fills = [(i, segments[i]) for i in holes]
+            new.update(dict.fromkeys(s for _, s in fills))
+            rows.append((out, fills))
+        self._learn(new)
+        results = []
+        for out, fills in rows:
+            for i, segment in fills:
+                out[i] = new[segment]
+            results.append(",".join(filter(None, out)))
+        return results
+
+    @staticmethod
+    def _segments(words: list[str]) -> list[str]:
+        """Pieces of a text with odd white space: words next to it stay with the one before."""
         out, run = [], [words[0]]
         for word in words[1:]:
             if word and not word[0].isspace():
-                out.append(self._ids(" ".join(run)) if len(run) > 1 or not out else self._after_space(run[0][1:]))
+                out.append(" ".join(run))
                 run = [" " + word]
             else:
                 run.append(word)
-        out.append(self._ids(" ".join(run)))
-        return ",".join(x for x in out if x)
+        return [*out, " ".join(run)]
+
+    def _learn(self, new: dict[str, str | None]) -> None:
+        """Fill in the ids of segments; those after a space are remembered if short."""
+        matches, pieces = {}, {}
+        for segment in new:
+            word = segment[1:] if segment[:1] == " " else None
+            ids = self.old.get(word) if word else None
+            if ids is None:
+                matches[segment] = parts = [m.encode() for m in self.find(segment)]
+                pieces.update(dict.fromkeys(parts))
+            else:
+                new[segment] = self.young[word] = ids
+        unknown = []
+        for piece in pieces:
+            rank = self.ranks.get(piece)
+            if rank is None:
+                unknown.append(piece)
+            else:
+                pieces[piece] = str(rank)
+        for piece, ids in zip(unknown, merge_all(unknown, self.ranks), strict=True):
+            pieces[piece] = ",".join(map(str, ids))
+        for segment, parts in matches.items():
+            new[segment] = ids = ",".join([pieces[p] for p in parts])
+            if segment[:1] == " " and 1 < len(segment) <= REMEMBERED_CHARS and not segment[1].isspace():
+                self.young[segment[1:]] = ids
 
     def decode(self, ids: str) -> bytes:
         """Bytes of the ids; an unknown id is a KeyError."""
@@ -204,7 +271,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value, pattern)
         for batch in slices(batches):
-            ids = [codec.encode(t.decode()) for t in batch.column(1).to_pylist()]
+            ids = list(codec.encode_all([t.decode() for t in batch.column(1).to_pylist()]))
             lists = [[int(x) for x in i.split(",")] if i else [] for i in ids]
             sha = [hashlib.sha256(codec.decode(i)).hexdigest() for i in ids]
             yield pa.record_batch(
@@ -240,8 +307,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         codec = _codec(data.value, pattern)
         for batch in slices(batches):
             counts, coded, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = codec.encode(text.decode())
+            for ids in codec.encode_all([t.decode() for t in batch.column(1).to_pylist()]):
                 counts.append(ids.count(",") + 1 if ids else 0)
                 coded.append(hashlib.sha256(ids.encode()).hexdigest())
                 decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
