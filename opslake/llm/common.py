@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows that Python holds at once. Texts may be long, so Arrow batches are cut further by bytes.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 
 _KEEP = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)).translate(_KEEP)

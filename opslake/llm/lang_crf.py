@@ -24,7 +24,7 @@ from opslake.llm.common import slices, texts
 from opslake.llm.crf import Adam, Chains, forward_backward
 
 # Bounds of the training sample: documents expected per language, words of one of them, languages.
-TRAIN_DOCS = 250
+TRAIN_DOCS = 200
 TRAIN_WORDS = 20_000
 LANGUAGES = 500
 LEXICON = 200  # words per language
