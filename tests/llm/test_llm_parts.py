@@ -303,7 +303,7 @@ def test_notices_count_places_and_find_errors():
     assert row["base_labels"] == "apache,gpl,mit" and row["score"] == 1.0
     span = next(s for s in row["spans"] if s["label"] == "apache")
     assert words[span["first_word"] : span["last_word"] + 1] == "licensed under the apache license version 2 0".split() and span["errors"] == 0
-    row = notices.scan(b"x relesed under the MTI licence y", notices.PHRASES, ready)
+    row = notices.scan(b"x relesed under the MIT licence y", notices.PHRASES, ready)
     assert row["base_labels"] == "" and row["labels"] == "mit" and 0.7 < row["score"] < 1 and row["first_word"] is None
     row = notices.scan(b"", notices.PHRASES, ready)
     assert (row["n_words"], row["n_base"], row["labels"], row["score"], row["spans"]) == (0, 0, "", 0.0, [])
