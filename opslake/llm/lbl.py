@@ -38,7 +38,7 @@ SHARED = 63  # classes that words share, the last ones
 DIM = 24
 NOISE = 64
 BATCH = 1024
-FREQUENT = 200_000
+FREQUENT = 100_000
 WARM_DOCS = 2_000  # documents of the common start
 _FLUSH = 400_000
 
@@ -283,7 +283,8 @@ class Model:
 def fit(train_docs: DataFrame, counts: DataFrame) -> Model:
     """Fit on (doc_id, text) rows and their written word counts."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
+    first = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    top = list(zip(first.column("word").to_pylist(), first.column("c").to_pylist(), strict=True))
     classes = Classes([w for w, _ in top if w != END][: CLASSES - SHARED - 1])
     listed = counts.sparkSession.createDataFrame([(w,) for w in [END, *classes.listed]], "word binary")
     shared = counts.join(F.broadcast(listed), "word", "left_anti")
