@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -56,12 +56,23 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Dat
     return docs.join(rows, F.col(id_col).eqNullSafe(F.col(one)) & (text_hash(text_col) == F.col(two)), "left_anti")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds about BATCH_BYTES per slice (one row at least)."""
+def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], Sequence[bool]]) -> DataFrame:
+    """The rows whose text ``keep`` accepts, with all columns, in one pass without a shuffle; NULL counts as empty."""
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            yield batch.filter(pa.array(keep([t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str | int = "text") -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column``, a name or position, holds about BATCH_BYTES per slice (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = pc.binary_length(batch.column(batch.schema.get_field_index(column)))
+        size = pc.binary_length(batch.column(column))
         part = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False)) // BATCH_BYTES
         starts = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):

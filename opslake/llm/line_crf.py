@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import slices, text_hash, texts, without
+from opslake.llm.common import keep_rows, slices, text_hash, texts
 from opslake.llm.crf import Adam, Chains, forward_backward
 
 # Bounds of the training sample: labelled documents, and lines of one of them.
@@ -184,7 +184,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, "doc_id long, text_hash long, score double")
 
 
-def keep_good(docs: DataFrame, model: Model, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text") -> DataFrame:
     """The documents that score at least ``least``; all columns stay."""
-    bad = score(docs, model, id_col, text_col).where(F.col("score") < least)
-    return without(docs, bad, id_col, text_col)
+    return keep_rows(docs, text_col, lambda found: model.score(found) >= least)
