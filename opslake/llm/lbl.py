@@ -283,8 +283,11 @@ class Model:
 def fit(train_docs: DataFrame, counts: DataFrame) -> Model:
     """Fit on (doc_id, text) rows and their written word counts."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    first = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    first = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    texts_learnt = counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     top = list(zip(first.column("word").to_pylist(), first.column("c").to_pylist(), strict=True))
+    if texts_learnt:  # the end is known whatever its rank
+        top.append((END, texts_learnt))
     classes = Classes([w for w, _ in top if w != END][: CLASSES - SHARED - 1])
     listed = counts.sparkSession.createDataFrame([(w,) for w in [END, *classes.listed]], "word binary")
     shared = counts.join(F.broadcast(listed), "word", "left_anti")

@@ -364,3 +364,14 @@ def test_lm_scores_equal_counts_and_are_finite(spark, docs, none, monkeypatch):
     assert lbl.score_documents(none, F.lit(False)).count() == 0
     alone = lbl.score_documents(docs_of(spark, [(1, "a b")]), F.lit(True)).first()
     assert alone.n_known == 0 and alone.train_tokens == 0 and math.isfinite(alone.score) and abs(alone.base_score) < 1e-9
+
+
+def test_lm_knows_the_end_whatever_its_rank(spark, monkeypatch):
+    monkeypatch.setattr(lbl, "FREQUENT", 3)
+    monkeypatch.setattr(lbl, "CLASSES", 66)
+    text = " ".join(f"w{i}" for i in range(8)) + " "
+    got = lbl.score_documents(docs_of(spark, [(1, text * 5), (2, text * 7)]), F.lit(False)).collect()
+    total, distinct = 8 * 12 + 2, 9
+    for r, n in ((r, {1: 5, 2: 7}[r.doc_id]) for r in got):
+        base = 8 * n * math.log10(12.5) + math.log10(2.5) - (8 * n + 1) * math.log10(total + 0.5 * (distinct + 1))
+        assert r.n_known == r.n_tokens == 8 * n + 1 and abs(r.base_score - base) < 1e-6
