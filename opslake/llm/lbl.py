@@ -39,7 +39,7 @@ DIM = 24
 NOISE = 64
 BATCH = 1024
 FREQUENT = 100_000
-WARM_DOCS = 2_000  # documents of the common start
+WARM_DOCS, WARM_TOKENS = 2_000, 4_000_000  # documents and tokens expected in the common start
 _FLUSH = 400_000
 
 END = b""  # no word is empty
@@ -280,6 +280,16 @@ class Model:
             at += len(s)
 
 
+def warm_start(train_docs: DataFrame, n_docs: int, n_tokens: int) -> DataFrame:
+    """The documents of the common start, for one task in a fixed order.
+
+    They are chosen where the documents are read; only the chosen rows move.
+    """
+    share = min(1.0, WARM_DOCS / max(1, n_docs), WARM_TOKENS / max(1, n_tokens))
+    chosen = F.xxhash64("doc_id", "text")
+    return train_docs.where(F.pmod(chosen, F.lit(1 << 30)) < (1 << 30) * share).repartition(1).sortWithinPartitions(chosen, "doc_id")
+
+
 def fit(train_docs: DataFrame, counts: DataFrame) -> Model:
     """Fit on (doc_id, text) rows and their written word counts."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -305,8 +315,7 @@ def fit(train_docs: DataFrame, counts: DataFrame) -> Model:
     log_share = np.log10(sizes[:, 0] + 0.5 * (sizes[:, 1] + 1))
     log_share[: classes.first_shared] = np.nan
     params = Params.start(np.log(unigram).astype(np.float32))
-    warm = train_docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < (1 << 30) * min(1.0, WARM_DOCS / max(1, sizes[0, 0])))
-    params = train(warm.coalesce(1), classes, unigram, params)
+    params = train(warm_start(train_docs, int(sizes[0, 0]), total), classes, unigram, params)
     params = train(train_docs, classes, unigram, params)
     return Model(
         classes, Scorer(params), frequent, np.log10(c + 0.5), np.array([classes.of(w) for w, _ in top] or [0]), log_share,

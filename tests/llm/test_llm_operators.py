@@ -375,3 +375,13 @@ def test_lm_knows_the_end_whatever_its_rank(spark, monkeypatch):
     for r, n in ((r, {1: 5, 2: 7}[r.doc_id]) for r in got):
         base = 8 * n * math.log10(12.5) + math.log10(2.5) - (8 * n + 1) * math.log10(total + 0.5 * (distinct + 1))
         assert r.n_known == r.n_tokens == 8 * n + 1 and abs(r.base_score - base) < 1e-6
+
+
+def test_common_start_is_chosen_in_parallel_and_bounded_by_tokens(spark, monkeypatch):
+    table = docs_of(spark, [(i, "word " * 1000) for i in range(400)], parts=7).select("doc_id", "text")
+    assert lbl.warm_start(table, 400, 400_000).count() == 400
+    monkeypatch.setattr(lbl, "WARM_TOKENS", 40_000)
+    warm = lbl.warm_start(table, 400, 400_000)
+    plan = warm._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and plan.index("SinglePartition") < plan.index("Filter")  # the filter runs below the exchange
+    assert warm.rdd.getNumPartitions() == 1 and 15 <= warm.count() <= 75
