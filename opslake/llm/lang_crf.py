@@ -29,6 +29,7 @@ TRAIN_WORDS = 20_000
 LANGUAGES = 500
 LEXICON = 200  # words per language
 BUCKETS = 1 << 14
+WORD_BYTES = 60
 REMEMBERED = 400_000  # words of which a Python worker knows the scores
 UNKNOWN = "und"
 
@@ -37,8 +38,22 @@ _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)).translate(_
 
 
 def words_of(text: bytes) -> list[bytes]:
-    """Runs of ASCII letters (lower-cased) and non-ASCII characters."""
-    return text.translate(_LETTERS).split()
+    """Runs of ASCII letters (lower-cased) and non-ASCII characters; runs above WORD_BYTES are cut between characters."""
+    words = text.translate(_LETTERS).split()
+    if max(map(len, words), default=0) <= WORD_BYTES:
+        return words
+    return [part for w in words for part in _parts(w)]
+
+
+def _parts(word: bytes) -> Iterator[bytes]:
+    """Consecutive parts of at most WORD_BYTES."""
+    at = 0
+    while len(word) - at > WORD_BYTES:
+        stop = at + WORD_BYTES
+        back = next((k for k in range(4) if word[stop - k] & 0xC0 != 0x80), 0)  # 0 where it is not UTF-8
+        yield word[at : stop - back]
+        at = stop - back
+    yield word[at:]
 
 
 def has_letter(text: bytes) -> bool:
@@ -47,7 +62,7 @@ def has_letter(text: bytes) -> bool:
 
 def word_features(word: bytes, lexicon: dict[bytes, list[int]]) -> list[int]:
     """Buckets of a word: constant, length, affixes, pairs and triples, lexicons (the last LANGUAGES buckets)."""
-    w = b"^" + word[:60] + b"$"
+    w = b"^" + word + b"$"
     n = len(w)
     grams = [w[i : i + 2] for i in range(n - 1)] + [w[i : i + 3] for i in range(n - 2)]
     grams += [b"p" + w[:4], b"p" + w[:5], b"s" + w[-4:], b"s" + w[-5:]]
@@ -207,8 +222,8 @@ def fit(
 ) -> Model:
     """Fit on a sample of the rows with a language: about ``docs_per_lang`` of each, by the hash of the text.
 
-    Documents of more than TRAIN_WORDS words are not used for training. More
-    than LANGUAGES languages are an error.
+    Documents of more than TRAIN_WORDS words, or of as many times WORD_BYTES, are
+    not used for training. More than LANGUAGES languages are an error.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = rows.groupBy(lang_col).count().limit(LANGUAGES + 1).collect()
@@ -221,7 +236,8 @@ def fit(
     for lang, n in sorted(map(tuple, sizes)):
         one = (F.col(lang_col) == lang) & (share < min(1.0, docs_per_lang / n))
         picked = one if picked is None else picked | one
-    least = rows.where(picked & (F.size(F.split(F.col(text_col), " ")) <= TRAIN_WORDS))
+    short = (F.size(F.split(F.col(text_col), " ")) <= TRAIN_WORDS) & (F.octet_length(text_col) <= TRAIN_WORDS * WORD_BYTES)
+    least = rows.where(picked & short)
     found = least.select(F.col(text_col).cast("binary").alias("text"), F.col(lang_col).alias("lang")).limit(4 * docs_per_lang * len(sizes)).collect()
     return train(sorted((bytes(r["text"]), r["lang"]) for r in found))
 

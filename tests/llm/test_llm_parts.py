@@ -285,6 +285,22 @@ def test_language_model_labels_switches():
     assert lang_crf.train([(b"abc def", "xx")]).predict([b"abc"])[0][0] == "xx"
 
 
+def test_language_of_text_without_spaces_is_that_of_all_of_it():
+    rng = random.Random(4)
+    one, two = "春夏秋冬山川草木", "あいうえおかきく"
+    say = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    sample = sorted((say(w, 300).encode(), k) for k, w in (("zh", one), ("ja", two)) for _ in range(30))
+    model = lang_crf.train(sample, rounds=20)
+    mixed = (say(one, 40) + say(two, 400)).encode()
+    assert [k for k, _ in model.predict([mixed, say(one, 200).encode()])] == ["ja", "zh"]
+    (marginals, sizes), = model.label([mixed])
+    assert model.langs[marginals[0].argmax()] == "zh" and model.langs[marginals[-1].argmax()] == "ja" and sizes.sum() == len(mixed)
+    for text in (mixed, b"a" * 200, b"\x80" * 200, b"x" + mixed):
+        parts = lang_crf.words_of(text)
+        assert b"".join(parts) == text and max(map(len, parts)) <= 60
+    assert [w.decode() for w in lang_crf.words_of(b"x" + mixed)]
+
+
 # --- license notices
 
 
