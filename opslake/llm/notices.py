@@ -83,12 +83,15 @@ class Notice:
             yield start, stop
 
     def search(self, text: bytes) -> Iterator[tuple[int, int, int]]:
-        """(start, stop, errors) of matches that do not overlap."""
-        for a, b in self.windows(text):
-            at = a
-            while at < b and (m := self.pattern.search(text, at, b)):
-                yield m.start(), m.end(), sum(m.fuzzy_counts)
-                at = max(m.end(), at + 1)
+        """(start, stop, errors) of matches that do not overlap, in order: the best of a part, then what lies on both sides of it."""
+        for window in self.windows(text):
+            todo: list[tuple[int, int] | tuple[int, int, int]] = [window]
+            while todo:
+                part = todo.pop()
+                if len(part) == 3:
+                    yield part
+                elif part[1] - part[0] >= len(self.text) - self.errors and (m := self.pattern.search(text, *part)):
+                    todo += [(m.end(), part[1]), (m.start(), m.end(), sum(m.fuzzy_counts)), (part[0], m.start())]
 
 
 def prepare(notices: dict[str, str], chars_per_error: int) -> list[Notice]:

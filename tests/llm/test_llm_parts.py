@@ -344,6 +344,15 @@ def test_pigeonhole_seeds_lose_no_match():
         assert bool(list(notice.search(text))) == bool(regex.search(b"(?:%s){e<=2}" % notice.text, text)), text
 
 
+def test_inexact_notices_beside_exact_ones_are_all_found():
+    ready = notices.prepare({"released under the mit license": "mit"}, 10)
+    exact, one, two = "released under the mit license", "released under the mit licence", "relesed under the mit licence"
+    for order in ([one, exact], [two, one, exact, two, exact], [exact, one], [one] * 3, [two, two, exact, one, two]):
+        spans = notices.scan(" ".join(order).encode(), {}, ready)["spans"]
+        errors = {exact: 0, one: 1, two: 2}
+        assert [(s["first_word"], s["last_word"], s["errors"]) for s in spans] == [(5 * k, 5 * k + 4, errors[t]) for k, t in enumerate(order)]
+
+
 # --- log-bilinear model
 
 
