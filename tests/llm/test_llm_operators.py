@@ -294,6 +294,24 @@ def test_leaks_in_chunks_are_those_of_one_index(spark, monkeypatch):
     assert pick(bm25.find_leaks(table, bench)) == whole and sum(bool(x) for _, x in whole) == 40
 
 
+def test_leaks_spread_over_a_document_do_not_depend_on_other_items(spark, monkeypatch):
+    rng = random.Random(3)
+    say = lambda p, n: " ".join(f"{p}{rng.randrange(9000)}" for _ in range(n))
+    question, answer, long = say("q", 20), say("a", 20), say("l", 200)
+    items = [(0, f"{question}. {answer}."), (1, long), *((k, say("o", 12)) for k in range(2, 12))]
+    inserted = " ".join(w + (" " + say("n", 6) if k % 40 == 39 else "") for k, w in enumerate(long.split()))
+    texts = [f"{say('f', 50)} {question} {say('f', gap)} {answer} {say('f', 90)}" for gap in (0, 30, 150, 1000)]
+    texts += [f"{say('f', at)} {inserted} {say('f', 700)}" for at in (0, 70, 130, 199)] + [f"{question} {say('f', 99)}"]
+    table = docs_of(spark, list(enumerate(texts)))
+    pick = lambda bench: sorted((r.doc_id, r.n_passages, [(x.item_id, round(x.score, 9), x.overlap) for x in r.leaks]) for r in bm25.find_leaks(table, bench).collect())
+    whole = pick(spark.createDataFrame(items, "item_id long, text string"))
+    assert [[x[0] for x in leaks] for _, _, leaks in whole] == [[0]] * 4 + [[1]] * 4 + [[]]
+    monkeypatch.setattr(bm25, "CHUNK_ITEMS", 1)
+    assert pick(spark.createDataFrame(items, "item_id long, text string")) == whole
+    alone = pick(spark.createDataFrame(items[:1], "item_id long, text string"))
+    assert [[x[0] for x in leaks] for _, _, leaks in alone] == [[0]] * 4 + [[]] * 5
+
+
 # --- classifiers
 
 
