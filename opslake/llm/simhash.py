@@ -10,21 +10,14 @@ at least one shard. A shard is searched by a tree of the same kind and hands on
 a spanning forest of its links, never all pairs.
 
 Memory: a shard holds 8 bytes a point. Points that all lie within a few bits of
-each other cannot be cut by any vantage point; such a shard is compared in
-tiles of TILE x TILE, so its time grows with the square of its *distinct*
-fingerprints, its memory does not.
-
-``similar`` goes by the texts themselves: distinct sets of word shingles whose
-Jaccard similarity reaches a bar are linked. Its fingerprints have LANES x 64
-bits, its radius takes in all but a few in 10,000 pairs at the bar, and every link is
-verified on the sets. A radius that wide is seldom cut by a vantage point, so
-points are dealt by pairs of blocks of about equal set sizes: a group holds two
-blocks at most, whatever the data.
+each other cannot be cut by any vantage point; such a shard is cut into hashed
+blocks, and every pair of blocks is a group of its own, compared in tiles of
+TILE x TILE. Its time grows with the square of its *distinct* fingerprints,
+spread over tasks; the memory of a task does not grow.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -41,9 +34,6 @@ from opslake.sources.scratch import saved, shared_dir
 SEED = 42
 TILE = 1024
 _CHUNK = 1 << 16
-LANES = 4  # 64-bit parts of the fingerprints of shingle sets
-BLOCK = 1 << 16  # points of a block; a group compares two
-_SALTS = np.array([(0x9E3779B97F4A7C15 * (k + 1)) % (1 << 64) for k in range(LANES)], np.uint64)
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
@@ -192,15 +182,18 @@ def forest(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return points[moved], points[root[moved]]
 
 
-def links(points: DataFrame, bits: int = 3, shard_points: int = 32_768, sample: int = 65_536) -> DataFrame:
+def links(points: DataFrame, bits: int = 3, shard_points: int = 32_768, sample: int = 65_536, block: int = 131_072) -> DataFrame:
     """(a, b): links between the distinct fingerprints ``fp``, enough to span all components.
 
-    ``sample`` bounds the points on which the tree is fitted (0.5 MB at most on
-    the driver); every point is indexed.
+    ``sample`` is the expected number of points, chosen by a hash, on which the
+    tree is fitted (about 0.5 MB on the driver); every point is indexed. Shards
+    of more than ``block`` points are searched as pairs of blocks.
     """
     total = points.count()
-    some = points.select("fp", F.xxhash64("fp").alias("k")).orderBy("k", "fp").limit(min(sample, max(1, total))).select("fp")
-    chosen = np.array([r.fp for r in some.collect()], np.int64).view(np.uint64)
+    grain = 1 << 20
+    share = min(grain, -(-sample * grain // max(1, total)))
+    some = points.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(grain)) < share)
+    chosen = np.sort(some.toArrow().column("fp").to_numpy().astype(np.int64).view(np.uint64))
     tree = fit_tree(chosen, total, shard_points, bits)
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,11 +202,26 @@ def links(points: DataFrame, bits: int = 3, shard_points: int = 32_768, sample:
             at, shard = tree.shards(fps.view(np.uint64), bits)
             yield pa.record_batch([pa.array(fps[at]), pa.array(shard.astype(np.int64))], names=["fp", "shard"])
 
+    dealt = points.select("fp").mapInArrow(deal, "fp long, shard long")
+    # At most one row for every 16 points of the sample.
+    parts = {r.shard: -(-r["count"] // block) for r in dealt.groupBy("shard").count().where(F.col("count") > block).collect()}
+
+    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, shard = int64s(batch, "fp"), int64s(batch, "shard")
+            n = np.array([parts.get(k, 1) for k in shard.tolist()], np.int64)
+            own = ((fps.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % n
+            for other in range(int(n.max(initial=1))):
+                at = np.flatnonzero((other < n) & ((own != other) | (n == 1)))
+                low, high = np.minimum(own[at], other), np.maximum(own[at], other)
+                yield pa.record_batch([pa.array(x) for x in (fps[at], shard[at], low, high)], names=["fp", "shard", "low", "high"])
+
     def search(table: pa.Table) -> pa.Table:
         a, b = forest(table.column("fp").to_numpy().astype(np.int64).view(np.uint64), bits)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return points.select("fp").mapInArrow(deal, "fp long, shard long").groupBy("shard").applyInArrow(search, "a long, b long")
+    groups = dealt.mapInArrow(pair, "fp long, shard long, low long, high long")
+    return groups.groupBy("shard", "low", "high").applyInArrow(search, "a long, b long")
 
 
 def near_duplicates(
@@ -237,191 +245,15 @@ def near_duplicates(
     return prints.join(named.select("fp", "root").join(least, "root"), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def shingle_set(text: bytes, words: int = 5) -> np.ndarray:
-    """Distinct XXH64 values of the shingles, sorted; words as in ``fingerprint``."""
-    w = text.lower().split()
-    if not w:
-        return np.zeros(0, np.uint64)
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    if len(w) < words:
-        return np.array([digest(join(w), SEED)], np.uint64)
-    grams = map(join, zip(*(w[k:] for k in range(words)), strict=False))
-    return np.unique(np.fromiter((digest(g, SEED) for g in grams), np.uint64, len(w) - words + 1))
-
-
-def lanes(hashes: np.ndarray) -> np.ndarray:
-    """SimHash of LANES x 64 bits of a shingle set, each shingle counted once."""
-    ones = np.zeros(64 * LANES, np.int64)
-    for start in range(0, len(hashes), _CHUNK):
-        x = hashes[start : start + _CHUNK, None] + _SALTS
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        bits = np.unpackbits(x.view(np.uint8), axis=1, bitorder="little")
-        for k in range(0, len(bits), 255):
-            ones += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
-
-
-def radius(bits: int, similarity: float) -> int:
-    """Differing bits that pairs at the bar stay within but for a few in 10,000.
-
-    At Jaccard J the cosine of two sets is at least 2J / (1 + J), and a bit
-    differs with the angle's share of a half turn; a quarter more for ties of
-    small sets, and four deviations.
-    """
-    p = min(0.5, 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-    return int(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
-
-
-def _level(n: np.ndarray, similarity: float) -> np.ndarray:
-    """Sets whose sizes allow the similarity stand on the same level or on adjacent ones."""
-    return np.floor(np.log(n) / (math.log(1 / similarity) + 0.01)).astype(np.int64)
-
-
-def candidates(left: np.ndarray, right: np.ndarray | None, n_left: np.ndarray, n_right: np.ndarray | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (in ``left``, in ``right``) of pairs within the radius whose sizes allow the similarity.
-
-    Rows are fingerprints by lane. Without ``right``: pairs within ``left``,
-    each once. Where vantage points cut, a tree goes before the tiles.
-    """
-    one = right is None
-    if one:
-        right, n_right = left, n_left
-    first, whole = radius(64, similarity), radius(64 * LANES, similarity)
-    rng, out = np.random.default_rng(SEED), []
-    todo = [(np.argsort(n_left, kind="stable"), np.argsort(n_right, kind="stable"))]
-    while todo:
-        a, b = todo.pop()
-        if not len(a) or not len(b):
-            continue
-        cut = _cut(left[a, 0], rng, first) if min(len(a), len(b)) > 4 * TILE else None
-        if cut is not None:
-            v, r, inner, outer = cut
-            d = np.bitwise_count(right[b, 0] ^ v)
-            todo += [(a[inner], b[d <= r + first]), (a[outer], b[d > r])]
-            continue
-        for i in range(0, len(a), TILE):
-            rows = a[i : i + TILE]
-            low, high = similarity * n_left[rows[0]] - 1e-6, n_left[rows[-1]] / similarity + 1e-6
-            start, stop = np.searchsorted(n_right[b], low), np.searchsorted(n_right[b], high, side="right")
-            for j in range(start, stop, TILE):
-                cols = b[j : min(stop, j + TILE)]
-                x, y = np.nonzero(np.bitwise_count(left[rows, 0][:, None] ^ right[cols, 0][None, :]) <= first)
-                x, y = rows[x], cols[y]
-                least, most = np.minimum(n_left[x], n_right[y]), np.maximum(n_left[x], n_right[y])
-                near = least >= similarity * most - 1e-6
-                if one:
-                    near &= x < y
-                x, y = x[near], y[near]
-                near = np.bitwise_count(left[x] ^ right[y]).sum(axis=1, dtype=np.int64) <= whole
-                out.append(np.stack([x[near], y[near]]))
-    found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-    return found[0], found[1]
-
-
-def candidate_links(points: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): pairs of keys of ``points`` (key, n, f0, f1, ...) that may reach the similarity.
-
-    Levels of set sizes are cut into hashed blocks, and every pair of blocks of
-    the same or adjacent levels is a group; the driver sees a count per size.
-    """
-    fs = [f"f{k}" for k in range(LANES)]
-    sizes = points.where("n > 0").groupBy("n").count().toArrow()
-    n, c = (sizes.column(k).to_numpy().astype(np.int64) for k in ("n", "count"))
-    per_level = np.bincount(_level(n, similarity), c).astype(np.int64) if len(n) else np.zeros(1, np.int64)
-    parts = -(-per_level // BLOCK)
-    firsts = np.concatenate([[0], np.cumsum(parts)])
-
-    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = int64s(batch, "key")
-            level = _level(int64s(batch, "n"), similarity)
-            own = firsts[level] + (key.view(np.uint64) % parts[level].astype(np.uint64)).astype(np.int64)
-            for block in np.unique(own).tolist():
-                at = np.flatnonzero(own == block)
-                k = int(np.searchsorted(firsts, block, side="right")) - 1
-                rows = batch.take(pa.array(at))
-                for other in range(firsts[max(0, k - 1)], firsts[min(len(parts), k + 2)]):
-                    pair = [np.full(len(at), x, np.int64) for x in (min(block, other), max(block, other), block)]
-                    yield pa.record_batch([*rows.columns, *map(pa.array, pair)], names=[*rows.schema.names, "low", "high", "own"])
-
-    def search(table: pa.Table) -> pa.Table:
-        key, size, own = (table.column(k).to_numpy().astype(np.int64) for k in ("key", "n", "own"))
-        prints = np.stack([table.column(f).to_numpy().astype(np.int64).view(np.uint64) for f in fs], axis=1)
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        if low == high:
-            x, y = candidates(prints, None, size, None, similarity)
-            return pa.table({"a": key[x], "b": key[y]})
-        p, q = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        x, y = candidates(prints[p], prints[q], size[p], size[q], similarity)
-        return pa.table({"a": key[p][x], "b": key[q][y]})
-
-    kinds = "key long, n long, " + ", ".join(f"{f} long" for f in fs)
-    dealt = points.where("n > 0").select("key", "n", *fs).mapInArrow(deal, kinds + ", low long, high long, own long")
-    return dealt.groupBy("low", "high").applyInArrow(search, "a long, b long")
-
-
-def similar(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None
-) -> DataFrame:
-    """(doc_id, text_hash, component_id), one row per row of ``docs``.
-
-    component_id: smallest id among all documents reachable over links, a link
-    being a Jaccard similarity of the sets of ``words``-word shingles of
-    ``similarity`` or more. Texts without words are alike. NULL ids as in
-    ``near_duplicates``.
-    """
-    folder = folder or shared_dir(docs.sparkSession)
-    fs = [f"f{k}" for k in range(LANES)]
-
-    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            prints = np.stack([lanes(s) for s in sets]).view(np.int64)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(2), pa.array(keys), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, prints.T.copy())],
-                names=["doc_id", "text_hash", "key", "n", *fs],
-            )
-
-    def contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingle_set(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(2), pa.array(sets, pa.list_(pa.int64()))], names=["key", "shingles"])
-
-    rows = texts(docs, id_col, text_col, text_hash(text_col).alias("text_hash"))
-    kinds = "doc_id long, text_hash long, key long, n long, " + ", ".join(f"{f} long" for f in fs)
-    prints = saved(rows.mapInArrow(describe, kinds), f"{folder}/prints")
-    points = saved(
-        prints.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), *[F.min(f).alias(f) for f in fs]),
-        f"{folder}/points",
-    )
-    pairs = saved(candidate_links(points, similarity).distinct(), f"{folder}/pairs")
-    # One text of each set that stands in a pair, as its shingles.
-    named = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(points.select("key", "text_hash"), "key")
-    held = rows.select("text_hash", "text").join(named, "text_hash").select(F.lit(0).cast("long"), "text", "key")
-    sets = saved(held.mapInArrow(contents, "key long, shingles array<long>").dropDuplicates(["key"]), f"{folder}/sets")
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    alike = both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared) - 1e-6).select("a", "b")
-    roots = components(saved(alike, f"{folder}/alike"), folder).withColumnRenamed("node", "key")
-    rooted = points.select("key", "least").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.select("key", "root").join(least, "root"), "key").select("doc_id", "text_hash", "component_id")
-
-
 def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, words: int = 5, similarity: float = 0.8
+    docs: DataFrame, words: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None
 ) -> DataFrame:
-    """The documents with one of each group of ``similar`` left: the one with the smallest id. All columns stay.
+    """The documents with one of each group of ``near_duplicates`` left: the one with the smallest id. All columns stay.
 
     Rows that repeat the id of the one that stays, if in the same group, are
     kept too; run exact deduplication first to remove them. Rows with a NULL id
     stay only in a group of NULL ids.
     """
-    found = similar(docs, words, similarity, id_col, text_col, folder)
+    found = near_duplicates(docs, words, bits, id_col, text_col, folder)
     gone = found.where("doc_id != component_id or (doc_id is null and component_id is not null)")
     return without(docs, gone, id_col, text_col)

@@ -119,30 +119,29 @@ def test_near_keep_one_leaves_one_of_each_group(spark):
     assert kept.columns == table.columns
 
 
-def test_near_keep_one_equals_brute_force_jaccard(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 40)
-    monkeypatch.setattr(simhash, "TILE", 16)
-    rng = random.Random(17)
-    texts = []
-    for size in [6, 9, 20, 50, 300, 1000] * 6:
-        w = [f"w{rng.randrange(5000)}" for _ in range(size)]
-        texts.append(w)
-        for edits in (1, max(1, size // 100), max(1, size // 50), max(1, size // 30)):
-            copy = list(w)
-            for k in rng.sample(range(size), edits):
-                copy[k] = f"x{rng.randrange(5000)}"
-            texts.append(copy)
-        texts.append(w[: size - size // 8])
-    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
-    alike = lambda x, y: len(x & y) >= 0.8 * len(x | y) - 1e-9
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if alike(sets[i], sets[j]) and root[i] != root[j]:
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    kept = {r.doc_id for r in simhash.keep_one(docs_of(spark, [(i, " ".join(w)) for i, w in enumerate(texts)])).collect()}
-    assert kept == set(root) and 36 < len(kept) < len(texts) - 60
+def test_dense_shard_in_pairs_of_blocks_equals_brute_force(spark):
+    rng = random.Random(8)
+    base = rng.getrandbits(64)
+    points = {base ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(9))) for _ in range(900)}
+    table = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in points], "fp long")
+    found = simhash.links(table, shard_points=64, block=100).collect()
+    parent = {p: p for p in points}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in found:
+        a, b = r.a % (1 << 64), r.b % (1 << 64)
+        parent[root(a)] = root(b)
+    got = len({root(p) for p in points})
+    parent = {p: p for p in points}
+    for a in points:
+        for b in points:
+            if (a ^ b).bit_count() <= 3:
+                parent[root(a)] = root(b)
+    assert got == len({root(p) for p in points})
 
 
 # --- BPE
