@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import bm25, bpe, cuckoo, hashtree, lang_crf, lbl, line_crf, notices, simhash, warc
+from opslake.llm import bm25, bpe, cuckoo, hashtree, lang_crf, lbl, line_crf, notices, ranked, simhash, turn_trie, vector_forest, warc
 from opslake.llm.common import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,86 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
 @_query("op10_license_notices")
 def op10(spark: SparkSession, path: str) -> DataFrame:
     return notices.find_notices(_table(spark, path, "documents")).drop("spans")
+
+
+@_query(
+    "op11_ranked_search",
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+i AS (
+  SELECT row_number() OVER () AS q, item_id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+t AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+m AS (SELECT r, doc_id, 75 + (25 * len(terms) * n_docs) // n_terms AS m FROM d, t WHERE len(terms) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, t WHERE term IN (SELECT term FROM i) GROUP BY term, n_docs),
+s AS (SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM i JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM k WHERE place <= 20
+""",
+)
+def op11(spark: SparkSession, path: str) -> DataFrame:
+    return ranked.search(_table(spark, path, "documents"), _table(spark, path, "benchmark"))
+
+
+@_query(
+    "op12_conversation_trie",
+    r"""
+WITH o AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (
+  SELECT c, max(pos) AS own, c - c % 20 AS donor,
+         -- crc32 of the decimal id: a byte is xored in, then shifted out in eight steps of 0
+         xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+           string_split(c::VARCHAR, ''), lambda x: [256 + ord(x), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]))),
+           lambda a, x: CASE WHEN x > 0 THEN xor(a, x - 256) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END)) % 4 AS h
+  FROM o GROUP BY c),
+r AS (
+  SELECT l.c, o.pos AS d, role, text FROM l JOIN o ON o.c = l.donor AND o.pos <= l.h
+  UNION ALL
+  SELECT l.c, o.pos - l.h + least(l.h, coalesce(g.own, 0)), role, text
+  FROM l JOIN o ON o.c = l.c AND o.pos > l.h LEFT JOIN l g ON g.c = l.donor),
+s AS (SELECT l.c, coalesce(s, []) AS s FROM l LEFT JOIN (SELECT c, list({'role': role, 'text': text} ORDER BY d) AS s FROM r GROUP BY c) USING (c)),
+p AS (SELECT c, d, s, min(c) OVER (PARTITION BY d, s[1:d]) AS node FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s)),
+n AS (
+  SELECT d, node, count(*) AS n_convs,
+         max(CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(s[d].text, '[^\x20\x09-\x0D]+')) END) AS words,
+         sha256(coalesce(string_agg(c, ',' ORDER BY c) FILTER (d = len(s)), '')) AS ends_sha256
+  FROM p GROUP BY d, node),
+q AS (SELECT n.*, p.node AS parent FROM n LEFT JOIN p ON p.c = n.node AND p.d = n.d - 1),
+k AS (SELECT a.*, (SELECT count(*) FROM q b WHERE b.d = a.d + 1 AND b.parent = a.node) AS n_children FROM q a),
+t AS (
+  SELECT p.d, p.node, count(*) FILTER (k.n_children = 0) AS n_leaves, sum((k.n_convs - 1) * k.words)::BIGINT AS saved_tokens
+  FROM k JOIN p ON p.c = k.node AND p.d <= k.d GROUP BY p.d, p.node)
+SELECT k.node AS conv_id, k.d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM k JOIN t USING (d, node)
+""",
+)
+def op12(spark: SparkSession, path: str) -> DataFrame:
+    return turn_trie.prefix_trie(_table(spark, path, "conversations"))
+
+
+@_query(
+    "op13_embedding_near_dedup",
+    """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (SELECT r, vec_id, e FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x != 0)) > 0),
+l AS (SELECT a.r AS a, b.r AS b FROM g a JOIN g b ON a.r != b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+w AS (SELECT r AS a, r AS b FROM v UNION SELECT w.a, l.b FROM w JOIN l ON l.a = w.b),
+c AS (SELECT w.a AS r, min(v.vec_id) AS component_id FROM w JOIN v ON v.r = w.b GROUP BY w.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = v.r) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN c USING (r)
+""",
+)
+def op13(spark: SparkSession, path: str) -> DataFrame:
+    return vector_forest.near_duplicates(_table(spark, path, "embeddings"))
