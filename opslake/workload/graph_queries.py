@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from opslake.functions.text import json_object
 from opslake.operators.aggregates import count_where
 from opslake.operators.sets import symmetric_difference, union_all
-from opslake.plans import api, kg, quality
+from opslake.plans import api, factored, kg, quality
 from opslake.plans.graph import GraphSpec, element_sizes, endpoint_errors, key_errors
 from opslake.sources import audit
-from opslake.workload.registry import Tables, query
+from opslake.workload.registry import SQL, Tables, query
 from opslake.workload.roles import Roles, with_roles
 
 query("g1_location_scope", with_roles("SELECT * FROM scope"))(lambda t: Roles(t).scope)
@@ -79,6 +79,27 @@ def impact_by_stage(t: Tables):
     return kg.impact_by_stage(Roles(t).graph)
 
 
+query("g19_factored_impact", with_roles("SELECT * FROM impact"))(lambda t: factored.expand(factored.factorise(Roles(t).graph)))
+
+
+@query("g19_factored_counts", with_roles("""
+    SELECT incident_id, affected_equipment_id, manufacturing_lot, count(*) AS related_equipment_count FROM impact GROUP BY ALL"""))
+def factored_counts(t: Tables):
+    """Peers per incident and device hit from the factors, without pairs."""
+    return factored.peer_counts(factored.factorise(Roles(t).graph))
+
+
+@query("g19_factored_positions", with_roles("""
+    SELECT p.* EXCLUDE (n) FROM (
+        SELECT row_number() OVER w - 1 AS position, impact.*, count(*) OVER (PARTITION BY incident_id) AS n FROM impact
+        WINDOW w AS (PARTITION BY incident_id ORDER BY affected_equipment_id, manufacturing_lot, related_stage_id, related_equipment_id)) p
+    WHERE position IN (0, (n - 1) // 2, n - 1)"""))
+def factored_positions(t: Tables):
+    """First, middle and last pair of every incident by their numbers."""
+    f = factored.factorise(Roles(t).graph)
+    return factored.pairs_at(f, factored.spread_positions(f))
+
+
 query("g20_open_tasks", with_roles("SELECT * FROM open_tasks"))(lambda t: kg.open_tasks(Roles(t).graph))
 query("g21_related_documents", with_roles("SELECT * FROM related_documents"))(lambda t: kg.related_documents(Roles(t).graph))
 
@@ -91,7 +112,10 @@ query("g21_related_documents", with_roles("SELECT * FROM related_documents"))(la
         related_stage_id AS stage, 'EQUIPMENTS' AS related_element
     FROM impact"""))
 def impact_elements(t: Tables):
-    e = kg.impact_elements(Roles(t).graph)
+    return _flat_elements(kg.impact_elements(Roles(t).graph))
+
+
+def _flat_elements(e):
     return e.select(
         *[F.col(f"{c}_vertex.key").alias(c) for c in ("incident", "affected_equipment", "lot", "related_equipment", "stage")],
         *[F.col(f"{c}.key").alias(c) for c in ("affects_edge", "affected_lot_edge", "related_lot_edge", "deployed_at_edge")],
@@ -99,6 +123,12 @@ def impact_elements(t: Tables):
     )
 
 
+@query("g22_factored_elements", SQL["g22_impact_elements"])
+def factored_elements(t: Tables):
+    graph = Roles(t).graph
+    return _flat_elements(factored.expand_elements(factored.factorise(graph), graph))
+
+
 @query("g23_element_counts", with_roles("""
     SELECT element_kind, count(*) AS definitions, sum(n) AS rows FROM (
     """ + " UNION ALL ".join(f"SELECT '{k}' AS element_kind, count(*) AS n FROM {c}" for k, _, c in _ELEMENTS) + """)
@@ -206,6 +236,7 @@ _RANK = "CASE priority WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' T
 query("g28_impact_json", _json_sql("impact", _named(api.IMPACT_MEMBERS), "related_stage_id, related_equipment_id"))(
     lambda t: api.impact_json(Roles(t).graph)
 )
+query("g28_factored_json", SQL["g28_impact_json"])(lambda t: factored.impact_pages(factored.factorise(Roles(t).graph)))
 query("g29_tasks_json", _json_sql("open_tasks", _named(api.TASK_MEMBERS, {"task_status": "status"}), f"{_RANK}, task_id"))(
     lambda t: api.tasks_json(Roles(t).graph)
 )
