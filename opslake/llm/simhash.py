@@ -182,7 +182,7 @@ def forest(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return points[moved], points[root[moved]]
 
 
-def links(points: DataFrame, bits: int = 3, shard_points: int = 32_768, sample: int = 65_536, block: int = 131_072) -> DataFrame:
+def links(points: DataFrame, bits: int = 3, shard_points: int = 131_072, sample: int = 65_536, block: int = 524_288) -> DataFrame:
     """(a, b): links between the distinct fingerprints ``fp``, enough to span all components.
 
     ``sample`` is the expected number of points, chosen by a hash, on which the
