@@ -15,6 +15,7 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -22,9 +23,10 @@ from pyspark.sql import DataFrame
 from opslake.llm.common import slices, texts
 
 # Segments that a Python worker remembers, in each of two generations, and the longest one.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 REMEMBERED_CHARS = 48
 GROUP_CHARS = 4 << 20
+_MET = (1 << 22) - 1  # words are remembered when a group meets them after another has
 _LOW = 8  # bits of a rank below the summary level
 _LOW_MASK = (1 << _LOW) - 1
 
@@ -34,12 +36,22 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
 
 
-def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+def byte_pairs(ranks: dict[bytes, int]) -> np.ndarray:
+    """Rank of every pair of bytes, at 256 times the first plus the second; -1 where they do not merge."""
+    table = np.full(1 << 16, -1, np.int32)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            table[token[0] << 8 | token[1]] = rank
+    return table
+
+
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int], table: np.ndarray | None = None) -> list[list[int]]:
     """Token ids of each piece: the pair of lowest rank merges first, of equal ones the leftmost.
 
     All pieces stand in one buffer and share the queue; no pair crosses from one
     to the next. A bucket is emptied from left to right. A merge may make a pair
     of a lower rank; then the rest of the bucket waits until that is done.
+    ``table`` is ``byte_pairs(ranks)``, for callers that have it.
     """
     buffer, get = b"".join(pieces), ranks.get
     n = len(buffer)
@@ -49,20 +61,20 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
         first[at] = 1
         at += len(piece)
     first[n] = 1
-    pair = [-1] * (n + 1)  # rank at which the token at a position merges with the next one
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     summary = 0
 
-    for p in range(n - 1):
-        if not first[p + 1]:
-            rank = get(buffer[p : p + 2])
-            if rank is not None:
-                pair[p] = rank
-                if rank in buckets:
-                    buckets[rank].append(p)
-                else:
-                    buckets[rank] = [p]
+    # Rank at which the token at a position merges with the next one, first of all of the bytes.
+    data = np.frombuffer(buffer, np.uint8).astype(np.int32)
+    start = (byte_pairs(ranks) if table is None else table)[data[:-1] << 8 | data[1:]]
+    start[np.frombuffer(first, np.uint8)[1:n] != 0] = -1
+    pair = [*start.tolist(), -1, -1][: n + 1]
+    order = np.argsort(start, kind="stable")
+    order = order[np.searchsorted(start[order], 0) :]
+    cuts = np.flatnonzero(np.diff(start[order], prepend=-1)).tolist()
+    for i, j in zip(cuts, [*cuts[1:], len(order)]):
+        buckets[int(start[order[i]])] = order[i:j].tolist()
     for rank in buckets:
         high = rank >> _LOW
         words[high] = words.get(high, 0) | 1 << (rank & _LOW_MASK)
@@ -78,46 +90,44 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
             summary ^= 1 << high
         bucket = buckets.pop(rank)
         bucket.sort()
-        made, lower = [], -1
         for p in bucket:
             if pair[p] != rank:  # stale
                 continue
             q = after[p]
             end = after[p] = after[q]
             pair[q] = -1
+            made = []
             if first[end]:
                 pair[p] = -1
             else:
                 before[end] = p
-                new = get(buffer[p : after[end]])
-                if new is None:
-                    pair[p] = -1
-                else:
-                    pair[p] = new
-                    made.append((new, p))
-                    if new < rank:
-                        lower = p
+                new = pair[p] = get(buffer[p : after[end]], -1)
+                if new >= 0:
+                    made.append(p)
             if not first[p]:
                 o = before[p]
-                new = get(buffer[o:end])
-                if new is None:
-                    pair[o] = -1
+                new = pair[o] = get(buffer[o:end], -1)
+                if new >= 0:
+                    made.append(o)
+            lower = False
+            for o in made:
+                new = pair[o]
+                if new in buckets:
+                    buckets[new].append(o)
                 else:
-                    pair[o] = new
-                    made.append((new, o))
-                    if new < rank:
-                        lower = p
-            if lower >= 0:
-                made += [(rank, later) for later in bucket if later > lower]
+                    buckets[new] = [o]
+                    high = new >> _LOW
+                    words[high] = words.get(high, 0) | 1 << (new & _LOW_MASK)
+                    summary |= 1 << high
+                    lower = lower or new < rank
+            if lower:
+                rest = [o for o in bucket if o > p and pair[o] == rank]
+                if rest:
+                    buckets[rank] = rest + buckets.get(rank, [])
+                    high = rank >> _LOW
+                    words[high] = words.get(high, 0) | 1 << (rank & _LOW_MASK)
+                    summary |= 1 << high
                 break
-        for new, p in made:
-            if new in buckets:
-                buckets[new].append(p)
-            else:
-                buckets[new] = [p]
-                high = new >> _LOW
-                words[high] = words.get(high, 0) | 1 << (new & _LOW_MASK)
-                summary |= 1 << high
 
     out, p = [], 0
     for piece in pieces:
@@ -140,8 +150,13 @@ class Codec:
 
     def __init__(self, data: bytes, pattern: str):
         self.ranks = read_ranks(data)
+        self.table = byte_pairs(self.ranks)
         self.bytes_of = {str(rank): token for token, rank in self.ranks.items()}
         self.find = regex.compile(pattern).findall
+        # Marks that one byte stands for: "," and the id. The pattern must match a mark after a letter by itself.
+        ends = [(m, self.ranks.get(m.encode())) for m in ".,;:!?" if self.find(f" a{m}") == [" a", m]]
+        self.marks = {m: f",{rank}" for m, rank in ends if rank is not None}
+        self.met = bytearray(_MET + 1)
         self.young: dict[str, str] = {}
         self.old: dict[str, str] = {}
 
@@ -164,11 +179,14 @@ class Codec:
         """The pattern always starts a match at a space before a character that is no white space.
 
         So a text is cut there first, and most words are looked up, not cut by
-        the pattern again.
+        the pattern again. What follows a line break between two characters that
+        are no white space, and a mark after a letter, are cut off in the same
+        way: both are matches of their own, and what stands before them is
+        matched as it would be without them.
         """
         if len(self.young) >= REMEMBERED:
-            self.old, self.young = self.young, {}
-        known, rows, new = self.young.get, [], {}
+            self.old, self.young, self.met = self.young, {}, bytearray(_MET + 1)
+        known, marks, rows, new = self.young.get, self.marks, [], {}
         for text in texts:
             words = text.split(" ")
             out = list(map(known, words))
@@ -176,21 +194,33 @@ class Codec:
             if any(not words[i] or words[i][0].isspace() for i in holes if i):
                 segments = self._segments(words)
                 out, holes = [None] * len(segments), range(len(segments))
+                fills = [(i, (segments[i],), "") for i in holes]
             else:
-                segments = words  # all but the first follow a space
                 out[0] = None
-                holes = holes if holes[:1] == [0] else [0, *holes]
+                fills = [(0, (words[0],), "")]
                 for i in holes:
-                    if i:
-                        segments[i] = " " + words[i]
-            fills = [(i, segments[i]) for i in holes]
-            new.update(dict.fromkeys(s for _, s in fills))
+                    if not i:
+                        continue
+                    word, tail = words[i], marks.get(words[i][-1], "")
+                    if tail and word[-2:-1].isalpha():
+                        word = word[:-1]
+                        if (ids := known(word)) is not None:
+                            out[i] = ids + tail
+                            continue
+                    else:
+                        tail = ""
+                    lines = word.split("\n")
+                    if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                        fills.append((i, (" " + lines[0], *["\n" + x for x in lines[1:]]), tail))
+                    else:
+                        fills.append((i, (" " + word,), tail))
+            new.update(dict.fromkeys(s for _, parts, _ in fills for s in parts))
             rows.append((out, fills))
         self._learn(new)
         results = []
         for out, fills in rows:
-            for i, segment in fills:
-                out[i] = new[segment]
+            for i, parts, tail in fills:
+                out[i] = (new[parts[0]] if len(parts) == 1 else ",".join([new[s] for s in parts])) + tail
             results.append(",".join(filter(None, out)))
         return results
 
@@ -209,27 +239,48 @@ class Codec:
     def _learn(self, new: dict[str, str | None]) -> None:
         """Fill in the ids of segments; those after a space are remembered if short."""
         matches, pieces = {}, {}
+        young, old = self.young, self.old
         for segment in new:
-            word = segment[1:] if segment[:1] == " " else None
-            ids = self.old.get(word) if word else None
-            if ids is None:
-                matches[segment] = parts = [m.encode() for m in self.find(segment)]
-                pieces.update(dict.fromkeys(parts))
+            word = self._key(segment)
+            ids = word and (young.get(word) or old.get(word))
+            if ids:
+                new[segment] = young[word] = ids
             else:
-                new[segment] = self.young[word] = ids
+                matches[segment] = parts = [segment] if word and word.isalpha() else self.find(segment)
+                pieces.update(dict.fromkeys(parts))
         unknown = []
         for piece in pieces:
-            rank = self.ranks.get(piece)
-            if rank is None:
-                unknown.append(piece)
-            else:
+            coded = piece.encode()
+            rank = self.ranks.get(coded)
+            if rank is not None:
                 pieces[piece] = str(rank)
-        for piece, ids in zip(unknown, merge_all(unknown, self.ranks), strict=True):
+                continue
+            word = self._key(piece)
+            ids = word and (young.get(word) or old.get(word))
+            if ids:
+                pieces[piece] = ids
+            else:
+                unknown.append((piece, coded))
+        found = merge_all([coded for _, coded in unknown], self.ranks, self.table)
+        for (piece, _), ids in zip(unknown, found, strict=True):
             pieces[piece] = ",".join(map(str, ids))
+        met = self.met
         for segment, parts in matches.items():
-            new[segment] = ids = ",".join([pieces[p] for p in parts])
-            if segment[:1] == " " and 1 < len(segment) <= REMEMBERED_CHARS and not segment[1].isspace():
-                self.young[segment[1:]] = ids
+            new[segment] = ids = ",".join([pieces[p] for p in parts]) if len(parts) > 1 else pieces[parts[0]] if parts else ""
+            word = self._key(segment)
+            if word:
+                at = hash(segment) & _MET
+                if met[at]:
+                    young[word] = ids
+                else:
+                    met[at] = 1
+
+    @staticmethod
+    def _key(segment: str) -> str | None:
+        """Under which a segment is remembered: without its space, or with one at the end after a line break; None if it is not."""
+        if not 1 < len(segment) <= REMEMBERED_CHARS or segment[1].isspace():
+            return None
+        return segment[1:] if segment[0] == " " else segment + " " if segment[0] == "\n" else None
 
     def decode(self, ids: str) -> bytes:
         """Bytes of the ids; an unknown id is a KeyError."""
