@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -38,6 +39,8 @@ NOTICES = {
 
 # One error in so many characters of a notice.
 CHARS_PER_ERROR = 10
+STRETCH = 4
+SEEN = 10_000  # parts whose matches a notice remembers, of some hundred bytes each
 
 SPAN = "struct<label: string, first_word: long, last_word: long, errors: int, matched: string>"
 RESULT = (
@@ -60,6 +63,7 @@ class Notice:
         n, parts = len(self.text), self.errors + 1
         cuts = [n * k // parts for k in range(parts + 1)]
         self.pieces = [(self.text[a:b], a) for a, b in zip(cuts, cuts[1:], strict=False)]
+        self.seen: dict[bytes, list[tuple[int, int, int]]] = {}
         self.pattern = regex.compile(b"(?b)(?:%s){e<=%d}" % (regex.escape(self.text), self.errors))
 
     def windows(self, text: bytes) -> Iterator[tuple[int, int]]:
@@ -83,15 +87,37 @@ class Notice:
             yield start, stop
 
     def search(self, text: bytes) -> Iterator[tuple[int, int, int]]:
-        """(start, stop, errors) of matches that do not overlap, in order: the best of a part, then what lies on both sides of it."""
-        for window in self.windows(text):
-            todo: list[tuple[int, int] | tuple[int, int, int]] = [window]
-            while todo:
-                part = todo.pop()
-                if len(part) == 3:
-                    yield part
-                elif part[1] - part[0] >= len(self.text) - self.errors and (m := self.pattern.search(text, *part)):
-                    todo += [(m.end(), part[1]), (m.start(), m.end(), sum(m.fuzzy_counts)), (part[0], m.start())]
+        """(start, stop, errors) of matches that do not overlap, in order: the best of a part, then what lies on both sides of it.
+
+        Parts of more than 2 * STRETCH lengths of the notice are taken in stretches that overlap.
+        """
+        reach = len(self.text) + 2 * self.errors
+        for start, stop in self.windows(text):
+            # The best of a long part is sought in stretches, else each search would see all of it.
+            while stop - start > 2 * STRETCH * reach:
+                end = start + STRETCH * reach
+                whole = [m for m in self._within(text, start, end) if m[1] <= end - reach]
+                yield from whole
+                start = max(end - 2 * reach, whole[-1][1] if whole else 0)
+            yield from self._within(text, start, stop)
+
+    def _within(self, text: bytes, start: int, stop: int) -> Iterator[tuple[int, int, int]]:
+        part = text[start:stop]
+        if part not in self.seen:
+            if len(self.seen) >= SEEN:
+                self.seen.clear()
+            self.seen[part] = list(self._best(part))
+        for a, b, errors in self.seen[part]:
+            yield start + a, start + b, errors
+
+    def _best(self, text: bytes) -> Iterator[tuple[int, int, int]]:
+        todo: list[tuple[int, int] | tuple[int, int, int]] = [(0, len(text))]
+        while todo:
+            part = todo.pop()
+            if len(part) == 3:
+                yield part
+            elif part[1] - part[0] >= len(self.text) - self.errors and (m := self.pattern.search(text, *part)):
+                todo += [(m.end(), part[1]), (m.start(), m.end(), sum(m.fuzzy_counts)), (part[0], m.start())]
 
 
 def prepare(notices: dict[str, str], chars_per_error: int) -> list[Notice]:
@@ -110,17 +136,19 @@ def scan(text: bytes, phrases: dict[str, str], notices: list[Notice]) -> dict:
     """One text's row, without the id."""
     words = words_of(text)
     joined = b" %s " % b" ".join(words)
+    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)  # a word stands after each but the last
+    word_at = lambda p: int(np.searchsorted(spaces, p)) - 1  # noqa: E731  number of spaces before p, less one
     starts, base = [], set()
     for phrase, label in phrases.items():
         for p in _places(joined, phrase.encode()):
-            starts.append(joined.count(b" ", 0, p) - 1)
+            starts.append(word_at(p))
             base.add(label)
     spans, best = [], 1.0 if base else 0.0
     for notice in notices:
         for a, b, errors in notice.search(joined):
             best = max(best, 1 - errors / len(notice.text))
-            first = max(0, joined.count(b" ", 0, a + (joined[a : a + 1] == b" ")) - 1)
-            last = max(first, joined.count(b" ", 0, b - (joined[b - 1 : b] == b" ")) - 1)
+            first = max(0, word_at(a + (joined[a : a + 1] == b" ")))
+            last = max(first, word_at(b - (joined[b - 1 : b] == b" ")))
             spans.append(
                 {"label": notice.label, "first_word": first, "last_word": last, "errors": errors,
                  "matched": joined[a:b].strip().decode("utf-8", "replace")}

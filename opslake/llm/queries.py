@@ -84,7 +84,11 @@ def op5(spark: SparkSession, path: str) -> DataFrame:
 @_query("op6_decontamination")
 def op6(spark: SparkSession, path: str) -> DataFrame:
     found = bm25.find_leaks(_table(spark, path, "documents"), _table(spark, path, "benchmark"))
-    best = F.element_at(F.array_sort("leaks", lambda a, b: F.when(a["overlap"] > b["overlap"], -1).when(a["overlap"] < b["overlap"], 1).otherwise(a["item_id"] - b["item_id"]).cast("int")), 1)
+    order = lambda a, b: (  # noqa: E731  largest overlap first, then smallest id
+        F.when(a["overlap"] > b["overlap"], -1).when(a["overlap"] < b["overlap"], 1)
+        .when(a["item_id"] < b["item_id"], -1).when(a["item_id"] > b["item_id"], 1).otherwise(0)
+    )
+    best = F.element_at(F.array_sort("leaks", order), 1)
     return found.select(
         "doc_id",
         (F.size("leaks") > 0).alias("contaminated"),

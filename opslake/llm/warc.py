@@ -281,7 +281,10 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
             yield _read_batch(rows)
 
     stretch = F.floor(F.col("offset") / READ_SPAN)
-    near = places.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    # A place is a short row that stands for a long record: the number of tasks follows the bytes of the records.
+    total = places.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, -(-total // READ_SPAN))
+    near = places.select("file", "offset", "length").repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
     return near.mapInArrow(run, READ)
 
 
@@ -307,7 +310,8 @@ def archive_round_trip(
     archives, index = f"{folder}/archives", f"{folder}/index"
     shards = write_index(write_archives(pages, archives, id_col, url_col, html_col), index)
     keys = pages.select(capture_key(F.col(url_col), F.col(id_col).cast("long")).alias("key"))
-    read = read_records(find(keys, index, shards), archives).select(
+    places = saved(find(keys, index, shards), f"{folder}/places")
+    read = read_records(places, archives).select(
         "page_id", "url", "record_type", "refers_to", "digest",
         F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
     )

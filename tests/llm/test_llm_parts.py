@@ -379,3 +379,20 @@ def test_class_of_a_word():
     classes = lbl.Classes([b"the"])
     assert classes.of(b"") == 0 and classes.of(b"the") == 1 and classes.of(b"a") == 2 + zlib.crc32(b"a") % lbl.SHARED
     assert classes.sequence([b"the", b"xyz"]) == [1, 2 + zlib.crc32(b"yz") % lbl.SHARED, 0]
+
+
+def test_repeated_notices_in_a_very_long_text_cost_linear_time():
+    ready = notices.prepare(notices.NOTICES, notices.CHARS_PER_ERROR)
+    unit = b"released under the mit licence and apache license too "
+    for n in (3, 700):
+        got = notices.scan(unit * n, notices.PHRASES, ready)
+        assert got["n_base"] == n and len([s for s in got["spans"] if s["label"] == "mit"]) == n
+        assert (got["first_word"], got["last_word"]) == (6, 9 * (n - 1) + 6)
+    import time
+
+    spent = []
+    for n in (5_000, 20_000):
+        start = time.process_time()
+        notices.scan(unit * n, notices.PHRASES, notices.prepare(notices.NOTICES, notices.CHARS_PER_ERROR))
+        spent.append(time.process_time() - start)
+    assert spent[1] < 8 * spent[0]
