@@ -16,6 +16,8 @@ from opslake.operators.sets import union_all
 
 # Largest file that is read in one piece, and the piece of larger ones.
 WHOLE_BYTES, BLOCK_BYTES = 256 << 20, 16 << 20
+# Tasks over which large files are spread, one file each up to this number.
+MOST_TASKS = 10_000
 
 
 def scan_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -75,7 +77,9 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*", whole_bytes: in
             yield pa.record_batch([*batch.columns, pa.array(hashes, pa.string())], names=["path", "size_bytes", "sha256"])
 
     large = files.where(F.col("length") > whole_bytes).select("path", F.col("length").alias("size_bytes"))
-    return small.unionByName(large.repartition("path").mapInArrow(stream, "path string, size_bytes long, sha256 string"))
+    # Rows are short but stand for large files: a given number of tasks is not merged by the size of the rows.
+    tasks = min(MOST_TASKS, max(1, large.count()))
+    return small.unionByName(large.repartition(tasks).mapInArrow(stream, "path string, size_bytes long, sha256 string"))
 
 
 def hash_report(hashes: DataFrame, manifest: DataFrame, root: str) -> DataFrame:

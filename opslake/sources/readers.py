@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +28,10 @@ def _nulls_for_blanks(df: DataFrame, blank: Sequence[str] | None) -> DataFrame:
     return df
 
 
-def _directory_levels(df: DataFrame) -> list[str]:
-    """Columns that only the directory names hold."""
-    stored = df.inputFiles()
-    named = {part.split("=")[0] for part in unquote(stored[0]).split("/")[:-1] if "=" in part} if stored else set()
-    return [c for c in df.columns if c in named]
+def _directory_levels(df: DataFrame) -> set[str]:
+    """Columns that Spark takes from the directory names, by the relation itself; no file is listed again."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return {name for k in range(leaves.size()) for name in leaves.apply(k).relation().partitionSchema().fieldNames()}
 
 
 def read_table(
