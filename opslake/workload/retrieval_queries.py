@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from opslake.plans import kg, quality, retrieval
-from opslake.workload.registry import Tables, query
+from opslake.plans import kg, pruned_search, quality, retrieval
+from opslake.workload.registry import SQL, Tables, query
 from opslake.workload.roles import Roles, with_roles
 
 _CHUNKS = """SELECT doc_id, unnest(range(1, greatest(length(text) - 140, 1) + 1, 860)) AS start_pos, text FROM documents WHERE length(text) > 0"""
@@ -32,6 +32,12 @@ def x2(t: Tables):
     return retrieval.cosine_topk(t.embeddings, _questions(t)).withColumn("score", F.round("score", 6))
 
 
+@query("x2_pruned_topk", SQL["x2_cosine_topk"])
+def x2_pruned(t: Tables):
+    """The same matches, by cells of vectors of which most are skipped."""
+    return pruned_search.pruned_topk(t.embeddings, _questions(t)).withColumn("score", F.round("score", 6))
+
+
 def _indexed(t: Tables, docs=None):
     """Chunks with the path of their file in JSON, as a document index keeps them."""
     docs = (t.documents if docs is None else docs).select("doc_id", "text", "source")
