@@ -13,6 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from opslake.functions.text import base_name, json_value, pipe_list
+from opslake.operators.asof import as_of
 from opslake.operators.ranking import top_k_per_group
 
 # Chunk length, overlap and number of matches of the document index.
@@ -194,6 +195,13 @@ def version_at(docs: DataFrame, family: str, effective: str, on: str, tie: str =
     return top_k_per_group(docs.where(F.col(effective) <= on), [family], by, 1).drop("rank")
 
 
+def versions_at(
+    docs: DataFrame, asked: DataFrame, family: str, effective: str, on: str, tie: str = "document_id", how: str = "inner", folder: str | None = None
+) -> DataFrame:
+    """``version_at`` for a table of questions (``family``, ``on``, ...), each with its own date."""
+    return as_of(asked, docs, [family], on, effective, [("version", True), (tie, False)], how, folder)
+
+
 __all__: Sequence[str] = (
-    "chunk_text", "cosine_topk", "chunks_per_object", "coverage", "narrow", "canonical_term", "version_at",
+    "chunk_text", "cosine_topk", "chunks_per_object", "coverage", "narrow", "canonical_term", "version_at", "versions_at",
 )

@@ -105,3 +105,25 @@ def x6(t: Tables):
 def n6(t: Tables):
     docs = Roles(t).documents.select("document_id", "purpose", "version", "effective_date")
     return retrieval.version_at(docs, "purpose", "effective_date", "2024-06-30", tie="document_id")
+
+
+@query("n6_versions_as_of", with_roles("""
+    SELECT o_orderkey, purpose, asked_date, document_id, version, effective_date FROM (
+        SELECT q.*, d.document_id, d.version, d.effective_date,
+            row_number() OVER (PARTITION BY o_orderkey ORDER BY d.effective_date DESC, d.version DESC, d.document_id) AS rn
+        FROM (SELECT o_orderkey, p.purpose, strftime(DATE '2023-12-01' + CAST(o_orderkey % 420 AS INTEGER), '%Y-%m-%d') AS asked_date
+              FROM orders JOIN (SELECT purpose, row_number() OVER (ORDER BY purpose) - 1 AS k, count(*) OVER () AS n FROM (SELECT DISTINCT purpose FROM docs)) p
+                ON p.k = CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % n END) q
+        JOIN docs d ON d.purpose = q.purpose AND d.effective_date <= q.asked_date) WHERE rn = 1"""))
+def n6_many(t: Tables):
+    """For every order a day and a document family; the first family is asked for by a third of them and more."""
+    from pyspark.sql.window import Window
+
+    docs = Roles(t).documents.select("document_id", "purpose", "version", "effective_date")
+    families = docs.select("purpose").distinct().withColumn("k", F.row_number().over(Window.orderBy("purpose")) - 1)
+    n = families.agg(F.count(F.lit(1))).scalar()
+    key = F.col("o_orderkey")
+    day = F.date_format(F.date_add(F.lit("2023-12-01").cast("date"), (key % 420).cast("int")), "yyyy-MM-dd")
+    orders = t.orders.select("o_orderkey", day.alias("asked_date"), F.when(key % 3 == 0, F.lit(0)).otherwise(key % n).alias("k"))
+    asked = orders.join(families, "k").select("o_orderkey", "purpose", "asked_date")
+    return retrieval.versions_at(docs, asked, "purpose", "effective_date", "asked_date")
