@@ -183,6 +183,23 @@ def g25(t: Tables):
     return endpoint_errors(raw_graph(Roles(t)))
 
 
+def _live(t: Tables):
+    """The checks after a change: at first some tasks and lines are not there, and some lines that will go are."""
+    from opslake.plans.live_checks import LiveChecks, delta_of
+    from opslake.sources.scratch import shared_dir
+
+    graph = raw_graph(Roles(t))
+    tasks, lines = graph.vertex("TASK").df, graph.edge("TARGETS").df
+    later, wrong = F.col("task_id") % 10 == 9, lines.where("task_id % 10 = 3").withColumn("equipment_id", F.lit("PART-0"))
+    earlier = graph.replacing(TASKS=tasks.where(~later), TASK_EQUIPMENT=lines.where(~later).unionByName(wrong))
+    change = delta_of(graph, {"TASKS": tasks.where(later), "TASK_EQUIPMENT": lines.where(later)}, {"TASK_EQUIPMENT": wrong})
+    return LiveChecks.start(earlier, shared_dir(t.spark)).apply(change)
+
+
+query("g24_live_key_errors", SQL["g24_key_errors"])(lambda t: _live(t).key_errors())
+query("g25_live_endpoint_errors", SQL["g25_endpoint_errors"])(lambda t: _live(t).endpoint_errors())
+
+
 @query("g26_source_errors", with_roles("""
     SELECT * FROM (
     SELECT 'SCOPE_UNKNOWN_OR_MISSING' AS relation_name, count(*) AS error_count FROM audit WHERE scope_status = 'UNKNOWN_OR_MISSING'
