@@ -25,18 +25,22 @@ CHUNK_ROWS = 1_000_000
 def _with_chunk(rows: DataFrame, keys: Sequence[str], ts: Column, chunk: str, chunk_rows: int) -> DataFrame:
     """Add ``_chunk``: (start of the time unit, part of it by rows).
 
-    Only units with more than ``chunk_rows`` rows of a key are looked at by the
-    second; usually there is none and the join meets an empty table.
+    Rows are counted by unit first; only units with more than ``chunk_rows`` rows
+    of a key are looked at by the second. Usually there is none, and what
+    follows meets empty tables.
     """
     unit, second = F.date_trunc(chunk, ts), F.date_trunc("second", ts)
-    seconds = rows.groupBy(*keys, unit.alias("_u"), second.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*keys, "_u")
-    upto = whole.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    busy = (
-        seconds.withColumns({"_all": F.sum("_n").over(whole), "_past": F.coalesce(F.sum("_n").over(upto), F.lit(0))})
-        .where(F.col("_all") > chunk_rows)
-        .select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_s", F.floor(F.col("_past") / chunk_rows).alias("_part"))
-    )
+    names = [f"_b{i}" for i in range(len(keys))]
+    own = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    crowded = rows.groupBy(*own, unit.alias("_u")).agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") > chunk_rows)
+    crowded = crowded.select(*[F.col(n).alias(f"{n}_c") for n in names], F.col("_u").alias("_u_c"))
+    there = F.col("_u") == F.col("_u_c")
+    for n in names:
+        there = there & F.col(n).eqNullSafe(F.col(f"{n}_c"))
+    seconds = rows.select(*own, unit.alias("_u"), second.alias("_s")).join(crowded, there, "left_semi").groupBy(*names, "_u", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*names, "_u").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    past = F.coalesce(F.sum("_n").over(upto), F.lit(0))
+    busy = seconds.select(*names, "_s", F.floor(past / chunk_rows).alias("_part"))
     same = F.col("_second") == F.col("_s")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_b{i}"))
@@ -58,27 +62,34 @@ def running_grid(
     mark counts for it; sales before the first mark count for the first; sales
     after the last mark do not count.
 
-    The running totals are sums per key, one for each of the (some tens of)
-    marks. They are combined before the shuffle, so a best seller ships one row
-    per task, and the grid is unfolded after the join: one shuffle, no sort.
+    Sales are summed per key and mark; a prefix sum over the marks that have
+    sales gives stretches of marks with one total, and a stretch is unfolded to
+    its marks. The cost of a sale does not depend on the number of marks, and a
+    best seller ships one row per mark and task.
     """
     late = seconds_between(start, F.col(ts))
-    sold = (
-        sales.withColumn("_mark", F.ceil(late / F.lit(step_minutes * 60)).cast("bigint"))
-        .groupBy(*keys)
-        .agg(F.array(*[F.sum(F.when(F.col("_mark") <= m, F.col(quantity))).cast("bigint") for m in range(marks)]).alias("_sold"))
+    mark = F.greatest(F.ceil(late / F.lit(step_minutes * 60)).cast("bigint"), F.lit(0).cast("bigint"))
+    sums = (
+        sales.withColumn("_mark", mark).where(F.col("_mark") < marks)
+        .groupBy(*keys, "_mark").agg(F.sum(quantity).cast("bigint").alias("_n"))
     )
-    empty = F.array_repeat(F.lit(None).cast("bigint"), marks)
+    by_mark = Window.partitionBy(*keys).orderBy("_mark")
+    total = F.coalesce(F.sum("_n").over(by_mark.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).cast("bigint")
+    stretch = lambda first, last, sold: F.struct(first.alias("_first"), last.alias("_last"), sold.alias("sold"))
+    zero, last_mark = F.lit(0).cast("bigint"), F.lit(marks - 1).cast("bigint")
+    ends = sums.select(*keys, "_mark", total.alias("_total"), (F.lead("_mark").over(by_mark) - 1).alias("_next"), F.lag("_mark").over(by_mark).alias("_before"))
+    own = stretch(F.col("_mark"), F.coalesce("_next", last_mark), F.col("_total"))
+    ahead = F.when(F.col("_before").isNull() & (F.col("_mark") > 0), F.array(own, stretch(zero, F.col("_mark") - 1, zero))).otherwise(F.array(own))
+    stretches = ends.select(*keys, F.inline(ahead))
     return (
-        stock.join(sold, list(keys), "left")
-        .withColumn("_start", start)
+        stock.join(stretches, list(keys), "left")
         .select(
-            *[F.col(c) for c in stock.columns], "_start",
-            F.posexplode(F.coalesce("_sold", empty)).alias("mark_no", "_upto"),
+            *[F.col(c) for c in stock.columns], start.alias("_start"),
+            F.explode(F.sequence(F.coalesce("_first", zero).cast("int"), F.coalesce("_last", last_mark).cast("int"))).alias("mark_no"),
+            F.coalesce("sold", zero).alias("sold"),
         )
-        .withColumn("sold", F.coalesce("_upto", F.lit(0)).cast("bigint"))
         .withColumn("mark_ts", F.timestamp_add("MINUTE", F.col("mark_no") * step_minutes, F.col("_start")))
-        .drop("_upto", "_start")
+        .drop("_start")
     )
 
 

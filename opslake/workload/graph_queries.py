@@ -231,8 +231,17 @@ def g27(t: Tables):
     matched = kg.incident_impact(r.graph).select(
         "incident_id", "affected_equipment_id", "manufacturing_lot", "related_equipment_id", F.col("related_stage_id").alias("stage_id")
     )
-    differ = symmetric_difference(joined, matched, "difference", "SQL_ONLY", "GRAPH_ONLY").groupBy("difference").agg(F.count(F.lit(1)).alias("n"))
-    compared = matched.agg(F.lit(None).cast("string").alias("difference"), F.count(F.lit(1)).alias("n"))
+    # Sums per incident and lot first; only the pairs of groups that differ are listed.
+    keys = ["incident_id", "manufacturing_lot"]
+    sums = [
+        side.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n{i}"), F.sum(F.xxhash64(*side.columns).cast("decimal(38,0)")).alias(f"h{i}"))
+        for i, side in enumerate((joined, matched))
+    ]
+    groups = sums[0].join(sums[1], keys, "full")
+    unlike = groups.where(~(F.col("n0").eqNullSafe(F.col("n1")) & F.col("h0").eqNullSafe(F.col("h1")))).select(*keys)
+    listed = [side.join(unlike, keys, "left_semi").select(*side.columns) for side in (joined, matched)]
+    differ = symmetric_difference(*listed, "difference", "SQL_ONLY", "GRAPH_ONLY").groupBy("difference").agg(F.count(F.lit(1)).alias("n"))
+    compared = sums[1].agg(F.lit(None).cast("string").alias("difference"), F.coalesce(F.sum("n1"), F.lit(0)).alias("n"))
     return compared.unionByName(differ)
 
 
