@@ -2,17 +2,21 @@
 
 Test items are indexed, every passage of every document is a query. A passage
 holds two strides of words, a stride being the longest item of the whole
-benchmark, so each stretch of that length lies in one passage whole. Impacts are divided by the least score
-that a passage can have if it passes the check below; so the retrieval
-threshold is 1 for all items and no passage that would pass is lost. Sums of
-range maxima are taken for all passages of a batch in one numpy pass; only where
-such a sum reaches 1 are cursors opened, and they move by block-max WAND.
-
-Check: the share of the item's five-word shingles that the document holds, for
-the question and for the answer (the last sentence), and for both together. A
-document leaks the item when the whole share reaches ``overlap``. Runs are
-looked up in all of the document, so what its passages hold counts together,
-however far question and answer stand apart or words are inserted.
+benchmark, so each stretch of that length lies in one passage whole. A document
+of several passages is one more query as a whole, for items whose parts stand
+far apart. Impacts are divided by the least score that a text can have if it
+passes the check below; so the retrieval threshold is 1 for all items and no
+text that would pass is lost. Sums of range maxima are taken for all queries of
+a batch in one numpy pass; only where such a sum reaches 1 are cursors opened,
+and they move by block-max WAND. Whole documents have so many terms that their
+scores are summed term by term instead.
+
+Check, of retrieved items only: the share of the item's five-word shingles that
+the document holds, for the question and for the answer (the last sentence), and
+for both together. A document leaks the item when the share of both together
+reaches ``overlap`` and neither of the two is wholly absent. Runs are looked up
+in all of the document, so what its passages hold counts together, however far
+question and answer stand apart or words are inserted.
 
 Memory: the index goes to every task, in chunks of bounded items and bytes;
 documents run through one chunk after the other.
@@ -119,6 +123,10 @@ class ItemIndex:
             self.questions.append(max(0, question - SHINGLE + 1) if len(words) >= SHINGLE else (1 if question == len(words) else 0))
             self.exact.append(least)
         self.postings = postings
+        self.lists: dict[int, tuple] = {}  # what cursors of a term share, made when first needed
+        self.starts = np.cumsum([0, *map(len, postings)])
+        self.entry_item = np.array([k for entries in postings for k, _ in entries], np.int64)
+        self.entry_impact = np.array([v for entries in postings for _, v in entries], np.float64)
         self.holders: dict[tuple, list[int]] = {}  # run -> items, as often as they hold it
         for k, runs in enumerate(self.shingles):
             for run in runs:
@@ -151,10 +159,12 @@ class ItemIndex:
         return max(1e-9, (sum(impact.values()) - lost) * (1 - 1e-9))
 
     def cursor(self, term: int) -> Cursor:
-        blocks: dict[int, float] = {}
-        for k, v in self.postings[term]:
-            blocks[k // BLOCK] = max(v, blocks.get(k // BLOCK, 0.0))
-        return Cursor([k for k, _ in self.postings[term]], [v for _, v in self.postings[term]], float(self.tops[term].max()), blocks)
+        if term not in self.lists:
+            blocks: dict[int, float] = {}
+            for k, v in self.postings[term]:
+                blocks[k // BLOCK] = max(v, blocks.get(k // BLOCK, 0.0))
+            self.lists[term] = [k for k, _ in self.postings[term]], [v for _, v in self.postings[term]], float(self.tops[term].max()), blocks
+        return Cursor(*self.lists[term])
 
     def search(self, terms: Iterable[int], part: int) -> Iterator[tuple[int, float]]:
         """(item number, score) of the items of a range whose score reaches 1, by block-max WAND."""
@@ -188,6 +198,13 @@ class ItemIndex:
                 goal = item
             cursors = [c for i, c in enumerate(cursors) if i > pivot or c.seek(goal, end)]
 
+    def gather(self, terms: np.ndarray) -> list[tuple[int, float]]:
+        """As ``search`` over all items, by sums over the lists of the terms; for queries of very many terms."""
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        at = np.repeat(self.starts[terms + 1] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+        scores = np.bincount(self.entry_item[at], self.entry_impact[at], minlength=len(self.ids))
+        return [(k, scores[k] * self.exact[k]) for k in np.flatnonzero(scores >= 1).tolist()]
+
     def held(self, ids: np.ndarray) -> set[tuple]:
         """Runs of the items that stand in a text, given as term numbers, -1 for other words."""
         found: set[tuple] = set()
@@ -214,33 +231,44 @@ class ItemIndex:
 
 
 def _doc_hits(
-    index: ItemIndex, ids: np.ndarray, passages: list[tuple[int, int, np.ndarray]], stride: int, width: int
+    index: ItemIndex, ids: np.ndarray, queries: list[tuple[int, int, np.ndarray]], passages: int, stride: int, width: int
 ) -> list[dict]:
-    """Leaks of one document; the score is that of the passage with the largest share, or the document's if no passage alone would do."""
+    """Leaks of one document among the items that its queries retrieve; query number ``passages`` is the whole document.
+
+    The score is that of the passage with the largest share, or the document's if no passage alone would do.
+    """
+    retrieved: dict[int, list[tuple[int, float]]] = {}
+    whole = None
+    for query, part, terms in queries:
+        if query < passages:
+            for item, score in index.search(terms.tolist(), part):
+                retrieved.setdefault(item, []).append((query, score))
+        elif whole is None:
+            whole = index.gather(terms)
+    for item, _ in whole or ():
+        retrieved.setdefault(item, [])
+    if not retrieved:
+        return []
     held = index.held(ids)
     if not held:
         return []
-    shares = Counter(k for run in held for k in index.holders[run])
-    leaked = {k for k, n in shares.items() if n / len(index.shingles[k]) >= index.overlap - 1e-9}
-    best: dict[int, tuple] = {}
-    for passage, part, terms in passages if leaked else ():
-        here: dict[int, set] = {}
-        for item, score in index.search(terms.tolist(), part):
-            if item not in leaked:
-                continue
-            size = len(index.shingles[item][0])
-            if size not in here:
-                window = ids[passage * stride : passage * stride + width].tolist()
-                here[size] = set(zip(*(window[k:] for k in range(size)), strict=False))
-            whole = index.verify(item, here[size])[0]
-            if whole >= index.overlap - 1e-9 and (whole, score) > best.get(item, (0.0, 0.0)):
-                best[item] = (whole, score)
-    known = set(ids.tolist()) if leaked - best.keys() else set()
-    out = []
-    for k in sorted(leaked):
-        whole, question, answer = index.verify(k, held)
-        score = best[k][1] if k in best else index.score(k, known)
-        out.append({"item_id": index.ids[k], "score": score, "overlap": whole, "question_overlap": question, "answer_overlap": answer})
+    out, known, windows = [], None, {}
+    for item in sorted(retrieved):
+        both, question, answer = index.verify(item, held)
+        if both < index.overlap - 1e-9 or not question or not answer:
+            continue
+        best, size = (0.0, 0.0), len(index.shingles[item][0])
+        for passage, score in retrieved[item]:
+            if (passage, size) not in windows:
+                words = ids[passage * stride : passage * stride + width].tolist()
+                windows[passage, size] = set(zip(*(words[k:] for k in range(size)), strict=False))
+            share = index.verify(item, windows[passage, size])[0]
+            if share >= index.overlap - 1e-9:
+                best = max(best, (share, score))
+        if not best[0]:
+            known = known if known is not None else set(ids.tolist())
+            best = both, index.score(item, known)
+        out.append({"item_id": index.ids[item], "score": best[1], "overlap": both, "question_overlap": question, "answer_overlap": answer})
     return out
 
 
@@ -274,11 +302,12 @@ def scan(index: ItemIndex, docs: list[bytes]) -> list[tuple[int, list[dict]]]:
         if n and len(known):
             last = np.minimum(known // stride, n - 1)
             first = np.maximum(known // stride - 1, 0)
-            keys.append((base + np.concatenate([last, first])) * size + np.concatenate([ids[known], ids[known]]))
+            at = [last, first] if n == 1 else [last, first, np.full(len(known), n)]
+            keys.append((base + np.concatenate(at)) * size + np.tile(ids[known], len(at)))
         coded.append(ids)
         passage_of.append(base)
         counts.append(n)
-        base += n
+        base += n + (n > 1)
     out = [(n, []) for n in counts]
     if not keys:
         return out
@@ -289,7 +318,8 @@ def scan(index: ItemIndex, docs: list[bytes]) -> list[tuple[int, list[dict]]]:
         d = bisect_right(passage_of, p) - 1
         alive.setdefault(d, []).append((p - passage_of[d], part, terms))
     for d, ids in enumerate(coded):
-        out[d] = (counts[d], _doc_hits(index, ids, alive.get(d, []), stride, width))
+        if d in alive:
+            out[d] = (counts[d], _doc_hits(index, ids, alive[d], counts[d], stride, width))
     return out
 
 
@@ -331,7 +361,7 @@ def find_leaks(
     leaks: for each test item found, its id, BM25 score and the shares of its
     shingles in the document. Words are runs of digits, letters and
     non-ASCII characters, A-Z lower-cased. Passages of all words of all texts
-    are queries; NULL and empty texts have none. Items with a NULL id or
+    are queries, and texts of several passages as a whole; NULL and empty texts have none. Items with a NULL id or
     without words leak nowhere; an item with fewer than five words must stand
     there whole; rows of ``items`` that share an id count as items each.
     Repeated rows are searched each; other columns do not matter.

@@ -402,3 +402,21 @@ def test_common_start_is_chosen_in_parallel_and_bounded_by_tokens(spark, monkeyp
     plan = warm._jdf.queryExecution().executedPlan().toString()
     assert "Coalesce" not in plan and plan.index("SinglePartition") < plan.index("Filter")  # the filter runs below the exchange
     assert warm.rdd.getNumPartitions() == 1 and 15 <= warm.count() <= 75
+
+
+def test_leaks_come_from_the_search(spark, monkeypatch):
+    item = "Which river flows past the old mill town where the millers of the valley met every autumn to trade grain and news?" \
+        " The silver river flows past the old mill town every spring and carries melting snow from northern hills to the wide sea."
+    question, answer = item.split("?")
+    far = question + "? " + "filler words between them " * 300 + answer
+    docs = docs_of(spark, [(1, "intro words " + item + " more"), (2, far), (3, "nothing of the kind here"), (4, question), (5, far * 40)])
+    items = spark.createDataFrame([(1 << 40, item), (7, item)], "item_id long, text string")
+    index = next(bm25._chunks(items, "item_id", "text", 0.8))
+    texts = [r.text.encode() for r in sorted(docs.collect(), key=lambda r: r.doc_id)]
+    assert [[x["item_id"] for x in leaks] for _, leaks in bm25.scan(index, texts)] == [[7, 1 << 40]] * 2 + [[], [], [7, 1 << 40]]
+    found = {r.doc_id: [x.item_id for x in r.leaks] for r in bm25.find_leaks(docs, items).collect()}
+    assert found == {1: [7, 1 << 40], 2: [7, 1 << 40], 3: [], 4: [], 5: [7, 1 << 40]}
+    monkeypatch.setattr(bm25.ItemIndex, "search", lambda *_: iter(()))
+    assert [bool(leaks) for _, leaks in bm25.scan(index, texts)] == [False, True, False, False, True]  # by the document as a whole
+    monkeypatch.setattr(bm25.ItemIndex, "gather", lambda *_: [])
+    assert not any(leaks for _, leaks in bm25.scan(index, texts))
