@@ -6,7 +6,8 @@ from opslake.functions.text import json_object
 from opslake.operators.aggregates import count_where
 from opslake.operators.sets import symmetric_difference, union_all
 from opslake.plans import api, factored, kg, quality
-from opslake.plans.graph import GraphSpec, element_sizes, endpoint_errors, key_errors
+from opslake.plans.graph import GraphSpec, Hop, Pattern, element_sizes, endpoint_errors, key_errors, match
+from opslake.plans.reduced_match import match_reduced
 from opslake.sources import audit
 from opslake.workload.registry import SQL, Tables, query
 from opslake.workload.roles import Roles, with_roles
@@ -55,17 +56,27 @@ def graph_elements(t: Tables):
     WHERE t.status = 'OPEN' AND d.document_type = 'en'"""))
 def open_task_documents(t: Tables):
     """A pattern that starts at equipment and walks back to the task, then on to its document."""
-    from opslake.plans.graph import Hop, Pattern, match
+    return match(Roles(t).graph, _TASK_DOCUMENTS, _task_document_columns)
 
-    pattern = Pattern(
-        ("e", "EQUIPMENT"),
-        (Hop("x", "TARGETS", "t", "TASK", back=True), Hop("u", "USES_PROCEDURE", "d", "DOCUMENT")),
-        where={"t": lambda p: p("status") == "OPEN", "d": lambda p: p("document_type") == "en"},
-    )
-    return match(Roles(t).graph, pattern, lambda p: {
+
+@query("g18_reduced_documents", SQL["g18_open_task_documents"])
+def reduced_documents(t: Tables):
+    """The same pattern after a full reduction."""
+    return match_reduced(Roles(t).graph, _TASK_DOCUMENTS, _task_document_columns)
+
+
+_TASK_DOCUMENTS = Pattern(
+    ("e", "EQUIPMENT"),
+    (Hop("x", "TARGETS", "t", "TASK", back=True), Hop("u", "USES_PROCEDURE", "d", "DOCUMENT")),
+    where={"t": lambda p: p("status") == "OPEN", "d": lambda p: p("document_type") == "en"},
+)
+
+
+def _task_document_columns(p):
+    return {
         "task_id": p("t", "task_id"), "priority": p("t", "priority"), "equipment_id": p("e", "equipment_id"),
         "document_id": p("d", "document_id"), "version": p("d", "version"),
-    })
+    }
 
 
 query("g19_incident_impact", with_roles("SELECT * FROM impact"))(lambda t: kg.incident_impact(Roles(t).graph))
