@@ -57,19 +57,24 @@ def _per_level(rows: DataFrame, tests: Sequence[tuple[str, Column, Column, int]]
     return rows.select(*rows.columns, F.inline(F.filter(options, lambda o: o.isNotNull())))
 
 
+def breach_readings(sensors: DataFrame, limits: Sequence[tuple] = BREACH_LIMITS) -> tuple[DataFrame, list[str]]:
+    """Readings once per limit of their metric with ``_met`` and ``_lasts`` (seconds), and the keys of a series."""
+    metric, value = F.col("metric_name"), F.col("metric_value")
+    tests = [(level, metric == m, _test(op, value, limit), seconds) for m, level, op, limit, seconds in limits]
+    rows = sensors.select("equipment_id", "metric_name", "metric_value", "event_ts", "sensor_event_id").where(
+        metric.isin(*{m for m, *_ in limits})
+    )
+    return _per_level(rows, tests), ["equipment_id", "metric_name", "level", "_lasts"]
+
+
 def breaches(sensors: DataFrame, limits: Sequence[tuple] = BREACH_LIMITS) -> DataFrame:
     """(equipment_id, metric_name, level, start_ts, end_ts, readings) of limits broken for long enough.
 
     ``event_ts`` is a timestamp. Readings of a device and metric are taken in
     time order; a reading inside the limit ends the run.
     """
-    metric, value = F.col("metric_name"), F.col("metric_value")
-    tests = [(level, metric == m, _test(op, value, limit), seconds) for m, level, op, limit, seconds in limits]
-    rows = sensors.select("equipment_id", "metric_name", "metric_value", "event_ts", "sensor_event_id").where(
-        metric.isin(*{m for m, *_ in limits})
-    )
-    keys = ["equipment_id", "metric_name", "level", "_lasts"]
-    return sustained(_per_level(rows, tests), keys, "event_ts", "sensor_event_id", F.col("_met"), F.col("_lasts")).drop("_lasts")
+    rows, keys = breach_readings(sensors, limits)
+    return sustained(rows, keys, "event_ts", "sensor_event_id", F.col("_met"), F.col("_lasts")).drop("_lasts")
 
 
 def gate_windows(scans: DataFrame, ok: str = "SUCCESS", minutes: int = 5) -> DataFrame:
