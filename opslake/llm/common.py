@@ -67,13 +67,13 @@ def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], Sequ
     return docs.mapInArrow(run, docs.schema)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str | int = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column``, a name or position, holds about BATCH_BYTES per slice (one row at least)."""
+def slices(batches: Iterable[pa.RecordBatch], column: str | int = "text", size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column``, a name or position, holds about ``size`` bytes per slice (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = pc.binary_length(batch.column(column))
-        part = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False)) // BATCH_BYTES
+        lengths = pc.binary_length(batch.column(column))
+        part = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False)) // size
         starts = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(int(a), int(b - a))

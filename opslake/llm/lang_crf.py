@@ -27,6 +27,7 @@ from opslake.llm.crf import Adam, Chains, forward_backward
 TRAIN_DOCS = 200
 TRAIN_WORDS = 20_000
 LANGUAGES = 500
+TRAIN_BYTES = 64 << 20  # of text on the driver, in expectation
 LEXICON = 200  # words per language
 BUCKETS = 1 << 14
 WORD_BYTES = 60
@@ -223,21 +224,20 @@ def fit(
     """Fit on a sample of the rows with a language: about ``docs_per_lang`` of each, by the hash of the text.
 
     Documents of more than TRAIN_WORDS words, or of as many times WORD_BYTES, are
-    not used for training. More than LANGUAGES languages are an error.
+    not used for training. The sample holds about TRAIN_BYTES at most, shared
+    evenly by the languages; of more than LANGUAGES languages the most frequent
+    are learnt, those that are equally frequent by name.
     """
+    short = (F.size(F.split(F.col(text_col), " ")) <= TRAIN_WORDS) & (F.octet_length(text_col) <= TRAIN_WORDS * WORD_BYTES)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = rows.groupBy(lang_col).count().limit(LANGUAGES + 1).collect()
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    held = F.sum(F.when(short, F.octet_length(text_col)).otherwise(0)).alias("bytes")
+    sizes = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"), held).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not sizes:
         return train([])
     share = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / float(1 << 30)
-    picked = None
-    for lang, n in sorted(map(tuple, sizes)):
-        one = (F.col(lang_col) == lang) & (share < min(1.0, docs_per_lang / n))
-        picked = one if picked is None else picked | one
-    short = (F.size(F.split(F.col(text_col), " ")) <= TRAIN_WORDS) & (F.octet_length(text_col) <= TRAIN_WORDS * WORD_BYTES)
-    least = rows.where(picked & short)
+    part = TRAIN_BYTES / len(sizes)
+    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, docs_per_lang / r["n"], part / max(1, r["bytes"])))])
+    least = rows.where((share < F.element_at(shares, F.col(lang_col))) & short)
     found = least.select(F.col(text_col).cast("binary").alias("text"), F.col(lang_col).alias("lang")).limit(4 * docs_per_lang * len(sizes)).collect()
     return train(sorted((bytes(r["text"]), r["lang"]) for r in found))
 

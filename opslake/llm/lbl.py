@@ -40,7 +40,8 @@ NOISE = 64
 BATCH = 1024
 FREQUENT = 100_000
 WARM_DOCS, WARM_TOKENS = 2_000, 4_000_000  # documents and tokens expected in the common start
-_FLUSH = 400_000
+_FLUSH = 200_000
+_SLICE = 3 << 20  # bytes of text that a task has cut into words at once
 
 END = b""  # no word is empty
 
@@ -58,7 +59,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             return pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
 
         seen: Counter = Counter()
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             for text in batch.column(1).to_pylist():
                 seen.update(words_of(text))
                 seen[END] += 1
@@ -196,7 +197,7 @@ def train(docs: DataFrame, classes: Classes, unigram: np.ndarray, params: Params
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, unigram, params = shipped.value
         own = Trainer(Params(params.rows.copy(), params.size), unigram)
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             sequences = [classes.sequence(words_of(t)) for t in batch.column(1).to_pylist()]
             own.learn(*contexts(sequences, classes.size))
         if own.tokens:
@@ -290,10 +291,25 @@ def warm_start(train_docs: DataFrame, n_docs: int, n_tokens: int) -> DataFrame:
     return train_docs.where(F.pmod(chosen, F.lit(1 << 30)) < (1 << 30) * share).repartition(1).sortWithinPartitions(chosen, "doc_id")
 
 
+def most_frequent(counts: DataFrame, n: int) -> DataFrame:
+    """The ``n`` words of largest count, by count and word. Only words that may be among them are sorted.
+
+    A histogram of the counts by powers of two, some tens of rows, says from which count on there are ``n`` words.
+    """
+    step = F.floor(F.log2("c")).cast("long")
+    least, above = 0, 0
+    for r in sorted(counts.where("c > 0").groupBy(step.alias("step")).count().collect(), reverse=True):
+        above += r["count"]
+        if above >= n:
+            least = 1 << r["step"]
+            break
+    return counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").limit(n)
+
+
 def fit(train_docs: DataFrame, counts: DataFrame) -> Model:
     """Fit on (doc_id, text) rows and their written word counts."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    first = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    first = most_frequent(counts.where(F.col("word") != F.lit(END)), FREQUENT).toArrow()
     texts_learnt = counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     top = list(zip(first.column("word").to_pylist(), first.column("c").to_pylist(), strict=True))
     if texts_learnt:  # the end is known whatever its rank
@@ -345,7 +361,7 @@ def score_documents(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             found = list(shipped.value.score(batch.column(1).to_pylist()))
             columns = [list(c) for c in zip(*found, strict=True)]
             rare = [[{"word": w, "n": n} for w, n in lost.items()] for lost in columns[4]]

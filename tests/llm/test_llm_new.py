@@ -244,3 +244,31 @@ def test_leaf_that_nothing_cuts_is_searched_in_blocks(spark, rows):
 def test_no_vectors(spark):
     assert vector_forest.near_duplicates(vectors_of(spark, [])).count() == 0
     assert vector_forest.near_duplicates(vectors_of(spark, [(1, None)])).collect()[0][:4] == (1, 0, 1, True)
+
+
+# --- bounds of learning
+
+
+def test_more_languages_than_are_learnt(spark):
+    rows = [(i, f"wort{i} und rede{i} " * 3, f"l{i:03}") for i in range(600)] + [(1000 + i, "the quick fox and the dog", "en") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    from opslake.llm import lang_crf
+
+    import unittest.mock as mock
+
+    with mock.patch.object(lang_crf, "LANGUAGES", 3):
+        model = lang_crf.fit(docs)
+        assert sorted(model.langs) == ["en", "l000", "l001"]
+    got = {r.doc_id: r.lang_pred for r in lang_crf.identify(docs, model).collect()}
+    assert len(got) == 604 and got[1000] == "en"
+
+
+def test_most_frequent_words(spark, rows):
+    from opslake.llm import lbl
+
+    rng = random.Random(3)
+    counts = [(f"w{i}".encode(), int(rng.paretovariate(0.7))) for i in range(500)] + [(b"tie1", 5), (b"tie2", 5)]
+    table = spark.createDataFrame([(bytearray(w), c) for w, c in counts], "word binary, c long")
+    for n in (1, 7, 100, 501, 5000):
+        want = sorted(counts, key=lambda x: (-x[1], x[0]))[:n]
+        assert [(bytes(r.word), r.c) for r in lbl.most_frequent(table, n).collect()] == want
