@@ -559,3 +559,16 @@ query("f20_split_list", "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS
 query("f22_prefix", "SELECT page_id, starts_with(url, 'https://') AS secure FROM pages")(
     lambda t: t.pages.select("page_id", F.col("url").startswith("https://").alias("secure"))
 )
+
+
+@query("a6_distinct_in_ranges", """
+    WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS first_day FROM events)
+    SELECT first_day, count(DISTINCT user_id) AS distinct_values
+    FROM d JOIN events ON CAST(ts AS DATE) BETWEEN first_day AND first_day + 6 GROUP BY first_day""")
+def a6_ranges(t: Tables):
+    """Users of the seven days from each day on, from bitmaps per day."""
+    from opslake.operators.bitmaps import daily_bitmaps, distinct_in_ranges
+
+    day = F.col("ts").cast("date")
+    ranges = t.events.select(day.alias("first_day")).distinct().withColumn("last_day", F.date_add("first_day", 6)).withColumn("range_id", F.col("first_day"))
+    return distinct_in_ranges(daily_bitmaps(t.events, day, "user_id"), ranges).withColumnRenamed("range_id", "first_day")
