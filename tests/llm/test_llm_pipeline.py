@@ -65,3 +65,33 @@ def test_queries_are_registered():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(queries.SQL) <= set(names)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, fp long, text_hash string, digest string, gone_id string, leaks string, component_id string"
+
+
+def tables(spark, path, rows, items, labels):
+    spark.createDataFrame([(i, t, "en", None, None, 1, "x", "x", "x", "x", "x") for i, t in rows], ODD).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_empty_tables(spark, tmp_path):
+    path = tables(spark, tmp_path, [], [], [])
+    got = corpus_pipeline.run(spark, path)
+    assert got.count() == 0 and {"doc_id", "n_tokens", "ids", "decoded_sha256"} <= set(got.columns)
+
+
+def test_null_ids_repeated_rows_long_texts_and_clashing_names(spark, tmp_path):
+    rng = random.Random(5)
+    item = "Which bird sings before the first light of a winter day? The robin sings before the light."
+    long = prose(rng, 60_000)
+    rows = [(i, prose(rng)) for i in range(30)] + [(100 + i, "BUY!! $$$ NOW!! ### " * 20) for i in range(15)]
+    rows += [(None, rows[4][1]), (None, None), (None, None), (50, ""), (51, " \n\t "), (7, rows[7][1]), (60, long), (61, long + " tail"), (62, long + " " + item), (None, "a text of its own that nobody else has written down")]
+    labels = [(i, 1, 0) for i in range(30)] + [(100 + i, 0, 0) for i in range(15)] + [(None, 1, 0), (3, None, None), (999, 0, 1)]
+    path = tables(spark, tmp_path, rows, [(1, item), (None, item), (2, None), (1 << 40, "")], labels)
+    got = [(r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, path).collect()]
+    ids = [i for i, _ in got]
+    assert set(range(30)) <= set(ids) and ids.count(7) == 1 and ids.count(4) == 1
+    assert not set(ids) & set(range(100, 115)) and 60 in ids and not {61, 62} & set(ids)
