@@ -99,6 +99,21 @@ def x6(t: Tables):
     return retrieval.canonical_term(buyers, "n_name", region_words).select("c_custkey", "canonical_term")
 
 
+@query("x6_terms_in_texts", r"""
+    WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS word FROM benchmark),
+    t AS (SELECT translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word, min('T-' || upper(substr(word, 1, 1))) AS term FROM w GROUP BY 1)
+    SELECT doc_id, term, count(*) AS places FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word FROM documents) JOIN t USING (word)
+    GROUP BY doc_id, term""")
+def x6_texts(t: Tables):
+    """Words of the benchmark, by first letter, inside the documents."""
+    from opslake.plans.terms import find_terms
+
+    words = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("[a-zA-Z]+"), F.lit(0))).alias("word"))
+    terms = words.groupBy(F.concat(F.lit("T-"), F.upper(F.substring("word", 1, 1))).alias("term")).agg(F.concat_ws("|", F.collect_set("word")).alias("synonyms"))
+    return find_terms(t.documents, terms).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("places"))
+
+
 @query("n6_version_in_force", with_roles("""
     SELECT document_id, purpose, version, effective_date FROM (SELECT *, row_number() OVER (PARTITION BY purpose
         ORDER BY effective_date DESC, version DESC, document_id) AS rn FROM docs WHERE effective_date <= '2024-06-30') WHERE rn = 1"""))
