@@ -137,3 +137,27 @@ def test_large_files_are_hashed_in_blocks(spark, tmp_path, monkeypatch):
         (tmp_path / name).write_bytes(b"x" * size)
     got = {r.path.rsplit("/", 1)[1]: (r.size_bytes, r.sha256) for r in audit.file_hashes(spark, str(tmp_path), whole_bytes=50).collect()}
     assert got == {n.replace(" ", "%20") if n.replace(" ", "%20") in got else n: (s, hashlib.sha256(b"x" * s).hexdigest()) for n, s in (("a.txt", 5), ("b.txt", 100), ("c d.txt", 1000))}
+
+
+def test_each_large_file_has_a_task(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"f{i}.bin").write_bytes(bytes([i]) * 1000)
+    df = audit.file_hashes(spark, str(tmp_path), whole_bytes=50)
+    assert "RoundRobinPartitioning(12)" in df._jdf.queryExecution().executedPlan().toString()
+    assert {r.sha256 for r in df.collect()} == {hashlib.sha256(bytes([i]) * 1000).hexdigest() for i in range(12)}
+
+
+def test_scratch_on_a_single_machine_is_refused_elsewhere():
+    from opslake.sources.scratch import sees_all
+
+    assert sees_all("file:/tmp/w", "local[4]") and sees_all("/tmp/w", "local-cluster[2,1,1024]") and sees_all("hdfs://n/w", "yarn")
+    assert not sees_all("file:/tmp/w", "spark://host:7077") and not sees_all("/tmp/w", "yarn")
+
+
+def test_day_levels_are_those_of_the_directories(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2026, 8, 7)], "s string, year int, month int, day int")
+    df.write.parquet(str(tmp_path / "year=1999" / "plain"))  # columns of the file, below a directory that looks like a level
+    df.write.partitionBy("year", "month", "day").parquet(str(tmp_path / "days"))
+    assert sources.read_table(spark, str(tmp_path / "year=1999" / "plain")).columns == ["s", "year", "month", "day"]
+    assert sources.read_table(spark, str(tmp_path / "days")).columns == ["s"]
+    assert sources.read_table(spark, [str(tmp_path / "days"), str(tmp_path / "days" / "year=2026")]).columns[0] == "s"
