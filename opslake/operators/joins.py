@@ -1,8 +1,9 @@
 """Join shapes that the views, checks and graph plans share.
 
 No strategy is forced. Catalyst broadcasts a side by its size, and adaptive
-execution splits skewed shuffle partitions. The one hint is in ``salted_join``,
-whose broadcast side has a proven row bound.
+execution splits skewed shuffle partitions. The one hint here is in
+``salted_join``, whose broadcast side has a proven row bound. Views and metrics
+over a sales plan ask for a merge join, as estimates do not count unfolded rows.
 """
 
 from __future__ import annotations

@@ -104,11 +104,16 @@ def refund_totals(decisions: DataFrame) -> DataFrame:
 
 
 def signal_forecast(signals: DataFrame, plan: DataFrame) -> DataFrame:
-    """Sum of the interest signals per product beside the planned forecast."""
+    """Sum of the interest signals per product beside the planned forecast.
+
+    A plan has rows per product and day, which size estimates do not count when
+    the days are unfolded; both sides are dealt out by product, never shipped whole.
+    """
     summed = signals.groupBy("product_id").agg(
         F.sum("predicted_units").cast("bigint").alias("signal_units"), F.count(F.lit(1)).alias("signals")
     )
-    return plan.select("product_id", "festival_date", "interest_adjusted_forecast_units").join(summed, "product_id").withColumn(
+    planned = plan.select("product_id", "festival_date", "interest_adjusted_forecast_units").hint("merge")
+    return planned.join(summed, "product_id").withColumn(
         "matches_forecast", (F.col("signal_units") == F.col("interest_adjusted_forecast_units")).cast("int")
     )
 
