@@ -52,7 +52,8 @@ def stockout(products: DataFrame, plan: DataFrame, sales: DataFrame) -> DataFram
     """Plan and forecast against sales; ``stockout_ts`` is the last sale of the day.
 
     Sales are summed per product and day before the join, so a best seller
-    ships one row per task. The closing group keeps one row per plan.
+    ships one row per task. The closing group keeps one row per plan. The plan
+    is dealt out by product, as estimates do not count days that are unfolded.
     """
     sold = sales.groupBy("product_id", "festival_date").agg(
         F.max("sale_ts").alias("_last_sale"), F.sum("quantity").alias("_units")
@@ -62,7 +63,7 @@ def stockout(products: DataFrame, plan: DataFrame, sales: DataFrame) -> DataFram
         "interest_adjusted_forecast_units",
     ]
     return (
-        plan.select("product_id", "festival_date", *keys[3:])
+        plan.select("product_id", "festival_date", *keys[3:]).hint("merge")
         .join(products.select("product_id", "product_name"), "product_id")
         .join(sold, ["product_id", "festival_date"], "left")
         .groupBy(*keys)
@@ -71,14 +72,17 @@ def stockout(products: DataFrame, plan: DataFrame, sales: DataFrame) -> DataFram
 
 
 def stockout_from_snapshots(products: DataFrame, plan: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Plan and forecast against stock snapshots; the time is the first empty shelf."""
+    """Plan and forecast against stock snapshots; the time is the first empty shelf.
+
+    The plan is dealt out as in ``stockout``.
+    """
     seen = snapshots.groupBy("product_id", "festival_date").agg(
         F.min(F.when(F.col("on_hand_units") == 0, F.col("snapshot_ts"))).alias("_first_zero"),
         F.max("units_sold").alias("_units"),
     )
     keys = ["product_id", "product_name", "festival_date", "planned_stock_units", "interest_adjusted_forecast_units"]
     return (
-        plan.select("product_id", "festival_date", *keys[3:])
+        plan.select("product_id", "festival_date", *keys[3:]).hint("merge")
         .join(products.select("product_id", "product_name"), "product_id")
         .join(seen, ["product_id", "festival_date"], "left")
         .groupBy(*keys)

@@ -27,3 +27,28 @@ def test_signal_forecast_deals_the_plan_out(spark, rows):
     got = metrics.signal_forecast(signals, unfolded(spark))
     assert not shipped(got)
     assert rows(got) == [(1, "d1", 12, 12, 2, 1)] * 2 + [(1, "d2", 12, 12, 2, 1)] * 2
+
+
+def products(spark):
+    return spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'b'), (NULL, 'c') AS t(product_id, product_name)")
+
+
+def test_stockout_deals_the_plan_out(spark, rows):
+    sales = spark.createDataFrame([(1, "d1", "10:00", 5), (1, "d1", "11:00", 7), (None, "d1", "12:00", 1)], "product_id long, festival_date string, sale_ts string, quantity long")
+    got = views.stockout(products(spark), unfolded(spark), sales)
+    assert not shipped(got)
+    assert rows(got) == [
+        (1, "a", "d1", 8, 10, 12, "11:00", 24), (1, "a", "d2", 8, 10, 12, None, None),
+        (2, "b", "d1", 24, 30, 36, None, None), (2, "b", "d2", 24, 30, 36, None, None),
+    ]
+    assert rows(metrics.stockout_metrics(got), "product_id", "festival_date", "units_sold") == [(1, "d1", 24), (1, "d2", None), (2, "d1", None), (2, "d2", None)]
+
+
+def test_stockout_from_snapshots_deals_the_plan_out(spark, rows):
+    seen = spark.createDataFrame([(1, "d1", "10:00", 3, 5), (1, "d1", "11:00", 0, 8), (1, "d1", "12:00", 0, 9)], "product_id long, festival_date string, snapshot_ts string, on_hand_units long, units_sold long")
+    got = views.stockout_from_snapshots(products(spark), unfolded(spark), seen)
+    assert not shipped(got)
+    assert rows(got) == [
+        (1, "a", "d1", 10, 12, "11:00", 9), (1, "a", "d2", 10, 12, None, None),
+        (2, "b", "d1", 30, 36, None, None), (2, "b", "d2", 30, 36, None, None),
+    ]
