@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from opslake.functions.text import pipe_list
 CHUNK_BYTES = 8 << 20
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _MATCHES = "array<struct<start_pos: bigint, end_pos: bigint, term: string>>"
-_ARROW = pa.list_(pa.struct([("start_pos", pa.int64()), ("end_pos", pa.int64()), ("term", pa.string())]))
+# Matches that a task holds at once, besides those of one text.
+HELD = 50_000
 
 
 def word_list(terms: DataFrame) -> DataFrame:
@@ -60,7 +62,8 @@ def find_terms(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text:
     """(doc_id, start_pos, end_pos, term): where the terms of (term, synonyms) stand in the texts, in order.
 
     An automaton (Aho-Corasick) over all words reads a text once, so time is
-    linear in its length and its matches, however many words are listed.
+    linear in its length and its matches, however many words are listed. A task
+    passes its matches on as they come and holds those of one text and HELD more.
     Positions count characters from 1, ends included. NULL and empty texts have
     no match; every row is searched by itself.
     """
@@ -77,12 +80,33 @@ def find_terms(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text:
             if words:
                 automaton.make_automaton()
             for batch in batches:
-                out = []
-                for value, before in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    held = [(m["start_pos"], m["end_pos"], m["term"]) for m in before or ()]
-                    held += all_matches(automaton, value) if words else []
-                    out.append([{"start_pos": a, "end_pos": b, "term": t} for a, b, t in (longest(held) if last else held)])
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, _ARROW)], names=["doc_id", "text", "found"])
-
-        rows = rows.mapInArrow(run, f"doc_id {kind}, text string, found {_MATCHES}")
-    return rows.select("doc_id", F.inline("found"))
+                yield from _searched(batch, automaton if words else None, last)
+
+        found = "start_pos bigint, end_pos bigint, term string" if last else f"text string, found {_MATCHES}"
+        rows = rows.mapInArrow(run, f"doc_id {kind}, {found}")
+    return rows
+
+
+def _searched(batch: pa.RecordBatch, automaton, last: bool) -> Iterator[pa.RecordBatch]:
+    """One row per match in the last pass; before it the texts, with what was found so far."""
+    ids, texts, earlier = batch.columns
+    first, sizes, flat = 0, [], ([], [], [])
+    for i in range(batch.num_rows):
+        held = [(m["start_pos"], m["end_pos"], m["term"]) for m in earlier[i].as_py() or ()]
+        if automaton:
+            held += all_matches(automaton, texts[i].as_py())
+        if last:
+            held = longest(held)
+        sizes.append(len(held))
+        for a, b, t in held:
+            flat[0].append(a), flat[1].append(b), flat[2].append(t)
+        if len(flat[0]) >= HELD or i == batch.num_rows - 1:
+            matches = [pa.array(v, k) for v, k in zip(flat, (pa.int64(), pa.int64(), pa.string()), strict=True)]
+            n, names = len(sizes), ["start_pos", "end_pos", "term"]
+            if last:
+                row = np.repeat(np.arange(first, first + n), sizes)
+                yield pa.record_batch([ids.take(pa.array(row)), *matches], names=["doc_id", *names])
+            else:
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.StructArray.from_arrays(matches, names=names))
+                yield pa.record_batch([ids.slice(first, n), texts.slice(first, n), lists], names=["doc_id", "text", "found"])
+            first, sizes, flat = i + 1, [], ([], [], [])

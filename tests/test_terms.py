@@ -37,3 +37,23 @@ def test_equals_brute_force(spark, rows, monkeypatch):
     monkeypatch.setattr(terms, "CHUNK_BYTES", 10)  # several automata
     assert rows(terms.find_terms(d, table)) == want
     assert terms.find_terms(d, table.limit(0)).count() == 0 and terms.find_terms(d.limit(0), table).count() == 0
+
+
+def test_a_task_holds_few_matches_at_once(monkeypatch):
+    import ahocorasick
+    import pyarrow as pa
+
+    automaton = ahocorasick.Automaton()
+    automaton.add_word("gate", (4, "Gate"))
+    automaton.make_automaton()
+    monkeypatch.setattr(terms, "HELD", 10)
+    texts = ["gate " * 4, "", "none"] * 30
+    kinds = pa.list_(pa.struct([("start_pos", pa.int64()), ("end_pos", pa.int64()), ("term", pa.string())]))
+    batch = pa.record_batch([pa.array(range(90)), pa.array(texts), pa.array([None] * 90, kinds)], names=["doc_id", "text", "found"])
+    parts = list(terms._searched(batch, automaton, True))
+    assert max(p.num_rows for p in parts) <= 14 and sum(p.num_rows for p in parts) == 120
+    assert pa.Table.from_batches(parts).column("doc_id").to_pylist() == [i for i in range(0, 90, 3) for _ in range(4)]
+    before = list(terms._searched(batch, automaton, False))
+    assert [t for p in before for t in p.column(1).to_pylist()] == texts
+    again = [r for p in before for q in terms._searched(p, None, True) for r in q.to_pylist()]
+    assert again == [r for p in parts for r in p.to_pylist()]
