@@ -1,15 +1,18 @@
 """Ordered-series operators: time grids, runs of a condition, carried values.
 
-A long series of one key is cut into time chunks. Each chunk is worked on by
-its own window group, and only a summary per chunk is ordered per key, so a key
-that holds a third of all rows still spreads over many tasks. A chunk is a
-clock hour, or a part of one: an hour with more than CHUNK_ROWS rows of a key is
-cut at seconds, by the number of rows.
+A long series of one key (over KEY_ROWS rows) is cut into time chunks. Each
+chunk is worked on by its own window group, and only a summary per chunk is
+ordered per key, so a key that holds a third of all rows still spreads over many
+tasks. A chunk is a clock hour, or a part of one: an hour with more than
+CHUNK_ROWS rows of a key is cut at seconds, by the number of rows. All other
+series are one chunk each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,35 +23,43 @@ from opslake.functions.moments import seconds_between
 
 # Rows of a key in one window group; only rows of one and the same second stay together beyond it.
 CHUNK_ROWS = 1_000_000
+# Rows of a key up to which its series is not cut at all.
+KEY_ROWS = 100_000
 
 
 def _with_chunk(rows: DataFrame, keys: Sequence[str], ts: Column, chunk: str, chunk_rows: int) -> DataFrame:
-    """Add ``_chunk``: (start of the time unit, part of it by rows).
+    """Add ``_chunk``: (start of the time unit, part of it by rows), and ``_cut``: does the key have several.
 
-    Rows are counted by unit first; only units with more than ``chunk_rows`` rows
-    of a key are looked at by the second. Usually there is none, and what
-    follows meets empty tables.
+    Rows are counted by key first, and only long series are looked at by the
+    second. Both tables that the rows are joined with are small by construction:
+    there are at most rows / KEY_ROWS long series and rows / chunk_rows crowded
+    units, so they are shipped and the rows are not moved.
     """
-    unit, second = F.date_trunc(chunk, ts), F.date_trunc("second", ts)
+    unit, second, n = F.date_trunc(chunk, ts), F.date_trunc("second", ts), F.count(F.lit(1))
     names = [f"_b{i}" for i in range(len(keys))]
-    own = [F.col(k).alias(n) for k, n in zip(keys, names)]
-    crowded = rows.groupBy(*own, unit.alias("_u")).agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") > chunk_rows)
-    crowded = crowded.select(*[F.col(n).alias(f"{n}_c") for n in names], F.col("_u").alias("_u_c"))
-    there = F.col("_u") == F.col("_u_c")
-    for n in names:
-        there = there & F.col(n).eqNullSafe(F.col(f"{n}_c"))
-    seconds = rows.select(*own, unit.alias("_u"), second.alias("_s")).join(crowded, there, "left_semi").groupBy(*names, "_u", "_s").agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy(*names, "_u").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    past = F.coalesce(F.sum("_n").over(upto), F.lit(0))
-    busy = seconds.select(*names, "_s", F.floor(past / chunk_rows).alias("_part"))
-    same = F.col("_second") == F.col("_s")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+    own = [F.col(k).alias(b) for k, b in zip(keys, names)]
+
+    def same(left: Sequence[str], right: Sequence[str]) -> Column:
+        return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)))
+
+    long = rows.groupBy(*own).agg(n.alias("_all")).where(F.col("_all") > min(KEY_ROWS, chunk_rows)).select(*names, F.lit(True).alias("_cut"))
+    seconds = rows.join(F.broadcast(long), same(keys, names), "left_semi").groupBy(*own, unit.alias("_u"), second.alias("_s")).agg(n.alias("_n"))
+    within = Window.partitionBy(*names, "_u")
+    past = F.coalesce(F.sum("_n").over(within.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = (
+        seconds.select(*names, "_u", "_s", F.floor(past / chunk_rows).alias("_part"), F.sum("_n").over(within).alias("_all"))
+        .where(F.col("_all") > chunk_rows).groupBy(*names, "_u", "_part").agg(F.min("_s").alias("_from"))
+    )
+    # Where the parts of a crowded unit begin; a unit without a time has one part.
+    crowded = parts.groupBy(*[F.col(b).alias(f"{b}_c") for b in names], F.col("_u").alias("_u_c")).agg(F.collect_list("_from").alias("_begins"))
+    part = F.coalesce(F.size(F.filter("_begins", lambda x: x <= F.col("_second"))), F.lit(0))
     return (
-        rows.withColumn("_second", second)
-        .join(busy, same, "left")
-        .withColumn("_chunk", F.struct(unit.alias("unit"), F.coalesce("_part", F.lit(0)).alias("part")))
-        .drop("_second", "_s", "_part", *[f"_b{i}" for i in range(len(keys))])
+        rows.join(F.broadcast(long), same(keys, names), "left")
+        .withColumns({"_cut": F.coalesce("_cut", F.lit(False)), "_second": second})
+        .withColumn("_unit", F.when(F.col("_cut"), unit))
+        .join(F.broadcast(crowded), same([*keys, "_unit"], [*[f"{b}_c" for b in names], "_u_c"]) & F.col("_cut"), "left")
+        .withColumn("_chunk", F.struct(F.col("_unit").alias("unit"), F.when(F.col("_begins").isNull(), 0).otherwise(part).alias("part")))
+        .drop("_second", "_unit", "_u_c", "_begins", *names, *[f"{b}_c" for b in names])
     )
 
 
@@ -112,24 +123,24 @@ def sustained(
         F.coalesce(flag, F.lit(False)).alias("_on"),
     )
     base = _with_chunk(base, keys, F.col("_ts"), chunk, chunk_rows)
-    seq = Window.partitionBy(*keys, "_chunk").orderBy("_ts", "_tie")
+    # With _cut as a key, the second use of the runs reads long series only.
+    seq = Window.partitionBy(*keys, "_cut", "_chunk").orderBy("_ts", "_tie")
     turned = F.coalesce((F.lag("_on").over(seq) != F.col("_on")).cast("int"), F.lit(0))
     upto = seq.rowsBetween(Window.unboundedPreceding, 0)
     runs = (
-        base.withColumn("_turn", turned)
+        base.withColumns({"_turn": turned, "_final": F.lead("_on").over(seq).isNull()})
         .withColumn("_run", F.sum("_turn").over(upto))
-        .groupBy(*keys, "_chunk", "_run")
+        .groupBy(*keys, "_cut", "_chunk", "_run")
         .agg(
             F.first("_on").alias("_on"),
             F.min("_ts").alias("_start"),
             F.max("_end").alias("_stop"),
             F.count(F.lit(1)).alias("_n"),
+            ((F.col("_run") == 0) | F.max("_final")).alias("_edge"),
         )
-        .withColumn("_last", F.max("_run").over(Window.partitionBy(*keys, "_chunk")))
     )
-    at_edge = (F.col("_run") == 0) | (F.col("_run") == F.col("_last"))
-    inner = runs.where(~at_edge & F.col("_on")).select(*keys, "_start", "_stop", "_n")
-    # Only the first and last run of a chunk can continue in a neighbour.
+    inner = runs.where(~(F.col("_edge") & F.col("_cut")) & F.col("_on")).select(*keys, "_start", "_stop", "_n")
+    # Only the first and last run of a chunk can continue in a neighbour, where a series has several.
     order = Window.partitionBy(*keys).orderBy("_chunk", "_run")
     joins_previous = (
         (F.col("_run") == 0)
@@ -137,7 +148,7 @@ def sustained(
         & (F.lag("_chunk").over(order) != F.col("_chunk"))
     )
     stitched = (
-        runs.where(at_edge)
+        runs.where("_cut AND _edge")
         .withColumn("_new", F.coalesce((~joins_previous).cast("int"), F.lit(1)))
         .withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .where("_on")
@@ -180,4 +191,4 @@ def carry_forward(
     out = marked.join(carried, same, "left")
     for name in values:
         out = out.withColumn(name, F.coalesce(F.col(name), F.col(f"_in_{name}")))
-    return out.drop("_chunk", "_c", *[f"_k{i}" for i in range(len(keys))], *[f"_in_{n}" for n in values])
+    return out.drop("_chunk", "_cut", "_c", *[f"_k{i}" for i in range(len(keys))], *[f"_in_{n}" for n in values])

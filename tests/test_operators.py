@@ -162,3 +162,17 @@ def test_running_grid_marks(spark, rows):
     assert rows(grid, "product_id", "mark_no", "sold") == [
         ("p", 0, 1), ("p", 1, 3), ("p", 2, 7), ("q", 0, 0), ("q", 1, 0), ("q", 2, 0)]
     assert rows(grid.where("product_id = 'q'"), "mark_ts")[-1] == (at(11, 0),)
+
+
+def test_short_series_are_one_chunk(spark, rows, monkeypatch):
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(k, t0 + dt.timedelta(minutes=7 * i), i, i % 4 != 3) for k, n in (("short", 30), (None, 30), ("long", 60)) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, id long, flag boolean")
+    monkeypatch.setattr(series, "KEY_ROWS", 40)
+    parts = series._with_chunk(df, ["k"], F.col("ts"), "hour", 100).select("k", "_cut", "_chunk").distinct().groupBy("k", "_cut").count()
+    assert rows(parts) == [("long", True, 7), ("short", False, 1), (None, False, 1)]
+    got = series.sustained(df, ["k"], "ts", "id", F.col("flag"), 1)
+    assert rows(got.groupBy("k").agg(F.count("*"), F.sum("readings"))) == [("long", 15, 45), ("short", 8, 23), (None, 8, 23)]
+    carried = series.carry_forward(df, ["k"], "ts", "id", {"_x": F.when(~F.col("flag"), F.col("id"))})
+    assert all(x == (i - 3) // 4 * 4 + 3 if i >= 3 else x is None for i, x in carried.select("id", "_x").collect())
+    assert set(carried.columns) == {"k", "ts", "id", "flag", "_x"}
