@@ -257,17 +257,15 @@ def key_errors(graph: GraphSpec) -> DataFrame:
     """(element_kind, element_name, error_count): NULL or repeated keys, only where found.
 
     All elements share one grouping over (element, key) instead of one each.
+    An element goes by its number, so that what a task holds per key is short.
     """
-    parts = [
-        e.df.select(F.lit(kind).alias("element_kind"), F.lit(e.name).alias("element_name"), F.col(e.key).cast("string").alias("_key"))
-        for kind, elements in (("VERTEX", graph.vertices), ("EDGE", graph.edges))
-        for e in elements
-    ]
-    counted = (
-        union_all(parts).groupBy("element_kind", "element_name", "_key").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    bad = counted.where(F.col("_key").isNull() | (F.col("_n") > 1))
-    return bad.groupBy("element_kind", "element_name").agg(F.count(F.lit(1)).alias("error_count"))
+    elements = [(kind, e) for kind, es in (("VERTEX", graph.vertices), ("EDGE", graph.edges)) for e in es]
+    parts = [e.df.select(F.lit(i).alias("_element"), F.col(e.key).cast("string").alias("_key")) for i, (_, e) in enumerate(elements)]
+    counted = union_all(parts).groupBy("_element", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    bad = counted.where(F.col("_key").isNull() | (F.col("_n") > 1)).groupBy("_element").agg(F.count(F.lit(1)).alias("error_count"))
+    names = [F.struct(F.lit(kind).alias("kind"), F.lit(e.name).alias("name")) for kind, e in elements]
+    of = F.array(*names)[F.col("_element")]
+    return bad.select(of["kind"].alias("element_kind"), of["name"].alias("element_name"), "error_count")
 
 
 def endpoint_errors(graph: GraphSpec) -> DataFrame:
