@@ -154,19 +154,24 @@ class LiveChecks:
         dp = saved(delta.pairs.groupBy(*by_pair).agg(F.sum("change").alias("change")).where("change != 0"), f"{work}/pairs")
         de = _both_ends(dp)
         at_ends = de.select("vertex", "key")
-        named = at_ends.union(dk.where("kind = 'VERTEX'").select(F.col("name").alias("vertex"), "key")).distinct()
-        looked_up = named.select(F.lit("VERTEX").alias("kind"), F.col("vertex").alias("name"), "key").union(dk.select("kind", "name", "key"))
-        # At most one value per bucket.
-        touched_keys = {r.bucket for r in looked_up.select(_bucket(self.buckets)).distinct().collect()}
-        touched_ends = {r.bucket for r in named.select(_bucket(self.buckets)).distinct().collect()}
+        named = at_ends.union(dk.where("kind = 'VERTEX'").select(F.col("name").alias("vertex"), "key"))
+        named = saved(named.distinct(), f"{work}/named")
 
         zero = F.lit(0).cast("long")
-        keys = self._read("keys", _KEYS, touched_keys).select("kind", "name", "key", F.col("n").alias("old"), F.col("n").alias("new"))
-        keys = keys.union(dk.select("kind", "name", "key", zero, "change")).groupBy("kind", "name", "key").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
-        keys = saved(keys, f"{work}/counted-keys")
-        ends = self._read("ends", _ENDS, touched_ends).select("vertex", "key", *by_pair, F.col("n").alias("old"), F.col("n").alias("new"))
-        ends = ends.union(de.select("vertex", "key", *by_pair, zero, "change")).groupBy("vertex", "key", *by_pair).agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
-        ends = saved(ends, f"{work}/counted-ends")
+        if first:  # there is nothing to add the change to
+            touched_keys = touched_ends = None
+            keys, ends = (x.withColumns({"old": zero, "new": F.col("change")}).drop("change") for x in (dk, de))
+        else:
+            looked_up = named.select(F.lit("VERTEX").alias("kind"), F.col("vertex").alias("name"), "key").union(dk.select("kind", "name", "key"))
+            # At most one value per bucket.
+            touched_keys = {r.bucket for r in looked_up.select(_bucket(self.buckets)).distinct().collect()}
+            touched_ends = {r.bucket for r in named.select(_bucket(self.buckets)).distinct().collect()}
+            keys = self._read("keys", _KEYS, touched_keys).select("kind", "name", "key", F.col("n").alias("old"), F.col("n").alias("new"))
+            keys = keys.union(dk.select("kind", "name", "key", zero, "change")).groupBy("kind", "name", "key").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
+            keys = saved(keys, f"{work}/counted-keys")
+            ends = self._read("ends", _ENDS, touched_ends).select("vertex", "key", *by_pair, F.col("n").alias("old"), F.col("n").alias("new"))
+            ends = ends.union(de.select("vertex", "key", *by_pair, zero, "change")).groupBy("vertex", "key", *by_pair).agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
+            ends = saved(ends, f"{work}/counted-ends")
         if not keys.where("new < 0").isEmpty() or not ends.where("new < 0").isEmpty():
             raise ValueError("the change deletes rows that are not there")
 
@@ -182,9 +187,12 @@ class LiveChecks:
         kept = saved(union_all([
             before.join(missing, ["vertex", "key"], "left_anti"), missing.join(before, ["vertex", "key"], "left_anti"),
         ]), f"{work}/turned")
-        changed = ends.where("old != new").select(*by_pair, "old", "new")
+        # A pair counts as bad, before or now, only beside a key that is or was missing. At first these keys are those that turned.
         beside = ends.join(kept, ["vertex", "key"], "left_semi").select(*by_pair, "old", "new")
-        affected = changed.union(beside).distinct()
+        if not first:
+            changed = ends.where("old != new").join(before.union(missing), ["vertex", "key"], "left_semi").select(*by_pair, "old", "new")
+            beside = beside.union(changed)
+        affected = beside.distinct()
         for when, table in (("was", before), ("is", missing)):
             for side in ("source", "target"):
                 marks = table.select(F.col("vertex").alias(f"{side}_vertex"), F.col("key").alias(side), F.lit(True).alias(f"{when}_{side}"))
@@ -198,7 +206,7 @@ class LiveChecks:
         totals = union_all(parts).groupBy("check", "kind", "name").agg(F.sum("errors").alias("errors"))
 
         files = {
-            "keys": self._write("keys", keys.where("new > 0").select("kind", "name", "key", F.col("new").alias("n"), _bucket(self.buckets)), v, None if first else touched_keys),
-            "ends": self._write("ends", ends.where("new > 0").select("vertex", "key", *by_pair, F.col("new").alias("n"), _bucket(self.buckets)), v, None if first else touched_ends),
+            "keys": self._write("keys", keys.where("new > 0").select("kind", "name", "key", F.col("new").alias("n"), _bucket(self.buckets)), v, touched_keys),
+            "ends": self._write("ends", ends.where("new > 0").select("vertex", "key", *by_pair, F.col("new").alias("n"), _bucket(self.buckets)), v, touched_ends),
         }
         return self._finish(v, files, totals, missing)

@@ -76,3 +76,23 @@ def test_wrong_changes_are_refused(spark, tmp_path):
         live.apply(delta_of(graph, deleted={"A": spark.createDataFrame([("b",)], DDL["A"])}))
     with pytest.raises(ValueError):
         delta_of(graph)
+
+
+def test_the_first_version_counts_no_row_twice(spark, rows, tmp_path):
+    tables = {"A": [("a1",), ("a1",), (None,)], "B": [(1,)], "AB": [("e", "a1", 1), ("e", "a1", 1), ("f", "a2", None)], "AA": [("g", None, "a3")]}
+    graph = spec(spark, tables)
+    live = LiveChecks.start(graph, str(tmp_path / "s"), buckets=4)
+    agree(live, graph, rows)
+    assert not {p.name for p in (tmp_path / "s" / "v0" / "work").iterdir()} & {"counted-keys", "counted-ends"}
+
+
+def test_keys_are_grouped_by_the_number_of_their_element(spark, rows):
+    import io
+    from contextlib import redirect_stdout
+
+    found = key_errors(spec(spark, {"A": [("1",), ("1",)], "B": [(1,), (2,)], "AB": [(None, "1", 1), ("e", "1", 1)], "AA": []}))
+    assert rows(found) == [("EDGE", "AB", 1), ("VERTEX", "A", 1)] and found.columns == ["element_kind", "element_name", "error_count"]
+    with redirect_stdout(io.StringIO()) as plan:
+        found.explain()
+    dealt = [line for line in plan.getvalue().splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("element_name" in line for line in dealt)
