@@ -96,3 +96,54 @@ def test_keys_are_grouped_by_the_number_of_their_element(spark, rows):
         found.explain()
     dealt = [line for line in plan.getvalue().splitlines() if "Exchange hashpartitioning" in line]
     assert dealt and not any("element_name" in line for line in dealt)
+
+
+def test_a_change_writes_its_own_rows_only(spark, rows, tmp_path):
+    tables = {"A": [(f"a{i}",) for i in range(3000)], "B": [(i,) for i in range(50)], "AB": [(f"e{i}", f"a{i}", i % 60) for i in range(3000)], "AA": [("f", "a1", "a1"), ("g", "a2", "x")]}
+    live = LiveChecks.start(spec(spark, tables), str(tmp_path / "s"), buckets=4)  # each bucket holds some 750 pairs of AB
+    new = {"B": [(55,)], "AB": [("h", "a1", 56)], "AA": [("k", "x", "x")]}
+    old = {"A": [("a1",), ("a7",)], "AB": [("e9", "a9", 9)]}
+    for name, more in new.items():
+        tables[name] = tables[name] + more
+    for name, gone in old.items():
+        tables[name] = [r for r in tables[name] if r not in gone]
+    graph, frames = spec(spark, tables), lambda x: {n: spark.createDataFrame(r, DDL[n]) for n, r in x.items()}
+    live = live.apply(delta_of(graph, frames(new), frames(old)))
+    agree(live, graph, rows)
+    agree(LiveChecks.open(spark, str(tmp_path / "s"), 1), graph, rows)
+    kept = {t: spark.read.parquet(str(tmp_path / "s" / "v1" / t)).count() for t in ("keys", "ends")}
+    assert kept == {"keys": 6, "ends": 5}  # one of the three pairs is a loop
+
+
+def test_long_buckets_are_written_anew(spark, rows, tmp_path, monkeypatch):
+    from opslake.plans import live_checks
+
+    monkeypatch.setattr(live_checks, "MERGE", 2)
+    rng = random.Random(8)
+    tables = {n: [row_of(rng, n) for _ in range(15)] for n in DDL}
+    live = LiveChecks.start(spec(spark, tables), str(tmp_path / "s"), buckets=2)
+    for step in range(4):
+        old = {n: rng.sample(tables[n], min(len(tables[n]), 8 if step == 2 else 4)) for n in DDL}
+        new = {n: [row_of(rng, n) for _ in range(4)] for n in DDL}
+        for n in DDL:
+            for r in old[n]:
+                tables[n].remove(r)
+            tables[n] += new[n]
+        frames = lambda x: {n: spark.createDataFrame(r, DDL[n]) for n, r in x.items() if r}
+        graph = spec(spark, tables)
+        live = LiveChecks.open(spark, str(tmp_path / "s"), step) if step == 3 else live
+        live = live.apply(delta_of(graph, frames(new), frames(old)))
+        agree(live, graph, rows)
+    assert max(len(v) for t in live._files.values() for v in t.values()) <= 2 and live._files["keys"][0][0] > 0
+
+
+def test_a_later_graph_may_number_its_elements_otherwise(spark, rows, tmp_path):
+    tables = {"A": [("a",)], "B": [(1,)], "AB": [("e", "a", 1)], "AA": [("f", "a", "b")]}
+    whole = spec(spark, tables)
+    part = GraphSpec(whole.vertices[1:], ())
+    live = LiveChecks.start(part, str(tmp_path / "s"), buckets=4)
+    live = live.apply(delta_of(whole, {n: spark.createDataFrame(r, DDL[n]) for n, r in tables.items() if n != "B"}))
+    agree(live, whole, rows)
+    turned = GraphSpec(whole.vertices, (whole.edges[0], Edge("AA", "AA", whole.edges[1].df, "A", "x", "B", "y", key="id")))
+    with pytest.raises(ValueError):
+        live.apply(delta_of(turned, {"AA": whole.edges[1].df}))
