@@ -105,6 +105,10 @@ class GraphSpec:
 
         return GraphSpec(exchanged(self.vertices), exchanged(self.edges))
 
+    def without_properties(self) -> GraphSpec:
+        """The same graph for questions on keys and ends alone."""
+        return GraphSpec(*(tuple(replace(e, properties=()) for e in elements) for elements in (self.vertices, self.edges)))
+
     def saved(self, spark: SparkSession, path: str, names: Sequence[str] | None = None) -> GraphSpec:
         """Write elements once below ``path`` and read them back.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -175,21 +175,26 @@ class Nodes:
     """Node views over the sources, each made when first needed."""
 
     NAMES = ("incidents", "equipment", "stages", "documents", "lots", "tasks")
+    # What the keys and ends of the graph take from the views that join facts.
+    LINKS = {"incidents": ("incident_id", "related_equipment_id", "document_id"), "tasks": ("task_id", "incident_id")}
 
     def __init__(self, s: Sources):
         self._s = s
 
-    def saved(self, spark: SparkSession, path: str) -> Nodes:
+    def saved(self, spark: SparkSession, path: str, columns: Mapping[str, Sequence[str]] | None = None) -> Nodes:
         """Write each node view once below ``path`` and go on from the files.
 
         Later views and the edges build on the files, so the sources are read
-        once however many questions the graph is asked.
+        once however many questions the graph is asked. ``columns`` limits it to
+        some views and the columns that the questions use.
         """
-        for name in self.NAMES:
+        for name in columns or self.NAMES:
             df, target = getattr(self, name), f"{path.rstrip('/')}/{name}"
+            df = df.select(*columns[name]) if columns else df
             df.write.mode("errorifexists").parquet(target)
             setattr(self, name, spark.read.schema(df.schema).parquet(target))
-        self.staged = self.equipment.select("equipment_id", "stage_id")
+        if not columns:
+            self.staged = self.equipment.select("equipment_id", "stage_id")
         return self
 
     @cached_property

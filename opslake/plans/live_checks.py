@@ -153,9 +153,8 @@ class LiveChecks:
         return F.array(*map(F.lit, self._tables(side)))[F.col("edge")]
 
     def _both_ends(self, pairs: DataFrame) -> DataFrame:
-        """Each pair at its source and, unless that is the same key, at its target."""
-        loop = (self._end("source") == self._end("target")) & (F.col("source") == F.col("target"))
-        return pairs.withColumn("at_source", F.explode(F.when(loop, F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))))
+        """Each pair at its source and at its target."""
+        return pairs.withColumn("at_source", F.explode(F.array(F.lit(True), F.lit(False))))
 
     def _at_key(self, ends: DataFrame) -> DataFrame:
         at = F.col("at_source")
@@ -177,7 +176,7 @@ class LiveChecks:
     def _write(self, table: str, rows: DataFrame, version: int, anew: set[int]) -> dict[int, tuple[int, ...]]:
         """Write the rows by bucket; returns where each bucket of the new version lies."""
         target = f"{self.folder}/v{version}/{table}"
-        rows.write.partitionBy("bucket").parquet(target)
+        rows.write.mode("append").partitionBy("bucket").parquet(target)
         path = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
         names = [f.getPath().getName() for f in path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
         kept = {b: versions for b, versions in self._files[table].items() if b not in anew}
@@ -205,12 +204,9 @@ class LiveChecks:
 
         keys = self._next_keys(now, rows, first)
         by_pair = rows.where(now._is("EDGE")).groupBy(F.col("element").alias("edge"), "source", "target")
-        pairs = saved(by_pair.agg(F.sum("change").alias("change")).where("change != 0"), f"{here}/work/pairs")
-        counted = self._touched_pairs(now, keys, pairs, f"{here}/work", first)
-        self._next_ends(now, pairs)
-
+        pairs = by_pair.agg(F.sum("change").alias("change")).where("change != 0")
+        marked = self._first_ends(now, keys, pairs) if first else self._next_ends(now, keys, saved(pairs, f"{here}/work/pairs"), f"{here}/work")
         bad = lambda when: (F.col(f"{when}_source") | F.col(f"{when}_target")).cast("long")
-        marked = self._marked(now, counted, keys, f"{here}/work", first)
         edge_change = marked.groupBy(F.col("edge").alias("element")).agg(F.sum(F.col("new") * bad("is") - F.col("old") * bad("was")).alias("errors"))
         key_change = keys.groupBy("element").agg(F.sum(_bad_key("new").cast("long") - _bad_key("old").cast("long")).alias("errors"))
         kind, name = (F.array(*[F.lit(e[i]) for e in now.elements])[F.col("element")].alias(c) for i, c in enumerate(("kind", "name")))
@@ -233,15 +229,34 @@ class LiveChecks:
         if not first:
             held = self._read("keys", _KEYS, touched - anew).where(F.col("element").isin(elements)).union(self._read("keys", _KEYS, anew))
             counts = counts.union(held.select("element", "key", "n", "n"))
-        counts = counts.groupBy("element", "key").agg(F.sum("old").alias("old"), F.sum("new").alias("new")).select("*", _bucket(self.buckets))
+        old = F.lit(0).cast("long") if first else F.sum("old")
+        counts = counts.groupBy("element", "key").agg(old.alias("old"), F.sum("new").alias("new")).select("*", _bucket(self.buckets))
         n = F.when(F.col("bucket").isin(anew), F.col("new")).otherwise(F.col("new") - F.col("old"))
         now._files["keys"] = self._write("keys", counts.withColumn("n", n).where("n != 0 or old != new"), now.version, anew)
         keys = self._spark.read.schema(_KEYS).parquet(f"{self.folder}/v{now.version}/keys")
         _refuse_negative(keys)
         return keys
 
-    def _next_ends(self, now: LiveChecks, pairs: DataFrame) -> None:
-        """Write the change of the pairs at both their ends."""
+    def _first_ends(self, now: LiveChecks, keys: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Write all pairs at both their ends; returns them marked.
+
+        Looking up an end deals the pairs to tasks as the state lies, so each side is written where it was looked up.
+        """
+        there, zero = now._vertices(keys), F.lit(0).cast("long")
+        pairs = pairs.select(*_PAIR, zero.alias("old"), F.col("change").alias("new"))
+        written, schema = f"{self.folder}/v{now.version}/ends", "edge int, at_source boolean, source string, target string, n long, old long, new long"
+        for side in ("source", "target"):
+            pairs = now._looked_up(pairs, there, side)
+            ends = now._at_key(pairs.select("*", F.lit(side == "source").alias("at_source"), F.col("new").alias("n")))
+            at = self._write("ends", ends.select("*", _bucket(self.buckets, "vertex")).drop("vertex", "key"), now.version, set())
+            schema += f", was_{side} boolean, is_{side} boolean"
+            pairs = self._spark.read.schema(schema).parquet(written).where(F.col("at_source") == (side == "source")).drop("at_source", "n", "bucket")
+        now._files["ends"] = at
+        return pairs
+
+    def _next_ends(self, now: LiveChecks, keys: DataFrame, pairs: DataFrame, work: str) -> DataFrame:
+        """Write the change of the pairs at both their ends; returns the touched pairs marked."""
+        touched = self._touched_pairs(now, keys, pairs, work)
         ends = now._at_key(now._both_ends(pairs.withColumnRenamed("change", "n")))
         anew = self._long("ends")
         anew = anew and anew & self._places(ends, "vertex")[0]
@@ -251,13 +266,18 @@ class LiveChecks:
         dealt = ends.repartition("vertex", "key").select("edge", "at_source", "source", "target", "n", _bucket(self.buckets, "vertex"))
         now._files["ends"] = self._write("ends", dealt, now.version, anew)
 
-    def _touched_pairs(self, now: LiveChecks, keys: DataFrame, pairs: DataFrame, work: str, first: bool) -> DataFrame:
+        buckets, vertices = self._places(now._at_key(now._both_ends(touched)), "vertex")
+        held = self._read("keys", _KEYS, buckets).where(F.col("element").isin(vertices)).select(F.col("element").alias("vertex"), "key", "n", "n")
+        there = now._vertices(keys).select("vertex", "key", F.lit(0).cast("long").alias("old"), F.col("new") - F.col("old"))
+        there = there.union(held).toDF("vertex", "key", "old", "new").groupBy("vertex", "key").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
+        there = saved(there, f"{work}/vertices")
+        return now._looked_up(now._looked_up(touched, there, "source"), there, "target")
+
+    def _touched_pairs(self, now: LiveChecks, keys: DataFrame, pairs: DataFrame, work: str) -> DataFrame:
         """(edge, source, target, old, new): the pairs that change and those beside a vertex that comes or goes."""
         zero = F.lit(0).cast("long")
-        if first:
-            return pairs.select(*_PAIR, zero.alias("old"), F.col("change").alias("new"))
-        turned = keys.where(now._is("VERTEX") & (F.col("key") != _NULL) & ((F.col("old") > 0) != (F.col("new") > 0)))
-        at = turned.select(F.col("element").alias("vertex"), "key", F.lit(True).alias("turned"))
+        turned = now._vertices(keys).where((F.col("key") != _NULL) & ((F.col("old") > 0) != (F.col("new") > 0)))
+        at = turned.select("vertex", "key", F.lit(True).alias("turned"))
         at = at.union(pairs.select(now._end("source"), "source", F.lit(False))).groupBy("vertex", "key").agg(F.max("turned").alias("turned"))
         at = saved(at, f"{work}/at")
         (buckets, vertices), (_, those) = (self._places(x, "vertex") for x in (at, at.where("turned")))
@@ -274,19 +294,13 @@ class LiveChecks:
         _refuse_negative(counts)
         return counts
 
-    def _marked(self, now: LiveChecks, pairs: DataFrame, keys: DataFrame, work: str, first: bool) -> DataFrame:
-        """The pairs with was_source, is_source, was_target and is_target: whether that end was missing and is now."""
-        there = keys.where(now._is("VERTEX")).select(F.col("element").alias("vertex"), "key", "old", "new")
-        if not first:
-            buckets, vertices = self._places(now._at_key(now._both_ends(pairs)), "vertex")
-            held = self._read("keys", _KEYS, buckets).where(F.col("element").isin(vertices)).select(F.col("element").alias("vertex"), "key", "n", "n")
-            there = held.toDF("vertex", "key", "old", "new").union(there.select("vertex", "key", F.lit(0).cast("long"), F.col("new") - F.col("old")))
-            there = saved(there.groupBy("vertex", "key").agg(F.sum("old").alias("old"), F.sum("new").alias("new")), f"{work}/vertices")
-        missing = lambda side, n: (F.col(side) == _NULL) | (F.coalesce(n, F.lit(0)) == 0)
-        for side in ("source", "target"):
-            # One row per vertex on the side that is held in memory, a task's share of them.
-            ends = there.select(F.col("vertex").alias("_vertex"), F.col("key").alias(side), F.col("old").alias("_old"), F.col("new").alias("_new"))
-            pairs = pairs.withColumn("_vertex", now._end(side)).join(ends.hint("shuffle_hash"), ["_vertex", side], "left").withColumns(
-                {f"was_{side}": missing(side, F.col("_old")), f"is_{side}": missing(side, F.col("_new"))}
-            ).drop("_vertex", "_old", "_new")
-        return pairs
+    def _vertices(self, keys: DataFrame) -> DataFrame:
+        return keys.where(self._is("VERTEX")).select(F.col("element").alias("vertex"), "key", "old", "new")
+
+    def _looked_up(self, pairs: DataFrame, there: DataFrame, side: str) -> DataFrame:
+        """The pairs with whether their end at the ``side`` was missing and whether it is now."""
+        missing = lambda n: (F.col(side) == _NULL) | (F.coalesce(n, F.lit(0)) == 0)
+        # One row per vertex on the side that is held in memory, a task's share of them.
+        ends = there.select(F.col("vertex").alias("_vertex"), F.col("key").alias(side), F.col("old").alias("_old"), F.col("new").alias("_new"))
+        joined = pairs.withColumn("_vertex", self._end(side)).join(ends.hint("shuffle_hash"), ["_vertex", side], "left")
+        return joined.withColumns({f"was_{side}": missing("_old"), f"is_{side}": missing("_new")}).drop("_vertex", "_old", "_new")

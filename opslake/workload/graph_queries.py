@@ -199,7 +199,9 @@ def _live(t: Tables):
     from opslake.plans.live_checks import LiveChecks, delta_of
     from opslake.sources.scratch import shared_dir
 
-    graph = raw_graph(Roles(t))
+    r = Roles(t)
+    r.graph = kg.build_graph(r, kg.Nodes(r).saved(t.spark, shared_dir(t.spark), kg.Nodes.LINKS)).without_properties()
+    graph = raw_graph(r)
     tasks, lines = graph.vertex("TASK").df, graph.edge("TARGETS").df
     later, wrong = F.col("task_id") % 10 == 9, lines.where("task_id % 10 = 3").withColumn("equipment_id", F.lit("PART-0"))
     earlier = graph.replacing(TASKS=tasks.where(~later), TASK_EQUIPMENT=lines.where(~later).unionByName(wrong))

@@ -112,7 +112,7 @@ def test_a_change_writes_its_own_rows_only(spark, rows, tmp_path):
     agree(live, graph, rows)
     agree(LiveChecks.open(spark, str(tmp_path / "s"), 1), graph, rows)
     kept = {t: spark.read.parquet(str(tmp_path / "s" / "v1" / t)).count() for t in ("keys", "ends")}
-    assert kept == {"keys": 6, "ends": 5}  # one of the three pairs is a loop
+    assert kept == {"keys": 6, "ends": 6}
 
 
 def test_long_buckets_are_written_anew(spark, rows, tmp_path, monkeypatch):
@@ -147,3 +147,28 @@ def test_a_later_graph_may_number_its_elements_otherwise(spark, rows, tmp_path):
     turned = GraphSpec(whole.vertices, (whole.edges[0], Edge("AA", "AA", whole.edges[1].df, "A", "x", "B", "y", key="id")))
     with pytest.raises(ValueError):
         live.apply(delta_of(turned, {"AA": whole.edges[1].df}))
+
+
+def test_the_first_version_writes_each_side_where_it_is_looked_up(spark, rows, tmp_path):
+    tables = {"A": [("a1",), ("a2",)], "B": [(1,)], "AB": [("e", "a1", 1), ("f", "a1", 1), ("g", None, 1)], "AA": [("h", "a1", "a1"), ("i", "a2", "z")]}
+    graph = spec(spark, tables)
+    live = LiveChecks.start(graph, str(tmp_path / "s"), buckets=4)
+    agree(live, graph, rows)
+    assert {p.name for p in (tmp_path / "s" / "v0" / "work").iterdir()} == {"rows"}
+    ends = spark.read.parquet(str(tmp_path / "s" / "v0" / "ends")).groupBy("at_source").agg({"*": "count", "n": "sum"})
+    assert rows(ends.select("at_source", "count(1)", "sum(n)")) == [(False, 4, 5), (True, 4, 5)]
+    assert rows(LiveChecks.start(GraphSpec(graph.vertices, ()), str(tmp_path / "t"), buckets=4).endpoint_errors()) == []
+
+
+def test_checks_need_keys_and_ends_alone(spark, rows, tmp_path):
+    from opslake.plans import kg
+    from test_graph import make_sources
+
+    sources = make_sources(spark)
+    whole = kg.build_graph(sources)
+    nodes = kg.Nodes(sources).saved(spark, str(tmp_path / "nodes"), kg.Nodes.LINKS)
+    narrow = kg.build_graph(sources, nodes).without_properties()
+    assert nodes.tasks.columns == ["task_id", "incident_id"] and sorted(p.name for p in (tmp_path / "nodes").iterdir()) == ["incidents", "tasks"]
+    for a, b in zip((*whole.vertices, *whole.edges), (*narrow.vertices, *narrow.edges), strict=True):
+        assert rows(a.df, *b.columns) == rows(b.df, *b.columns)
+    agree(LiveChecks.start(narrow, str(tmp_path / "s"), buckets=4), whole, rows)
