@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from opslake.sources.scratch import saved
 
 BUCKETS = 64
 MERGE = 8
+TASKS = 32  # tasks that may write to one bucket
 _NULL = "-"  # text of a NULL key; all others begin with "="
 _KEYS = "element int, key string, n long, old long, new long, bucket int"
 _ENDS = "edge int, at_source boolean, source string, target string, n long, bucket int"
@@ -173,6 +175,12 @@ class LiveChecks:
         """Buckets of so many files that a change writes them anew."""
         return {b for b, versions in self._files[table].items() if len(versions) >= MERGE}
 
+    def _dealt(self, rows: DataFrame, element: str, key: str) -> DataFrame:
+        """The rows as they are when a shuffle by element and key leaves a bucket to few tasks, else dealt to a multiple of the buckets."""
+        conf = self._spark.conf
+        n = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
+        return rows if n // gcd(n, self.buckets) <= TASKS else rows.repartition(-(-n // self.buckets) * self.buckets, element, key)
+
     def _write(self, table: str, rows: DataFrame, version: int, anew: set[int]) -> dict[int, tuple[int, ...]]:
         """Write the rows by bucket; returns where each bucket of the new version lies."""
         target = f"{self.folder}/v{version}/{table}"
@@ -230,7 +238,8 @@ class LiveChecks:
             held = self._read("keys", _KEYS, touched - anew).where(F.col("element").isin(elements)).union(self._read("keys", _KEYS, anew))
             counts = counts.union(held.select("element", "key", "n", "n"))
         old = F.lit(0).cast("long") if first else F.sum("old")
-        counts = counts.groupBy("element", "key").agg(old.alias("old"), F.sum("new").alias("new")).select("*", _bucket(self.buckets))
+        counts = counts.groupBy("element", "key").agg(old.alias("old"), F.sum("new").alias("new"))
+        counts = self._dealt(counts, "element", "key").select("*", _bucket(self.buckets))
         n = F.when(F.col("bucket").isin(anew), F.col("new")).otherwise(F.col("new") - F.col("old"))
         now._files["keys"] = self._write("keys", counts.withColumn("n", n).where("n != 0 or old != new"), now.version, anew)
         keys = self._spark.read.schema(_KEYS).parquet(f"{self.folder}/v{now.version}/keys")
@@ -263,7 +272,7 @@ class LiveChecks:
         if anew:
             ends = ends.unionByName(now._at_key(self._read("ends", _ENDS, anew)))
             ends = ends.groupBy(*[c for c in ends.columns if c != "n"]).agg(F.sum("n").alias("n")).where("n != 0")
-        dealt = ends.repartition("vertex", "key").select("edge", "at_source", "source", "target", "n", _bucket(self.buckets, "vertex"))
+        dealt = self._dealt(ends.repartition("vertex", "key"), "vertex", "key").select("edge", "at_source", "source", "target", "n", _bucket(self.buckets, "vertex"))
         now._files["ends"] = self._write("ends", dealt, now.version, anew)
 
         buckets, vertices = self._places(now._at_key(now._both_ends(touched)), "vertex")
@@ -302,5 +311,5 @@ class LiveChecks:
         missing = lambda n: (F.col(side) == _NULL) | (F.coalesce(n, F.lit(0)) == 0)
         # One row per vertex on the side that is held in memory, a task's share of them.
         ends = there.select(F.col("vertex").alias("_vertex"), F.col("key").alias(side), F.col("old").alias("_old"), F.col("new").alias("_new"))
-        joined = pairs.withColumn("_vertex", self._end(side)).join(ends.hint("shuffle_hash"), ["_vertex", side], "left")
+        joined = self._dealt(pairs.withColumn("_vertex", self._end(side)), "_vertex", side).join(ends.hint("shuffle_hash"), ["_vertex", side], "left")
         return joined.withColumns({f"was_{side}": missing("_old"), f"is_{side}": missing("_new")}).drop("_vertex", "_old", "_new")

@@ -172,3 +172,24 @@ def test_checks_need_keys_and_ends_alone(spark, rows, tmp_path):
     for a, b in zip((*whole.vertices, *whole.edges), (*narrow.vertices, *narrow.edges), strict=True):
         assert rows(a.df, *b.columns) == rows(b.df, *b.columns)
     agree(LiveChecks.start(narrow, str(tmp_path / "s"), buckets=4), whole, rows)
+
+
+def test_few_tasks_write_to_a_bucket(spark, rows, tmp_path, monkeypatch):
+    from opslake.plans import live_checks
+
+    monkeypatch.setattr(live_checks, "TASKS", 2)
+    tables = {"A": [(f"a{i}",) for i in range(300)], "B": [(i,) for i in range(50)], "AB": [(f"e{i}", f"a{i}", i % 60) for i in range(300)], "AA": [("f", "a1", "z")]}
+    graph = spec(spark, tables)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        live = LiveChecks.start(graph, str(tmp_path / "s"), buckets=4)
+        live = live.apply(delta_of(graph, {"AA": spark.createDataFrame([("g", "z", "z")], DDL["AA"])}))
+        tables["AA"] = tables["AA"] + [("g", "z", "z")]
+        agree(live, spec(spark, tables), rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = lambda t: max(len(list(b.glob("part-*"))) for b in (tmp_path / "s" / "v0" / t).glob("bucket=*"))
+    assert files("keys") <= 2 and files("ends") <= 4  # both sides of the pairs
